@@ -28,7 +28,6 @@ from tillwise.operators.merge import (
     merge_counts,
     upsert,
 )
-from tillwise.operators.quantiles import quantile_rows
 from tillwise.plans.enrich import enrich, enrich_by_customer_day
 from tillwise.plans.job import row_counts, run_job
 from tillwise.sinks.tables import ParquetTable
@@ -134,7 +133,9 @@ def customer_metrics_approx(spark, folder):
 
 def ltv_quantiles(spark, folder):
     totals = stage(M.customer_totals(_sales(spark, folder)), "customer-totals")
-    return quantile_rows(M.value_cuts(M.customer_values(totals)), M.QUARTILES)
+    values = M.customer_values(totals, M.latest_order_date(totals))
+    cuts = M.value_cuts(values)
+    return spark.createDataFrame(list(zip(M.QUARTILES, cuts)), "probability double, value double")
 
 
 def product_metrics(spark, folder):

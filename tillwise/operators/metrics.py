@@ -19,43 +19,34 @@ RANK_ERROR = 0.05
 SEGMENTS = ("Low", "Medium", "High", "Very High")
 
 
+def latest_order_date(totals: DataFrame) -> dt.date | None:
+    """Latest order date of the data, from the small per-customer table."""
+    return totals.agg(F.max("last_order_date")).first()[0]
+
+
 def customer_values(
-    totals: DataFrame, cols: SalesColumns = SALES, analysis_date: dt.date | None = None
+    totals: DataFrame, analysis_date: dt.date | None, cols: SalesColumns = SALES
 ) -> DataFrame:
     """Lifetime value, recency and frequency from the per-customer totals.
 
-    The analysis date is the latest order date of the data unless one is given;
-    it enters the plan as a scalar subquery. A customer who first ordered on
-    that date has no tenure and therefore a null value.
+    A customer who first ordered on the analysis date has no tenure and therefore
+    a null value.
     """
-    if analysis_date is None:
-        day = totals.agg(F.max("last_order_date")).scalar()
-    else:
-        day = F.lit(analysis_date)
-    tenure = days_between(F.col("analysis_date"), F.col("first_order_date"))
-    return totals.withColumn("analysis_date", day).select(
+    day = F.lit(analysis_date).cast("date")
+    tenure = days_between(day, F.col("first_order_date"))
+    return totals.select(
         cols.customer,
         ratio(F.col("total_revenue"), tenure).alias("ltv"),
-        days_between(F.col("analysis_date"), F.col("last_order_date")).alias("recency"),
+        days_between(day, F.col("last_order_date")).alias("recency"),
         F.col("total_orders").alias("frequency"),
         "total_revenue",
     )
 
 
-def segment(value: Column, cuts: Column, null_segment: str = SEGMENTS[3]) -> Column:
-    """Label by quartile; a value equal to a cut belongs below it."""
-    low, medium, high, top = SEGMENTS
-    return (
-        F.when(value.isNull(), null_segment)
-        .when(value <= F.get(cuts, 0), low)
-        .when(value <= F.get(cuts, 1), medium)
-        .when(value <= F.get(cuts, 2), high)
-        .otherwise(top)
-    )
-
-
-def value_cuts(values: DataFrame, mode: str = "exact", relative_error: float = RANK_ERROR) -> DataFrame:
-    """The three quartiles of ``ltv`` as one row with an array."""
+def value_cuts(
+    values: DataFrame, mode: str = "exact", relative_error: float = RANK_ERROR
+) -> list[float]:
+    """The three quartiles of ``ltv``; empty when no customer has a value."""
     if mode == "exact":
         return exact_quantiles(values, "ltv", QUARTILES)
     if mode == "approx":
@@ -63,6 +54,14 @@ def value_cuts(values: DataFrame, mode: str = "exact", relative_error: float = R
     raise ValueError(f"unknown quantile mode {mode!r}")
 
 
+def segment(value: Column, cuts: list[float], null_segment: str = SEGMENTS[3]) -> Column:
+    """Label by quartile; a value equal to a cut belongs below it."""
+    label = F.when(value.isNull(), null_segment)
+    for cut, name in zip(cuts, SEGMENTS):
+        label = label.when(value <= cut, name)
+    return label.otherwise(SEGMENTS[3])
+
+
 def customer_metrics(
     sales: DataFrame,
     cols: SalesColumns = SALES,
@@ -76,17 +75,18 @@ def customer_metrics(
 ) -> DataFrame:
     """One row per customer: value, segment, recency, frequency, revenue.
 
-    Runs one job when called: the per-customer totals are written once to the
-    shared folder, and date, quartiles and result all read that small table
-    instead of aggregating the fact again.
+    The analysis date is the latest order date of the data unless one is given.
+    Runs when called: the per-customer totals are written once to the shared
+    folder, and date, quartiles and result all read that small table instead of
+    aggregating the fact again. Only the date and the three quartiles reach the driver.
     """
     totals = stage(customer_totals(sales, cols, revenue, approximate_orders), "customer-totals")
-    values = customer_values(totals, cols, analysis_date)
+    values = customer_values(totals, analysis_date or latest_order_date(totals), cols)
     cuts = value_cuts(values, mode, relative_error)
-    return values.withColumn("cuts", cuts.scalar()).select(
+    return values.select(
         cols.customer,
         "ltv",
-        segment(F.col("ltv"), F.col("cuts"), null_segment).alias("ltv_segment"),
+        segment(F.col("ltv"), cuts, null_segment).alias("ltv_segment"),
         "recency",
         "frequency",
         "total_revenue",

@@ -1,151 +1,140 @@
 """Quantiles of a column, exact without gathering the column in one task.
 
-An exact quantile is the value at a known rank. Three light scans find it:
-
-1. count the values per logarithmic slot (relative width below 0.3 %) and take
-   the slot each rank falls into,
-2. cut that slot's range into equal steps and narrow again,
-3. count the remaining distinct values one by one.
-
-Only the counts per slot meet in one task, and their number depends on the
-slot width, not on the number of rows. Equal values are counted, never listed,
-so heavy ties cost nothing.
+An exact quantile is the value at a known rank. The values are counted per slot
+of a logarithmic scale, and the slot that holds the rank is found from the running
+count. While that slot holds many different values its range is cut into equal
+steps and counted again; the few values left are then counted one by one.
+
+Only counts per slot meet in one task, and the slot width, not the number of rows,
+decides how many there are. Equal values are counted, never listed, so ties cost
+nothing. The driver receives at most one line per probability and round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS_PER_OCTAVE = 256
 LINEAR_SLOTS = 65536
+#: Rows of a bracket that may be counted value by value.
+COUNTED_ONE_BY_ONE = 200_000
 # log2 of a double lies between -1075 and 1024
 _OCTAVES = 1100
 
 
-def _log_slot(value: Column) -> Column:
-    """Slot number that never falls when the value rises, for either sign."""
-    octave = F.least(F.log2(F.abs(value)), F.lit(1024.0))
-    size = F.floor(octave * SLOTS_PER_OCTAVE) + _OCTAVES * SLOTS_PER_OCTAVE
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(0).cast("double")
+@dataclass(frozen=True)
+class _Bracket:
+    """The range of values that holds the wanted rank, counted from its low end."""
 
+    low: float
+    high: float
+    rank: int
+    rows: int
 
-def _linear_slot(value: Column, low: Column, high: Column) -> Column:
-    step = F.floor((value - low) / (high - low) * LINEAR_SLOTS).cast("double")
-    return F.when(high > low, step).otherwise(0.0)
+    @property
+    def solved(self) -> bool:
+        return self.low == self.high
 
 
-def _slot_counts(values: DataFrame, *groups: Column) -> DataFrame:
-    return values.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float]:
+    """The smallest values that reach each probability, as ``percentile_disc`` gives them.
 
+    Nulls and NaN are left out; without values the list is empty. ``df`` is scanned
+    two or three times, so it should be a table or a staged frame.
+    """
+    v = F.col(column).cast("double")
+    values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    found = _first_brackets(values, probabilities)
+    while any(not b.solved and b.rows > COUNTED_ONE_BY_ONE for b in found):
+        found = _narrow(values, found, _linear_slot)
+    if any(not b.solved for b in found):
+        found = _narrow(values, found, lambda value, low, high: value)
+    return [b.low for b in found]
 
-def _locate(counts: DataFrame, wanted: Column) -> DataFrame:
-    """The slot of each wanted rank, as one row with an array of brackets.
 
-    ``counts`` has one row per (outer_low, outer_high, slot); ``wanted`` is an
-    array of (i, rank, low, high) whose low/high name the outer range.
-    """
-    outer = Window.partitionBy("outer_low", "outer_high")
-    below = F.sum("n").over(outer.orderBy("slot")) - F.col("n")
-    placed = counts.select(
-        "*", below.alias("below"), F.sum("n").over(outer).alias("total")
-    ).withColumn("wanted", wanted)
-    hit = placed.select(
-        "n", "below", "low", "high", "outer_low", "outer_high", F.inline("wanted").alias(
-            "i", "rank", "wanted_low", "wanted_high"
-        )
-    ).where(
-        F.col("wanted_low").eqNullSafe(F.col("outer_low"))
-        & F.col("wanted_high").eqNullSafe(F.col("outer_high"))
-        & (F.col("rank") > F.col("below"))
-        & (F.col("rank") <= F.col("below") + F.col("n"))
-    )
-    bracket = F.struct(
-        "i", (F.col("rank") - F.col("below")).alias("rank"), "low", "high"
-    )
-    return hit.agg(F.sort_array(F.collect_list(bracket)).alias("brackets"))
+def approximate_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], relative_error: float
+) -> list[float]:
+    """Quantiles whose rank is off by at most the given share of rows."""
+    return df.approxQuantile(column, list(probabilities), relative_error)
 
 
-def _within(values: DataFrame, brackets: DataFrame, size: int) -> DataFrame:
-    """Rows inside a bracket, with that bracket's ends. Brackets are equal or disjoint."""
-    v, b = F.col("v"), F.col("brackets")
-    home = F.coalesce(
-        *[
-            F.when(v.between(F.get(b, i)["low"], F.get(b, i)["high"]), F.get(b, i))
-            for i in range(size)
-        ]
-    )
-    return (
-        values.withColumn("brackets", brackets.scalar())
-        .select("v", home.alias("home"))
-        .where(F.col("home").isNotNull())
-        .select("v", F.col("home.low").alias("outer_low"), F.col("home.high").alias("outer_high"))
-    )
+def _log_slot(value: Column) -> Column:
+    """Slot number that never falls when the value rises, for either sign."""
+    octave = F.least(F.log2(F.abs(value)), F.lit(1024.0))
+    size = F.floor(octave * SLOTS_PER_OCTAVE) + _OCTAVES * SLOTS_PER_OCTAVE
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(0)
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
-    """One row, column ``cuts``: the smallest values that reach each probability.
+def _linear_slot(value: Column, low: Column, high: Column) -> Column:
+    """Step of the value between the ends; the two ends never share a step."""
+    return F.when(high > low, F.floor((value - low) / (high - low) * LINEAR_SLOTS)).otherwise(0)
 
-    Same result as ``percentile_disc``; nulls and NaN are left out, and an
-    empty input gives an empty array. ``df`` is scanned three times, so it should be
-    a table or a staged frame.
-    """
-    size = len(probabilities)
-    v = F.col(column).cast("double")
-    values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
 
-    whole = F.lit(None).cast("double")
-    coarse = _slot_counts(
-        values, whole.alias("outer_low"), whole.alias("outer_high"), _log_slot(F.col("v")).alias("slot")
+def _running_counts(values: DataFrame, part: Column, slot: Column) -> DataFrame:
+    """Rows, lowest and highest value per slot, and the rows below it in its part."""
+    counts = values.groupBy(part.alias("part"), slot.alias("slot")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
     )
-    ranks = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("total")).cast("bigint"), F.lit(1)).alias("rank"),
-                whole.alias("low"),
-                whole.alias("high"),
-            )
-            for i, p in enumerate(probabilities)
-        ]
+    within = Window.partitionBy("part")
+    return counts.select(
+        "part", "n", "low", "high",
+        (F.sum("n").over(within.orderBy("slot")) - F.col("n")).alias("below"),
+        F.sum("n").over(within).alias("total"),
     )
-    brackets = _locate(coarse, ranks)
 
-    for slot in (
-        _linear_slot(F.col("v"), F.col("outer_low"), F.col("outer_high")),
-        F.col("v"),
-    ):
-        inside = _within(values, brackets, size)
-        counts = _slot_counts(
-            inside, F.col("outer_low"), F.col("outer_high"), slot.alias("slot")
-        )
-        brackets = _locate(counts, brackets.scalar())
-    return brackets.select(F.transform("brackets", lambda b: b["low"]).alias("cuts"))
 
-
-def approximate_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], relative_error: float
-) -> DataFrame:
-    """One row, column ``cuts``: quantiles whose rank is off by at most the given share of rows."""
-    accuracy = max(1, round(1 / relative_error))
-    value = F.col(column).cast("double")
-    kept = F.when(~F.isnan(value), value)
-    return df.agg(
-        F.coalesce(
-            F.approx_percentile(kept, list(probabilities), accuracy),
-            F.array().cast("array<double>"),
-        ).alias("cuts")
-    )
+def _holds(rank: Column) -> Column:
+    return (rank > F.col("below")) & (rank <= F.col("below") + F.col("n"))
 
 
-def quantile_rows(cuts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Turn the one-row array into (probability, value) rows."""
-    labels = F.array(*[F.lit(float(p)) for p in probabilities])
-    return cuts.select(F.explode(F.arrays_zip(labels.alias("probability"), F.col("cuts"))).alias("z")).select(
-        F.col("z.probability").alias("probability"), F.col("z.cuts").alias("value")
+def _first_brackets(values: DataFrame, probabilities: Sequence[float]) -> list[_Bracket]:
+    counts = _running_counts(values, F.lit(0), _log_slot(F.col("v")))
+    found = []
+    ranks = [
+        F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("total")).cast("bigint"), F.lit(1))
+        for p in probabilities
+    ]
+    lines = (
+        counts.select("*", *[r.alias(f"rank_{i}") for i, r in enumerate(ranks)])
+        .where(reduce(lambda a, b: a | b, [_holds(r) for r in ranks]))
+        .collect()  # one slot per probability
     )
+    for i in range(len(probabilities)):
+        for line in lines:
+            inner = line[f"rank_{i}"] - line["below"]
+            if 0 < inner <= line["n"]:
+                found.append(_Bracket(line["low"], line["high"], inner, line["n"]))
+    return found
+
+
+def _narrow(values: DataFrame, brackets: list[_Bracket], slot) -> list[_Bracket]:
+    """Cut every open bracket once more. Brackets of one round are equal or disjoint."""
+    v = F.col("v")
+    open_ranges = sorted({(b.low, b.high) for b in brackets if not b.solved})
+
+    def pick(end: int) -> Column:
+        cases = [F.when(v.between(*r), F.lit(r[end])) for r in open_ranges]
+        return F.coalesce(*cases)
+
+    inside = values.where(reduce(lambda a, b: a | b, [v.between(*r) for r in open_ranges]))
+    counts = _running_counts(inside, pick(0), slot(v, pick(0), pick(1)))
+    wanted = [
+        (F.col("part") == b.low) & _holds(F.lit(b.rank)) for b in brackets if not b.solved
+    ]
+    lines = counts.where(reduce(lambda a, b: a | b, wanted)).collect()  # one slot per probability
+    return [b if b.solved else _inner(b, lines) for b in brackets]
+
+
+def _inner(bracket: _Bracket, lines) -> _Bracket:
+    for line in lines:
+        inner = bracket.rank - line["below"]
+        if line["part"] == bracket.low and 0 < inner <= line["n"]:
+            return _Bracket(line["low"], line["high"], inner, line["n"])
+    raise RuntimeError("the input changed between two scans")

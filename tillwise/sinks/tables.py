@@ -1,7 +1,7 @@
 """Parquet tables made of committed write folders.
 
-Each write goes to a folder of its own under the table's path: ``...-full`` holds
-the whole table, ``...-add`` rows added to it. A folder counts once Spark has put
+Each write goes to a folder ``load=...`` of its own under the table's path: ``-full``
+holds the whole table, ``-add`` rows added to it. A folder counts once Spark has put
 its ``_SUCCESS`` file there, which is the last step of a write job; a run that
 fails before leaves readers with the previous state. One writer at a time.
 """
@@ -19,6 +19,7 @@ from tillwise.operators.merge import rows_to_insert, upsert
 from tillwise.staging import drop_stage, stage
 
 MARKER = "_SUCCESS"
+LOAD = "load"
 MONTH = "order_month"
 
 
@@ -40,15 +41,18 @@ class ParquetTable:
     # ------------------------------------------------------------------ reading
 
     def read(self) -> DataFrame:
-        """The current rows. A filter on the month column ``order_month`` skips folders."""
-        schema = self.contract.schema
+        """The current rows in one scan.
+
+        ``load`` and ``order_month`` come from the folder names, so a filter on the
+        month reads only that month's files.
+        """
+        schema = self.contract.schema.add(LOAD, "string")
         if self.by_month:
             schema = schema.add(MONTH, "string")
         folders = self._current()
         if not folders:
             return self.spark.createDataFrame([], schema)
-        # the month is a partition folder name such as 2023-05, which must stay text
-        return self.spark.read.schema(schema).parquet(*folders)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders)
 
     def rows(self) -> DataFrame:
         """The current rows with exactly the contract's columns."""
@@ -92,14 +96,14 @@ class ParquetTable:
     def _write(self, df: DataFrame, kind: str) -> None:
         rows = conform(df, self.contract)
         folders = self._folders()
-        number = 1 + max((int(f.split("-")[0]) for f in folders), default=0)
+        number = 1 + max((int(f.split("=")[1].split("-")[0]) for f in folders), default=0)
         writer = rows.write
         if self.by_month:
             rows = rows.withColumn(MONTH, F.date_format(self.by_month, "yyyy-MM"))
             # groups a month's rows, and splits a month that is too large for one task
             writer = rows.hint("rebalance", MONTH).write.partitionBy(MONTH)
         writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(
-            f"{self.path}/{number:08d}-{kind}"
+            f"{self.path}/{LOAD}={number:08d}-{kind}"
         )
 
     # ------------------------------------------------------------------ folders
@@ -115,7 +119,7 @@ class ParquetTable:
         if not fs.exists(path):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(n for n in names if n.endswith(("-full", "-add")))
+        return sorted(n for n in names if n.startswith(f"{LOAD}="))
 
     def _exists(self, path: str) -> bool:
         hadoop_path, fs = self._hadoop(path)
