@@ -30,11 +30,12 @@ from tillwise.operators.merge import (
 )
 from tillwise.plans.enrich import enrich, enrich_by_customer_day
 from tillwise.plans.job import row_counts, run_job
+from tillwise.session import prepare
 from tillwise.sinks.tables import ParquetTable
 from tillwise.sources.documents import json_field
 from tillwise.sources.files import flatten_users, parse_users, read_sales_csv, read_users_json
 from tillwise.sources.lookup import look_up
-from tillwise.sources.star import sales_lines, star_table
+from tillwise.sources.star import order_heads, sales_lines, star_table
 from tillwise.staging import shared_folder, stage
 
 SMOKE = "/root/testdata/sf0.001"
@@ -43,6 +44,7 @@ SMOKE = "/root/testdata/sf0.001"
 
 
 def _sales(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
     return sales_lines(star_table(spark, folder, "lineitem"), star_table(spark, folder, "orders"))
 
 
@@ -87,7 +89,12 @@ def _weather_rule(keys: DataFrame) -> DataFrame:
 
 
 def _weather(spark: SparkSession, folder: str) -> DataFrame:
-    return _weather_rule(lookup_keys(_sales(spark, folder), _customers(spark, folder)))
+    """The lookup table, written once: answers for every place and day with an order.
+
+    Customer and day come from the orders alone, so the lines are not read for it.
+    """
+    days = order_heads(star_table(spark, folder, "orders"))
+    return stage(_weather_rule(lookup_keys(days, _customers(spark, folder))), "weather")
 
 
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,9 +231,8 @@ def _sales_rows(spark, folder):
 
 
 def constraint_report(spark, folder):
-    return V.constraint_report(
-        _sales_rows(spark, folder), C.SALES_TABLE, {"customers": _customers(spark, folder)}
-    )
+    rows = stage(_sales_rows(spark, folder), "sales-rows")
+    return V.constraint_report(rows, C.SALES_TABLE, {"customers": _customers(spark, folder)})
 
 
 def customer_constraint_report(spark, folder):
@@ -314,12 +320,13 @@ def conform_types(spark, folder):
 
 def full_job(spark, folder):
     """The whole job into six tables; returns their row counts."""
-    sales = stage(_sales(spark, folder), "sales-lines")
     customers = _customers(spark, folder).withColumn(
         "email", F.concat(F.lit("c"), "customer_id", F.lit("@example.com"))
     )
-    weather = _weather_rule(lookup_keys(sales, customers))
-    return row_counts(run_job(spark, sales, customers, weather, _new_folder(spark, "job")))
+    tables = run_job(
+        spark, _sales(spark, folder), customers, _weather(spark, folder), _new_folder(spark, "job")
+    )
+    return row_counts(tables)
 
 
 def total_sales_per_customer(spark, folder):
@@ -520,11 +527,11 @@ _SALES_CONSTRAINTS_SQL = [
         for c in ("order_id", "customer_id", "product_id", "quantity", "price", "order_date")
     ],
     *[
-        (f"{c}_range", _count_where(_too_wide(c, "INTEGER")))
+        (f"{c}_fits", _count_where(_too_wide(c, "INTEGER")))
         for c in ("order_id", "customer_id", "product_id")
     ],
-    ("price_range", _count_where(_too_wide("price", "DECIMAL(10,2)"))),
-    ("temperature_range", _count_where(_too_wide("temperature", "DECIMAL(5,2)"))),
+    ("price_fits", _count_where(_too_wide("price", "DECIMAL(10,2)"))),
+    ("temperature_fits", _count_where(_too_wide("temperature", "DECIMAL(5,2)"))),
     ("weather_condition_length", _count_where("length(weather_condition) > 255")),
     ("quantity_positive", _count_where("NOT quantity > 0")),
     ("temperature_plausible", _count_where("NOT temperature BETWEEN -100 AND 100")),
@@ -546,9 +553,9 @@ _CUSTOMER_CONSTRAINTS_SQL = [
         for c in ("customer_id", "name", "username", "email")
     ],
     *[(f"{c}_length", _count_where(f"length({c}) > 255")) for c in ("name", "username", "email")],
-    ("customer_id_range", _count_where(_too_wide("customer_id", "INTEGER"))),
-    ("latitude_range", _count_where(_too_wide("latitude", "DECIMAL(9,6)"))),
-    ("longitude_range", _count_where(_too_wide("longitude", "DECIMAL(9,6)"))),
+    ("customer_id_fits", _count_where(_too_wide("customer_id", "INTEGER"))),
+    ("latitude_fits", _count_where(_too_wide("latitude", "DECIMAL(9,6)"))),
+    ("longitude_fits", _count_where(_too_wide("longitude", "DECIMAL(9,6)"))),
     *[
         (f"{c}_unique", f"count({c}) - count(DISTINCT {c})")
         for c in ("customer_id", "username", "email")

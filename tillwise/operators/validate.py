@@ -69,7 +69,7 @@ def contract_rules(contract: Contract) -> dict[str, Column]:
         if c.max_length is not None:
             rules[f"{c.name}_length"] = F.length(value) > c.max_length
         if c.declared is not None:
-            rules[f"{c.name}_range"] = value.isNotNull() & value.try_cast(c.declared).isNull()
+            rules[f"{c.name}_fits"] = value.isNotNull() & value.try_cast(c.declared).isNull()
     for name, check in contract.checks.items():
         rules[name] = ~F.expr(check)
     return rules
@@ -118,7 +118,9 @@ def constraint_report(
 ) -> DataFrame:
     """Every rule of a table contract as (rule, violations).
 
-    ``parents`` maps a referenced table's name to its frame.
+    ``parents`` maps a referenced table's name to its frame. All row rules take one
+    pass; every key and reference adds one over its own columns, so ``df`` should be
+    a table or a staged frame.
     """
     parts = [rule_report(df, contract_rules(contract))]
     parts += [key_violations(df, key) for key in contract.keys]
@@ -141,10 +143,14 @@ def fail_on_violations(report: DataFrame) -> None:
 
 def check_sales(enriched: DataFrame, contract: Contract, cols: SalesColumns = SALES) -> None:
     """Schema first, then the sale rules; raises on the first kind that fails."""
-    problems = schema_problems(enriched, contract)
+    fail_on_schema(enriched, contract)
+    fail_on_violations(rule_report(enriched, sale_rules(cols)))
+
+
+def fail_on_schema(df: DataFrame, contract: Contract) -> None:
+    problems = schema_problems(df, contract)
     if problems:
         raise ValidationError("; ".join(problems))
-    fail_on_violations(rule_report(enriched, sale_rules(cols)))
 
 
 def _as_rows(counts: DataFrame) -> DataFrame:

@@ -14,13 +14,13 @@ def enrich(
 ) -> DataFrame:
     """Left joins to both; every line stays, once per match.
 
-    While customers and weather fit the broadcast limit the lines are not shuffled
-    at all. Beyond it, joining them one after the other would shuffle all lines
-    twice, the second time with the customer's texts attached. Instead both are
-    joined to the distinct (customer, day) pairs, and the lines are shuffled once,
+    While one of the two fits the broadcast limit, the lines are shuffled at most
+    once, for the other. When neither fits, joining one after the other would shuffle
+    all lines twice, the second time with the customer's texts attached. Instead both
+    are joined to the distinct (customer, day) pairs, and the lines are shuffled once,
     on a key that spreads a hot customer over its days.
     """
-    direct = fits_broadcast(customers) and fits_broadcast(weather)
+    direct = fits_broadcast(customers) or fits_broadcast(weather)
     how = enrich_lines if direct else enrich_by_customer_day
     return how(sales, customers, weather, cols)
 

@@ -10,13 +10,14 @@ from tillwise.operators import metrics as M
 from tillwise.operators.joins import customer_days, place_days
 from tillwise.operators.merge import customers_of, sales_of
 from tillwise.operators.validate import (
-    check_sales,
     constraint_report,
     contract_rules,
+    fail_on_schema,
     fail_on_violations,
     offending_rows,
     passing_rows,
     rule_report,
+    sale_rules,
 )
 from tillwise.plans.enrich import enrich
 from tillwise.session import input_bytes, size_shuffles
@@ -51,37 +52,36 @@ def run_job(
     """Load one batch of sales.
 
     The enriched lines are computed once and written aside; the checks, both loads
-    and all metrics read that copy. ``bad_rows="quarantine"`` moves lines that break
-    a rule of the sales or customer table to the table ``rejected_sales`` instead of
-    stopping. Lines without weather appear in the seasonal table under
+    and all metrics read that copy. All row rules are checked in one pass.
+    ``bad_rows="quarantine"`` moves offending lines to the folder ``rejected_sales``
+    instead of stopping. Lines without weather appear in the seasonal table under
     ``no_weather``. ``metrics_mode`` is overwrite, upsert or insert_if_absent.
     """
+    if bad_rows not in ("fail", "quarantine"):
+        raise ValueError(f"unknown mode {bad_rows!r}")
+    rules = {**contract_rules(C.CUSTOMERS), **contract_rules(C.SALES_TABLE), **sale_rules()}
     tables = open_tables(spark, folder)
     weather = known_weather
     if fetch is not None:
         keys = place_days(customer_days(sales, customers)).dropna()
         weather = look_up(keys, known_weather, fetch, **(lookup_options or {}))
 
-    staged = [stage(enrich(sales, customers, weather), "enriched")]
-    enriched = staged[0]
+    staged = stage(enrich(sales, customers, weather), "enriched")
     try:
+        fail_on_schema(staged, C.ENRICHED_SALE)
         if bad_rows == "quarantine":
-            rules = {**contract_rules(C.CUSTOMERS), **contract_rules(C.SALES_TABLE)}
-            _reject(spark, offending_rows(enriched, rules), folder)
-            enriched = passing_rows(enriched, rules)
-        check_sales(enriched, C.ENRICHED_SALE)
+            offending_rows(staged, rules).write.mode("append").parquet(f"{folder}/rejected_sales")
+            enriched = passing_rows(staged, rules)
+        else:
+            fail_on_violations(rule_report(staged, rules))
+            enriched = staged
 
         tables["customers"].load(
-            customers_of(enriched), ["username"],
+            customers_of(enriched),
+            ["username"],
             check=lambda batch: fail_on_violations(constraint_report(batch, C.CUSTOMERS)),
         )
-        # the key rule of the sales table is met by the merge, which keeps one line per key
-        tables["sales"].load(
-            sales_of(enriched), ["order_id", "product_id"],
-            check=lambda batch: fail_on_violations(
-                rule_report(batch, contract_rules(C.SALES_TABLE))
-            ),
-        )
+        tables["sales"].insert_if_absent(sales_of(enriched), ["order_id", "product_id"])
 
         seasonal = M.seasonal_sales_metrics(
             enriched.withColumn("weather_condition", F.coalesce("weather_condition", F.lit(no_weather)))
@@ -94,8 +94,7 @@ def run_job(
         ):
             _publish(tables[contract.name], frame, metrics_mode)
     finally:
-        for frame in staged:
-            drop_stage(frame)
+        drop_stage(staged)
     return tables
 
 
@@ -129,7 +128,3 @@ def _publish(table: ParquetTable, frame: DataFrame, mode: str) -> None:
         table.insert_if_absent(frame, table.contract.primary_key)
     else:
         raise ValueError(f"unknown metrics mode {mode!r}")
-
-
-def _reject(spark: SparkSession, rows: DataFrame, folder: str) -> None:
-    rows.write.mode("append").parquet(f"{folder}/rejected_sales")

@@ -8,20 +8,33 @@ from pyspark.sql import SparkSession
 
 #: Bytes one shuffle partition should hold, small enough to sort without spilling.
 PARTITION_BYTES = 128 * 1024 * 1024
+#: More partitions than this cost the driver more in bookkeeping than they save in spill.
+MOST_PARTITIONS = 32768
+
+#: What the operators rely on. Adaptive execution splits the partition of a hot key even
+#: where that costs an exchange: without the last entry it would not do so for a join whose
+#: partitioning the following aggregate uses.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that someone else built."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def build_session(app: str = "tillwise", **conf: str) -> SparkSession:
-    """A session with adaptive execution, skew splitting and a fixed UTC zone."""
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        **conf,
-    }
+    """A session with the runtime settings and the given ones."""
     builder = SparkSession.builder.appName(app)
-    for key, value in settings.items():
+    for key, value in {**RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -35,7 +48,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """
     wanted = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(input_bytes / PARTITION_BYTES),
+        min(math.ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS),
     )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted

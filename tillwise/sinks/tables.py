@@ -83,7 +83,8 @@ class ParquetTable:
         """Write the batch aside, check it, merge it, and drop the aside copy.
 
         ``check`` gets the staged batch and raises to refuse it; the table is then
-        unchanged.
+        unchanged. A batch that is already staged and checked goes straight to
+        ``insert_if_absent``.
         """
         staged = stage(conform(batch, self.contract), f"{self.contract.name}-batch")
         try:

@@ -12,6 +12,15 @@ def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def order_heads(orders: DataFrame) -> DataFrame:
+    """Order, customer and date of every order."""
+    return orders.select(
+        F.col("o_orderkey").cast("bigint").alias("order_id"),
+        F.col("o_custkey").cast("bigint").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+    )
+
+
 def sales_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Typed sales lines: one row per order line, price as the line total.
 
@@ -24,11 +33,6 @@ def sales_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("price"),
     )
-    heads = orders.select(
-        F.col("o_orderkey").cast("bigint").alias("order_id"),
-        F.col("o_custkey").cast("bigint").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-    )
-    return lines.join(heads, "order_id").select(
+    return lines.join(order_heads(orders), "order_id").select(
         "order_id", "customer_id", "product_id", "quantity", "price", "order_date"
     )
