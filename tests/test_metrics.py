@@ -1,0 +1,126 @@
+"""Meaning of the metrics on small frames."""
+
+from decimal import Decimal
+
+import pytest
+from conftest import day, rows
+from pyspark.sql import functions as F
+
+from tillwise.operators import metrics as M
+from tillwise.operators import reports as R
+
+
+def by_customer(df):
+    return {r["customer_id"]: r for r in df.collect()}
+
+
+def test_revenue_is_the_sum_of_line_totals(sales_of_rows):
+    sales = sales_of_rows((1, 1, 1, 3, 10.10, "2023-01-01"), (1, 1, 2, 2, 5.05, "2023-01-11"))
+    assert by_customer(M.customer_metrics(sales))[1]["total_revenue"] == Decimal("15.15")
+    scaled = M.product_metrics(sales, revenue=F.col("price") * F.col("quantity"))
+    assert {r["product_id"]: r["total_revenue"] for r in scaled.collect()} == {
+        1: Decimal("30.30"), 2: Decimal("10.10"),
+    }
+
+
+def test_averages_are_per_line_and_orders_distinct(sales_of_rows):
+    sales = sales_of_rows(
+        (1, 1, 7, 1, 1, "2023-01-01"), (1, 2, 7, 2, 1, "2023-01-02"), (2, 1, 7, 6, 1, "2023-01-31")
+    )
+    assert rows(M.product_metrics(sales)) == [(7, 9, Decimal("3.00"), 3.0)]
+    assert rows(M.monthly_sales_metrics(sales)) == [("2023-01", 9, Decimal("3.00"), 3.0, 2)]
+
+
+def test_recency_tenure_and_analysis_date(sales_of_rows):
+    sales = sales_of_rows(
+        (1, 1, 1, 1, 100, "2023-01-01"), (2, 1, 1, 1, 50, "2023-01-11"), (3, 2, 1, 1, 9, "2023-01-21")
+    )
+    got = by_customer(M.customer_metrics(sales))
+    assert (got[1]["ltv"], got[1]["recency"], got[1]["frequency"]) == (7.5, 10, 2)
+    later = by_customer(M.customer_metrics(sales, analysis_date=day("2023-01-31")))
+    assert (later[1]["ltv"], later[1]["recency"]) == (5.0, 20)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_no_tenure_gives_null_value(sales_of_rows, conf, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    sales = sales_of_rows((1, 1, 1, 1, 10, "2023-01-01"), (2, 2, 1, 1, 10, "2023-01-05"))
+    got = by_customer(M.customer_metrics(sales))
+    assert got[2]["ltv"] is None and got[2]["ltv_segment"] == "Very High"
+    named = by_customer(M.customer_metrics(sales, null_segment="New"))
+    assert named[2]["ltv_segment"] == "New" and named[1]["ltv_segment"] == "Low"
+
+
+def test_all_values_null(sales_of_rows):
+    got = by_customer(M.customer_metrics(sales_of_rows((1, 1, 1, 1, 10, "2023-01-01"))))
+    assert got[1]["ltv_segment"] == "Very High"
+
+
+@pytest.mark.parametrize("mode", ["exact", "approx"])
+def test_empty_sales(sales_of_rows, mode):
+    assert M.customer_metrics(sales_of_rows(), mode=mode).collect() == []
+    assert M.product_metrics(sales_of_rows()).collect() == []
+
+
+def test_value_on_a_cut_belongs_below(sales_of_rows):
+    # values 1..4 over a tenure of 10 days
+    sales = sales_of_rows(
+        *[(i, i, 1, 1, 10 * i, "2023-01-01") for i in range(1, 5)],
+        *[(i + 10, i, 1, 1, 0, "2023-01-11") for i in range(1, 5)],
+    )
+    got = by_customer(M.customer_metrics(sales))
+    assert [got[i]["ltv_segment"] for i in range(1, 5)] == ["Low", "Medium", "High", "Very High"]
+
+
+def test_unknown_mode(sales_of_rows):
+    with pytest.raises(ValueError):
+        M.customer_metrics(sales_of_rows((1, 1, 1, 1, 1, "2023-01-01")), mode="guess")
+
+
+def test_lines_without_weather_form_the_null_group(sales_of_rows):
+    sales = sales_of_rows((1, 1, 1, 2, 3, "2023-01-01"), (2, 1, 1, 4, 5, "2023-01-02"))
+    lines = sales.withColumn("weather_condition", F.when(F.col("order_id") == 1, "Rain"))
+    assert rows(M.seasonal_sales_metrics(lines)) == [
+        ("Rain", 2, Decimal("3.00"), 2.0, 1), (None, 4, Decimal("5.00"), 4.0, 1),
+    ]
+
+
+def test_totals_agree_over_products_months_and_customers(spark):
+    import __spark_entry__ as E
+    from conftest import SMALL
+
+    sales = E.queries()["sales_fact"](spark, SMALL)
+    whole = sales.agg(F.sum("price"), F.sum("quantity")).first()
+    products = M.product_metrics(sales).agg(F.sum("total_revenue"), F.sum("sales_volume")).first()
+    months = M.monthly_sales_metrics(sales).agg(
+        F.sum("total_sales_revenue"), F.sum("total_sales_volume")
+    ).first()
+    customers = M.customer_metrics(sales)
+    assert tuple(whole) == tuple(products) == tuple(months)
+    assert customers.agg(F.sum("total_revenue")).first()[0] == whole[0]
+    assert customers.count() == sales.select("customer_id").distinct().count()
+
+
+def test_approximate_order_count_is_close(spark):
+    import __spark_entry__ as E
+    from conftest import SMALL
+
+    sales = E.queries()["sales_fact"](spark, SMALL)
+    exact = {r[0]: r["order_count"] for r in M.monthly_sales_metrics(sales).collect()}
+    near = M.monthly_sales_metrics(sales, approximate_orders=0.01)
+    assert all(abs(r["order_count"] - exact[r[0]]) <= 0.1 * exact[r[0]] + 1 for r in near.collect())
+
+
+def test_top_products_break_ties_by_product(spark):
+    df = spark.createDataFrame([(3, 5), (1, 5), (2, 9), (4, 1)], "product_id long, sales_volume long")
+    assert [tuple(r) for r in R.top_products(df, 3).collect()] == [(2, 9), (1, 5), (3, 5)]
+
+
+def test_report_orders(spark):
+    months = spark.createDataFrame(
+        [("2023-02", 1, 1.0, 1.0), ("2022-11", 2, 2.0, 2.0)],
+        "year_month string, total_sales_volume long, total_sales_revenue double, average_sales_volume double",
+    )
+    assert [r[0] for r in R.monthly_trend(months).collect()] == ["2022-11", "2023-02"]
+    seasons = months.withColumnRenamed("year_month", "weather_condition")
+    assert [r[0] for r in R.weather_ranking(seasons).collect()] == ["2022-11", "2023-02"]

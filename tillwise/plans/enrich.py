@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillwise.contracts import SALES, SalesColumns
 from tillwise.operators.joins import customer_days, with_customers, with_weather
@@ -36,8 +37,12 @@ def enrich_by_customer_day(
     sales: DataFrame, customers: DataFrame, weather: DataFrame, cols: SalesColumns = SALES
 ) -> DataFrame:
     """Join both to the distinct (customer, day) pairs, then those to the lines."""
-    days = with_weather(customer_days(sales, customers, cols), weather, cols)
-    return _in_order(sales.join(days, cols.customer_day, "left"), sales, customers, cols)
+    days = with_weather(customer_days(sales, customers, cols), weather, cols).withColumnsRenamed(
+        {cols.customer: "_customer", cols.date: "_date"}
+    )
+    # a line without a date still has its customer, so the date is compared null-safely
+    same = (F.col(cols.customer) == F.col("_customer")) & F.col(cols.date).eqNullSafe(F.col("_date"))
+    return _in_order(sales.join(days, same, "left"), sales, customers, cols)
 
 
 def _in_order(
