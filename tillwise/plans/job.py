@@ -24,7 +24,7 @@ from tillwise.session import input_bytes, size_shuffles
 from tillwise.sinks.tables import ParquetTable
 from tillwise.sources.files import read_sales_csv, read_users_json
 from tillwise.sources.lookup import Fetch, look_up
-from tillwise.staging import drop_stage, stage
+from tillwise.staging import staged
 
 
 def open_tables(spark: SparkSession, folder: str) -> dict[str, ParquetTable]:
@@ -66,35 +66,32 @@ def run_job(
         keys = place_days(customer_days(sales, customers)).dropna()
         weather = look_up(keys, known_weather, fetch, **(lookup_options or {}))
 
-    staged = stage(enrich(sales, customers, weather), "enriched")
-    try:
-        fail_on_schema(staged, C.ENRICHED_SALE)
+    with staged(enrich(sales, customers, weather), "enriched") as lines:
+        fail_on_schema(lines, C.ENRICHED_SALE)
         if bad_rows == "quarantine":
-            offending_rows(staged, rules).write.mode("append").parquet(f"{folder}/rejected_sales")
-            enriched = passing_rows(staged, rules)
+            offending_rows(lines, rules).write.mode("append").parquet(f"{folder}/rejected_sales")
+            lines = passing_rows(lines, rules)
         else:
-            fail_on_violations(rule_report(staged, rules))
-            enriched = staged
+            fail_on_violations(rule_report(lines, rules))
 
         tables["customers"].load(
-            customers_of(enriched),
+            customers_of(lines),
             ["username"],
             check=lambda batch: fail_on_violations(constraint_report(batch, C.CUSTOMERS)),
         )
-        tables["sales"].insert_if_absent(sales_of(enriched), ["order_id", "product_id"])
+        tables["sales"].insert_if_absent(sales_of(lines), ["order_id", "product_id"])
 
-        seasonal = M.seasonal_sales_metrics(
-            enriched.withColumn("weather_condition", F.coalesce("weather_condition", F.lit(no_weather)))
-        )
+        condition = F.coalesce("weather_condition", F.lit(no_weather))
         for contract, frame in (
-            (C.CUSTOMER_METRICS, M.customer_metrics(enriched, mode=quantiles)),
-            (C.PRODUCT_METRICS, M.product_metrics(enriched)),
-            (C.SEASONAL_METRICS, seasonal),
-            (C.MONTHLY_METRICS, M.monthly_sales_metrics(enriched)),
+            (C.CUSTOMER_METRICS, M.customer_metrics(lines, mode=quantiles)),
+            (C.PRODUCT_METRICS, M.product_metrics(lines)),
+            (
+                C.SEASONAL_METRICS,
+                M.seasonal_sales_metrics(lines.withColumn("weather_condition", condition)),
+            ),
+            (C.MONTHLY_METRICS, M.monthly_sales_metrics(lines)),
         ):
             _publish(tables[contract.name], frame, metrics_mode)
-    finally:
-        drop_stage(staged)
     return tables
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillwise.contracts import Contract
 from tillwise.operators.conform import conform
 from tillwise.operators.merge import rows_to_insert, upsert
-from tillwise.staging import drop_stage, stage
+from tillwise.staging import staged
 
 MARKER = "_SUCCESS"
 LOAD = "load"
@@ -86,13 +86,10 @@ class ParquetTable:
         unchanged. A batch that is already staged and checked goes straight to
         ``insert_if_absent``.
         """
-        staged = stage(conform(batch, self.contract), f"{self.contract.name}-batch")
-        try:
+        with staged(conform(batch, self.contract), f"{self.contract.name}-batch") as rows:
             if check is not None:
-                check(staged)
-            self.insert_if_absent(staged, key, order_by)
-        finally:
-            drop_stage(staged)
+                check(rows)
+            self.insert_if_absent(rows, key, order_by)
 
     def _write(self, df: DataFrame, kind: str) -> None:
         rows = conform(df, self.contract)

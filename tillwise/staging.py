@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,42 +15,45 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="tillwise-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tillwise-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet and return a frame that reads it.
 
     Unlike a cache the files outlive lost executors, keep column statistics
-    and let every later reader scan only the columns it needs.
+    and let every later reader scan only the columns it needs. They stay until
+    the shared folder is cleaned.
     """
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, _new_path(df, label))
+
 
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The same for the length of a ``with`` block; the files are deleted at its end."""
+    path = _new_path(df, label)
+    try:
+        yield _write(df, path)
+    finally:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-def drop_stage(staged: DataFrame) -> None:
-    """Delete the files behind a frame that ``stage`` returned."""
-    spark = staged.sparkSession
-    folder = shared_folder(spark)
-    roots = {f.rsplit("/", 1)[0] for f in staged.inputFiles()}
-    for root in roots:
-        if uuid_suffix(root) is None or folder.split(":", 1)[-1] not in root:
-            raise ValueError(f"{root} is not a staged folder")
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
+def _new_path(df: DataFrame, label: str) -> str:
+    return f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
 
-def uuid_suffix(path: str) -> str | None:
-    tail = path.rsplit("-", 1)[-1]
-    return tail if len(tail) == 32 and all(c in "0123456789abcdef" for c in tail) else None
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
