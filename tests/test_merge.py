@@ -58,6 +58,25 @@ def test_empty_batch_and_empty_target(frame):
     assert tuple(G.merge_counts(some, some.limit(0), KEY).first()) == (0, 0, 0, 0)
 
 
+def test_small_batch_does_not_shuffle_the_table(spark, conf, folder):
+    spark.range(3000).selectExpr("id AS k", "id AS v").write.parquet(f"{folder}/target")
+    spark.range(2990, 3010).selectExpr("id AS k", "-id AS v").write.parquet(f"{folder}/batch")
+    target, batch = (spark.read.parquet(f"{folder}/{n}") for n in ("target", "batch"))
+
+    def plan_of(merge):
+        return merge._jdf.queryExecution().executedPlan().toString()
+
+    def merged():
+        return G.rows_to_insert(target, batch, ["k"])
+
+    want = [(k, -k) for k in range(3000, 3010)]
+    assert rows(merged()) == sorted(want, key=repr)
+    assert "BroadcastHashJoin [k" in plan_of(merged()) and "LeftSemi, BuildRight" in plan_of(merged())
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert rows(merged()) == sorted(want, key=repr)
+    assert "LeftSemi" not in plan_of(merged()) and "SortMergeJoin" in plan_of(merged())
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     """The first aggregate below the exchange leaves one row per key and task."""
     batch = spark.range(0, 30000, 1, 6).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v")

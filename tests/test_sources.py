@@ -16,7 +16,7 @@ from tillwise.session import PARTITION_BYTES, input_bytes, size_shuffles
 from tillwise.sources import lookup as L
 from tillwise.sources.documents import json_field, parse_weather
 from tillwise.sources.files import (
-    customers_from_rows,
+    frame_of,
     parse_users,
     read_sales_csv,
     read_users_json,
@@ -74,8 +74,9 @@ def test_user_documents_from_array_file_lines_and_column(spark, tmp_path):
         assert rows(df) == want
 
 
-def test_local_rows_have_the_contract_schema(spark):
-    assert customers_from_rows(spark, [(1, "n", "u", "e", 1.0, 2.0)]).schema == C.CUSTOMERS.schema
+def test_local_rows_take_the_contract_schema(spark):
+    assert frame_of(spark, [(1, "n", "u", "e", 1.0, 2.0)], C.CUSTOMERS).schema == C.CUSTOMERS.schema
+    assert frame_of(spark, [], C.WEATHER).schema == C.WEATHER.schema
 
 
 def test_weather_document_paths(spark):

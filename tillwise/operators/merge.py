@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.contracts import CUSTOMERS, SALES_TABLE
+from tillwise.staging import fits_broadcast
 
 
 def first_per_key(batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -24,8 +25,17 @@ def first_per_key(batch: DataFrame, key: Sequence[str], order_by: Sequence[str]
 
 
 def absent_rows(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Batch rows whose key the target does not hold; reads only the target's key."""
-    return batch.join(target.select(*key), list(key), "left_anti").select(*batch.columns)
+    """Batch rows whose key the target does not hold; reads only the target's key.
+
+    When the batch's keys fit the broadcast limit, the target is first reduced to
+    those keys while it is scanned, so that a small batch never shuffles a large
+    table. Otherwise both sides are shuffled on the key once.
+    """
+    held = target.select(*key)
+    keys = batch.select(*key)
+    if fits_broadcast(keys):
+        held = held.join(F.broadcast(keys), list(key), "left_semi")
+    return batch.join(held, list(key), "left_anti").select(*batch.columns)
 
 
 def rows_to_insert(

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.contracts import CUSTOMERS, SALES_CSV, USER_DOCUMENT
+from tillwise.contracts import SALES_CSV, USER_DOCUMENT, Contract
 from tillwise.functions.columns import as_date, as_float, as_key
 
 
@@ -54,6 +54,6 @@ def parse_users(df: DataFrame, column: str) -> DataFrame:
     return flatten_users(documents)
 
 
-def customers_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
-    """Customers from a few local rows."""
-    return spark.createDataFrame(list(rows), CUSTOMERS.schema)
+def frame_of(spark: SparkSession, rows: Iterable[tuple], contract: Contract) -> DataFrame:
+    """A few local rows in the columns and types of a contract."""
+    return spark.createDataFrame(list(rows), contract.schema)
