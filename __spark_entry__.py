@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise import contracts as C
@@ -18,16 +18,16 @@ from tillwise.functions.columns import epoch_seconds
 from tillwise.operators import metrics as M
 from tillwise.operators import reports as R
 from tillwise.operators import validate as V
-from tillwise.operators.aggregates import distinct_keys, duplicate_keys
+from tillwise.operators.aggregates import duplicate_keys
 from tillwise.operators.conform import conform
-from tillwise.operators.joins import lookup_keys, orphans, with_customers, with_weather
-from tillwise.operators.merge import (
-    customers_of,
-    first_per_key,
-    insert_if_absent,
-    merge_counts,
-    upsert,
+from tillwise.operators.joins import (
+    lookup_keys,
+    orphans,
+    seen_customers,
+    with_customers,
+    with_weather,
 )
+from tillwise.operators.merge import first_per_key, insert_if_absent, merge_counts, upsert
 from tillwise.plans.enrich import enrich, enrich_by_customer_day
 from tillwise.plans.job import row_counts, run_job
 from tillwise.session import prepare
@@ -299,8 +299,8 @@ def merge_customers(spark, folder):
         )
         .withColumn("email", F.concat(F.lit("old."), "email"))
     )
-    lines = with_customers(_sales(spark, folder), _customers(spark, folder))
-    return insert_if_absent(held, customers_of(lines), ["username"])
+    seen = seen_customers(_sales(spark, folder), _customers(spark, folder))
+    return insert_if_absent(held, seen, ["username"])
 
 
 def staged_load(spark, folder):

@@ -3,7 +3,14 @@
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tillwise.operators.joins import lookup_keys, orphans, with_customers
+from tillwise.operators.joins import (
+    lookup_keys,
+    orphans,
+    seen_customers,
+    with_customers,
+    with_weather,
+)
+from tillwise.operators.merge import customers_of
 from tillwise.plans.enrich import enrich, enrich_by_customer_day, enrich_lines
 from tillwise.sources.files import flatten_users
 from tillwise.staging import stage
@@ -67,6 +74,21 @@ def test_lookup_keys_are_distinct_and_complete(sales_of_rows, customers_of_rows)
     assert [(a, b, str(d)) for a, b, d in rows(keys)] == [(10.5, 20.25, "2023-01-01")]
 
 
+def test_nan_matches_itself_and_null_matches_nothing(sales_of_rows, customers_of_rows, weather_of_rows):
+    nan = float("nan")
+    sales = sales_of_rows((1, 1, 1, 1, 1, "2023-01-01"), (2, 2, 1, 1, 1, "2023-01-01"))
+    lines = with_customers(sales, customers_of_rows((1, "n", "u", "e", nan, 0.0), (2, "n", "v", "f", None, 0.0)))
+    weather = weather_of_rows((nan, -0.0, "2023-01-01", 1.0, "Rain"), (None, 0.0, "2023-01-01", 1.0, "Snow"))
+    assert rows(with_weather(lines, weather), "order_id", "weather_condition") == [(1, "Rain"), (2, None)]
+
+
+def test_seen_customers_equal_the_distinct_ones_of_the_lines(sales_of_rows, customers_of_rows):
+    sales = sales_of_rows(*[(i, c, 1, 1, 1, "2023-01-01") for i, c in enumerate((1, 1, 2, 9, None))])
+    customers = customers_of_rows(ANN, BOB, (3, "Cid", "cid", "c@b.co", 1.0, 1.0))
+    lines = with_customers(sales, customers)
+    assert rows(seen_customers(sales, customers)) == rows(customers_of(lines))
+
+
 def test_orphans_count_lines_per_missing_parent(spark, sales_of_rows, customers_of_rows):
     sales = sales_of_rows(
         (1, 1, 1, 1, 1, "2023-01-01"), (2, 9, 1, 1, 1, "2023-01-01"),

@@ -37,6 +37,12 @@ def customer_days(sales: DataFrame, customers: DataFrame, cols: SalesColumns = S
     return with_customers(pairs, customers, cols)
 
 
+def seen_customers(sales: DataFrame, customers: DataFrame, cols: SalesColumns = SALES) -> DataFrame:
+    """The customers the lines name, joined to their distinct ids rather than to every line."""
+    ids = distinct_keys(sales, [cols.customer])
+    return with_customers(ids, customers, cols).distinct()
+
+
 def place_days(days: DataFrame, cols: SalesColumns = SALES) -> DataFrame:
     """Distinct (latitude, longitude, date) keys of the lookup."""
     return distinct_keys(days, cols.place_day)
