@@ -76,6 +76,26 @@ def test_price_beyond_the_declared_width(spark):
     assert report(df, V.contract_rules(contract))["price_fits"] == 1
 
 
+@pytest.mark.parametrize(
+    "held, declared",
+    [("float", "decimal(5,2)"), ("float", "decimal(9,6)"), ("decimal(18,2)", "decimal(10,2)"),
+     ("decimal(18,4)", "decimal(6,2)"), ("double", "decimal(10,4)"), ("bigint", "int")],
+)
+def test_width_rule_agrees_with_casting(spark, held, declared):
+    width = T.DecimalType(*eval(declared[7:])) if declared != "int" else T.IntegerType()
+    texts = ["0", "-1", "999.99", "999.994", "999.995", "999.996", "-999.995", "1000", "9999.9949", "9999.995",
+             "99999999.99", "100000000", "-100000000", "999999.9999", "999999.99995", "2147483647", "2147483648",
+             "-2147483648", "-2147483649", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        (F.col("t").cast("decimal(30,10)") if held == "bigint" else F.col("t")).try_cast(held).alias("x")
+    )
+    contract = C.Contract("t", (C.Column("x", df.schema["x"].dataType, declared=width),))
+    bad = V.contract_rules(contract)["x_fits"]
+    both = df.select(F.coalesce(bad, F.lit(False)).alias("rule"), (F.col("x").isNotNull() & F.col("x").try_cast(width).isNull()).alias("cast"), "x")
+    assert [tuple(r) for r in both.where("rule <> cast").collect()] == []
+    assert both.where("rule").count() > 0
+
+
 def test_schema_problems(sale):
     assert V.schema_problems(sale({}), C.ENRICHED_SALE) == []
     broken = sale({}).drop("email").withColumn("quantity", F.col("quantity").cast("string"))

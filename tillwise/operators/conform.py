@@ -19,10 +19,14 @@ def conform(
     """
     if on_overflow not in ("error", "null"):
         raise ValueError(f"unknown overflow mode {on_overflow!r}")
+    have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in contract.columns:
         wanted = (c.declared or c.type) if narrow else c.type
         value = F.col(c.name)
+        if have.get(c.name) == wanted:
+            out.append(value)
+            continue
         fitted = value.try_cast(wanted)
         if on_overflow == "error":
             message = F.lit(f"{contract.name}.{c.name} does not fit {wanted.simpleString()}")

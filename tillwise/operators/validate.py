@@ -7,10 +7,12 @@ that is null (a null in the checked column) does not offend.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.contracts import SALES, Contract, SalesColumns
 from tillwise.operators.aggregates import duplicate_keys
@@ -69,12 +71,26 @@ def contract_rules(contract: Contract) -> dict[str, Column]:
         if c.max_length is not None:
             rules[f"{c.name}_length"] = F.length(value) > c.max_length
         if c.declared is not None:
-            rules[f"{c.name}_fits"] = value.isNotNull() & value.try_cast(c.declared).isNull()
+            rules[f"{c.name}_fits"] = _too_wide(value, c.type, c.declared)
     for name, check in contract.checks.items():
         rules[name] = ~F.expr(check)
     return rules
 
 
+def _too_wide(value: Column, held: T.DataType, declared: T.DataType) -> Column:
+    """True when the value, rounded to the declared scale, does not fit. A plain comparison,
+    since casting every value to find out costs far more. NaN does not fit."""
+    if isinstance(declared, T.IntegerType):
+        return ~value.between(-(2**31), 2**31 - 1)
+    whole = declared.precision - declared.scale
+    if isinstance(held, T.DecimalType) and held.scale <= declared.scale:
+        first_misfit = Decimal(10) ** whole
+    else:
+        # values from half a step below the limit are rounded up to it
+        first_misfit = Decimal(10) ** whole - Decimal(5) / Decimal(10) ** (declared.scale + 1)
+    return F.abs(value) >= F.lit(first_misfit)
+
+
 def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """(rule, violations) for all rules and the record count, in a single pass."""
     counts = df.agg(
