@@ -55,7 +55,10 @@ def test_random_values_with_forced_narrowing(spark, monkeypatch, seed):
     assert Q.exact_quantiles(frame(spark, values), "x", probabilities) == brute(values, probabilities)
 
 
-def test_agrees_with_the_builtin(spark):
+@pytest.mark.parametrize("limit", ["10485760", "-1"])
+def test_agrees_with_the_builtin(spark, conf, limit):
+    """Small inputs are counted value by value, larger ones by slot."""
+    conf("spark.sql.autoBroadcastJoinThreshold", limit)
     df = spark.range(5000).selectExpr("pow(id % 977, 1.7) - 300 AS x")
     want = df.selectExpr(
         *[f"percentile_disc({p}) WITHIN GROUP (ORDER BY x)" for p in PROBABILITIES]

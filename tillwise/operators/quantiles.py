@@ -3,7 +3,8 @@
 An exact quantile is the value at a known rank. The values are counted per slot
 of a logarithmic scale, and the slot that holds the rank is found from the running
 count. While that slot holds many different values its range is cut into equal
-steps and counted again; the few values left are then counted one by one.
+steps and counted again; the few values left are then counted one by one. A small
+input, by its checked size, is counted value by value at once.
 
 Only counts per slot meet in one task, and the slot width, not the number of rows,
 decides how many there are. Equal values are counted, never listed, so ties cost
@@ -20,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.staging import fits_broadcast
+
 SLOTS_PER_OCTAVE = 256
 LINEAR_SLOTS = 65536
 #: Rows of a bracket that may be counted value by value.
@@ -46,7 +49,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
     """The smallest values that reach each probability, as ``percentile_disc`` gives them.
 
     Nulls and NaN are left out; without values the list is empty. ``df`` is scanned
-    two or three times, so it should be a table or a staged frame.
+    up to three times or so, and should be a table or a staged frame.
     """
     v = F.col(column).cast("double")
     values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
@@ -95,7 +98,9 @@ def _holds(rank: Column) -> Column:
 
 
 def _first_brackets(values: DataFrame, probabilities: Sequence[float]) -> list[_Bracket]:
-    counts = _running_counts(values, F.lit(0), _log_slot(F.col("v")))
+    v = F.col("v")
+    slot = v if fits_broadcast(values) else _log_slot(v)
+    counts = _running_counts(values, F.lit(0), slot)
     found = []
     ranks = [
         F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("total")).cast("bigint"), F.lit(1))
