@@ -15,12 +15,17 @@ MOST_PARTITIONS = 32768
 #: where that costs an exchange: without the last entry it would not do so for a join whose
 #: partitioning the following aggregate uses.
 RUNTIME = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+#: For sessions of our own. No result depends on the zone; it only fixes what is printed.
+OWN = {
+    "spark.sql.session.timeZone": "UTC",
+    # a job compiles more stages than the default of 100 kept ones
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
@@ -32,9 +37,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app: str = "tillwise", **conf: str) -> SparkSession:
-    """A session with the runtime settings and the given ones."""
+    """A session with the settings above and the given ones."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**RUNTIME, **conf}.items():
+    for key, value in {**RUNTIME, **OWN, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
