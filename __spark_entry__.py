@@ -7,6 +7,7 @@ come from ``customer``; the weather of a place and day follows a fixed rule.
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -354,7 +355,44 @@ def entry(spark: SparkSession) -> DataFrame:
     return customer_metrics(spark, SMOKE)
 
 
+def _llm():
+    """The queries of the optional subpackage ``tillwise.llm``; None where it is left out."""
+    if importlib.util.find_spec("tillwise.llm") is None:
+        return None
+    from tillwise.llm import queries as module
+
+    return module
+
+
+def _corpus_pipeline():
+    """The optional module ``corpus_pipeline``; None where it is left out."""
+    if importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    import corpus_pipeline
+
+    return corpus_pipeline
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _own_queries()
+    if (llm := _llm()) is not None:
+        found |= llm.queries()
+        if (pipeline := _corpus_pipeline()) is not None:
+            found["pipeline"] = pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _own_sql()
+    if (llm := _llm()) is not None:
+        found |= llm.oracle_sql()
+        pipeline = _corpus_pipeline()
+        if pipeline is not None and pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "sales_fact": sales_fact,
         "customer_metrics": customer_metrics,
@@ -572,7 +610,7 @@ def _from_scalar_counts(parts: list[tuple[str, str]], source: str) -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     lines = f"WITH {_SALES_SQL},{_CUSTOMERS_SQL}"
     merged = """
       SELECT * FROM held UNION ALL
