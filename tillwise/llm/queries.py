@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import hash_tree
+from tillwise.llm import hash_tree, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_url_logistic": url_filter.query,
         "op9_hash_tree": hash_tree.query,
     }
 
