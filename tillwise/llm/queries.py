@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import fertility, hash_tree, packing, url_filter
+from tillwise.llm import fertility, hash_tree, packing, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_url_logistic": url_filter.query,
+        "op5_ftrl": toxicity.query,
         "op6_packing": packing.query,
         "op7_fertility": fertility.query,
         "op9_hash_tree": hash_tree.query,
