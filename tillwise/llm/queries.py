@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import byte_cnn, fertility, hash_tree, packing, toxicity, url_filter
+from tillwise.llm import byte_cnn, fertility, fm_index, hash_tree, packing, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_ftrl": toxicity.query,
         "op6_packing": packing.query,
         "op7_fertility": fertility.query,
+        "op8_fm_index": fm_index.query,
         "op9_hash_tree": hash_tree.query,
         "op10_byte_cnn": byte_cnn.query,
     }
