@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import byte_cnn, fertility, fm_index, hash_tree, packing, toxicity, url_filter
+from tillwise.llm import byte_cnn, fertility, fm_index, hash_tree, packing, quotations, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quotations": quotations.query,
         "op4_url_logistic": url_filter.query,
         "op5_ftrl": toxicity.query,
         "op6_packing": packing.query,
@@ -23,5 +24,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_quotations": quotations.oracle(),
         "op9_hash_tree": hash_tree.oracle(),
     }
