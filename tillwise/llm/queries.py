@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import byte_cnn, fertility, fm_index, hash_tree, packing, quotations, recompression, toxicity, url_filter
+from tillwise.llm import bag_minhash, byte_cnn, fertility, fm_index, hash_tree, packing, quotations, recompression, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quotations": quotations.query,
         "op2_recompression": recompression.query,
+        "op3_bag_minhash": bag_minhash.query,
         "op4_url_logistic": url_filter.query,
         "op5_ftrl": toxicity.query,
         "op6_packing": packing.query,
