@@ -138,32 +138,43 @@ def link(messages: DataFrame) -> DataFrame:
 def roots(parents: DataFrame) -> DataFrame:
     """``conv_id, turn, parent_turn, root_turn, depth`` by pointer doubling.
 
-    Each round joins every message with the ancestor reached so far, so a chain of n
-    messages takes log2(n) rounds; parents are earlier, so there are no circles.
+    Each round joins the messages that have not reached their root with the ancestors that
+    all have reached so far, so a chain of n messages takes log2(n) rounds and short
+    threads leave early. Parents are earlier, so there are no circles.
     """
-    reached = stage(
-        parents.select("conv_id", "turn", "parent_turn", F.col("parent_turn").alias("root_turn"), F.lit(1).cast("long").alias("depth")),
+    active = stage(
+        parents.select(
+            "conv_id",
+            "turn",
+            "parent_turn",
+            F.col("parent_turn").alias("root_turn"),
+            F.lit(1).cast("long").alias("depth"),
+        ),
         "threads",
     )
+    done = active.limit(0)
     while True:
-        further = reached.select(
+        further = active.unionByName(done).select(
             "conv_id",
             F.col("turn").alias("root_turn"),
             F.col("root_turn").alias("_root"),
             F.col("depth").alias("_depth"),
         )
-        step = reached.join(further, ["conv_id", "root_turn"], "left").select(
-            "conv_id",
-            "turn",
-            "parent_turn",
-            F.coalesce("_root", "root_turn").alias("root_turn"),
-            (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            F.col("_root").isNotNull().alias("_moved"),
+        step = stage(
+            active.join(further, ["conv_id", "root_turn"], "left").select(
+                "conv_id",
+                "turn",
+                "parent_turn",
+                F.coalesce("_root", "root_turn").alias("root_turn"),
+                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+                F.col("_root").isNotNull().alias("_moved"),
+            ),
+            "threads",
         )
-        step = stage(step, "threads")
-        reached = step.drop("_moved")
-        if not step.where("_moved").limit(1).count():
-            return reached
+        done = done.unionByName(step.where("NOT _moved").drop("_moved"))
+        active = step.where("_moved").drop("_moved")
+        if not active.limit(1).count():
+            return done
 
 
 def quoted(conversations: DataFrame) -> DataFrame:
