@@ -28,14 +28,21 @@ from tillwise.operators.joins import (
     with_customers,
     with_weather,
 )
-from tillwise.operators.merge import first_per_key, insert_if_absent, merge_counts, upsert
+from tillwise.operators.merge import (
+    first_per_key,
+    insert_if_absent,
+    merge_counts,
+    rows_to_insert,
+    upsert,
+    without_key,
+)
 from tillwise.plans.enrich import enrich, enrich_by_customer_day
 from tillwise.plans.job import row_counts, run_job
-from tillwise.session import prepare
+from tillwise.session import input_bytes, prepare
 from tillwise.sinks.tables import ParquetTable
 from tillwise.sources.documents import json_field
 from tillwise.sources.files import flatten_users, parse_users, read_sales_csv, read_users_json
-from tillwise.sources.lookup import look_up
+from tillwise.sources.lookup import fetch_documents, look_up, outcome_counts
 from tillwise.sources.star import order_heads, sales_lines, star_table
 from tillwise.staging import shared_folder, stage
 
@@ -45,7 +52,7 @@ SMOKE = "/root/testdata/sf0.001"
 
 
 def _sales(spark: SparkSession, folder: str) -> DataFrame:
-    prepare(spark)
+    prepare(spark, input_bytes(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet"))
     return sales_lines(star_table(spark, folder, "lineitem"), star_table(spark, folder, "orders"))
 
 
@@ -216,9 +223,10 @@ def user_file(spark, folder):
 
 
 def sales_csv(spark, folder):
-    """Sales lines through CSV files in the shared folder."""
+    """Sales lines through CSV files in the shared folder, their columns in another order."""
     path = _new_folder(spark, "sales-csv")
-    _sales(spark, folder).write.csv(path, header=True)
+    lines = _sales(spark, folder)
+    lines.select(*reversed(lines.columns), F.lit("x").alias("note")).write.csv(path, header=True)
     return read_sales_csv(spark, path)
 
 
@@ -315,6 +323,125 @@ def staged_load(spark, folder):
     return table.rows()
 
 
+def _known_customers(spark, folder):
+    """Customers with proper addresses."""
+    return _customers(spark, folder).withColumn(
+        "email", F.concat(F.lit("c"), "customer_id", F.lit("@example.com"))
+    )
+
+
+def second_batch_conflicts(spark, folder):
+    """What a second batch would break beside customers that are held already.
+
+    Customers with an even id are held. The batch has all but every seventh, every tenth
+    under a new name; the sales of the missing ones have no customer.
+    """
+    customers = _known_customers(spark, folder)
+    held = customers.where("customer_id % 2 = 0")
+    name = F.when(F.col("customer_id") % 10 == 0, F.concat(F.lit("n"), "username"))
+    batch = customers.where("customer_id % 7 <> 0").withColumn("username", F.coalesce(name, "username"))
+    fresh = stage(rows_to_insert(held, batch, ["username"]), "customers-new")
+    everyone = held.unionByName(fresh)
+    return V.key_conflicts(held, fresh, C.CUSTOMERS).unionByName(
+        V.reference_violations(_sales(spark, folder), "customer_id", everyone, "customer_id")
+    )
+
+
+def second_batch_metrics(spark, folder):
+    """The rows of all metric tables after two batches, in common columns.
+
+    The first batch ends in June 1998, the second delivers everything again, a little dearer.
+    """
+    where, customers, weather = _new_folder(spark, "job"), _known_customers(spark, folder), _weather(spark, folder)
+    run_job(spark, _sales(spark, folder).where(F.col("order_date") < "1998-07-01"), customers, weather, where)
+    tables = run_job(spark, _redelivered_sales(spark, folder), customers, weather, where)
+
+    def rows(name, key, volume, revenue, orders):
+        return tables[name].rows().select(
+            F.lit(name).alias("table_name"),
+            F.col(key).cast("string").alias("key"),
+            F.col(volume).cast("bigint").alias("volume"),
+            F.col(revenue).cast(C.TOTAL).alias("revenue"),
+            (F.lit(None) if orders is None else F.col(orders)).cast("bigint").alias("orders"),
+        )
+
+    grouped = ("total_sales_volume", "total_sales_revenue", "order_count")
+    return (
+        rows("monthly_sales_metrics", "year_month", *grouped)
+        .unionByName(rows("seasonal_sales_metrics", "weather_condition", *grouped))
+        .unionByName(rows("product_metrics", "product_id", "sales_volume", "total_revenue", None))
+        .unionByName(rows("customer_metrics", "customer_id", "recency", "total_revenue", "frequency"))
+    )
+
+
+def merge_with_null_keys(spark, folder):
+    """A batch whose every fiftieth order has no product, merged twice; what was set aside."""
+    key = ["order_id", "product_id"]
+    product = F.when(F.col("order_id") % 50 != 0, F.col("product_id"))
+    batch = _redelivered_sales(spark, folder).withColumn("product_id", product)
+    once = stage(insert_if_absent(_held_sales(spark, folder), batch, key), "merged")
+    merged = insert_if_absent(once, batch, key).withColumn("set_aside", F.lit(False))
+    return merged.unionByName(without_key(batch, key).withColumn("set_aside", F.lit(True)))
+
+
+def approximate_quartile_ranks(spark, folder):
+    """Whether each approximate cut has a rank within the error, over all customers."""
+    totals = stage(M.customer_totals(_sales(spark, folder)), "customer-totals")
+    values = M.customer_values(totals, M.latest_order_date(totals)).where("ltv IS NOT NULL")
+    cuts = M.value_cuts(values, "approx")
+    count = F.count(F.lit(1))
+    parts = [
+        F.struct(
+            F.lit(p).alias("probability"),
+            (
+                # the cut's rank lies between the values below it and those up to it
+                (F.count_if(F.col("ltv") < cut) <= (p + M.RANK_ERROR) * count)
+                & (F.count_if(F.col("ltv") <= cut) >= (p - M.RANK_ERROR) * count)
+            ).alias("within_bound"),
+        )
+        for p, cut in zip(M.QUARTILES, cuts, strict=True)
+    ]
+    return values.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
+
+
+def wrong_frame_problems(spark, folder):
+    """What is wrong with lines without price and with quantities as text, and for how many rows."""
+    lines = _sales(spark, folder).drop("price").withColumn("quantity", F.col("quantity").cast("string"))
+    problems = V.schema_problems(lines, C.SALES_TABLE)
+    return lines.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.explode(F.array(*map(F.lit, problems))).alias("problem"), "n_rows"
+    )
+
+
+def append_twice(spark, folder):
+    """The lines appended to a table two times, read back."""
+    table = ParquetTable(spark, _new_folder(spark, "sales"), C.SALES_TABLE, by_month="order_date")
+    rows = stage(_sales_rows(spark, folder), "sales-rows")
+    table.append(rows)
+    table.append(rows)
+    return table.rows()
+
+
+def lookup_outcomes(spark, folder):
+    """Outcomes by status of a service that fails at some places and is slow to answer at others."""
+    keys = lookup_keys(_sales(spark, folder), _customers(spark, folder))
+    answer, tries = _fetch_rule(), {}
+
+    def fetch(asked):
+        for latitude, _, epoch in asked:
+            if epoch // 86400 % 13 == 0:
+                raise OSError("no answer for this day")
+            tries[latitude] = tries.get(latitude, 0) + 1
+            if tries[latitude] == 1:
+                raise OSError("not yet")
+        return [answer(*key) for key in asked]
+
+    outcomes = fetch_documents(
+        keys, fetch, partitions=32, first_wait=0.0, attempts=30, on_error="skip", batch_size=1
+    )
+    return outcome_counts(outcomes)
+
+
 def conform_types(spark, folder):
     return conform(_sales_rows(spark, folder), C.SALES_TABLE, narrow=True)
 
@@ -424,6 +551,13 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "staged_load": staged_load,
         "conform_types": conform_types,
         "full_job": full_job,
+        "second_batch_conflicts": second_batch_conflicts,
+        "second_batch_metrics": second_batch_metrics,
+        "merge_with_null_keys": merge_with_null_keys,
+        "approximate_quartile_ranks": approximate_quartile_ranks,
+        "wrong_frame_problems": wrong_frame_problems,
+        "append_twice": append_twice,
+        "lookup_outcomes": lookup_outcomes,
         "total_sales_per_customer": total_sales_per_customer,
         "avg_quantity_per_product": avg_quantity_per_product,
         "top_products": top_products,
@@ -679,7 +813,8 @@ def _own_sql() -> dict[str, str]:
             SELECT (SELECT count(*) FROM redelivered) AS batch_rows,
                    (SELECT count(*) FROM redelivered) - (SELECT count(*) FROM batch) AS copies_in_batch,
                    (SELECT n FROM present) AS already_present,
-                   (SELECT count(*) FROM batch) - (SELECT n FROM present) AS inserted""",
+                   (SELECT count(*) FROM batch) - (SELECT n FROM present) AS inserted,
+                   CAST(0 AS BIGINT) AS without_key""",
         "upsert_sales": f"""WITH {_SALES_SQL},{_HELD_SQL},{_BATCH_SQL},
             late AS (SELECT * FROM batch WHERE order_date >= DATE '1997-01-01')
             SELECT * FROM late UNION ALL
@@ -714,6 +849,57 @@ def _own_sql() -> dict[str, str]:
             SELECT 'product_metrics', count(DISTINCT product_id) FROM enriched UNION ALL
             SELECT 'seasonal_sales_metrics', count(DISTINCT coalesce(weather_condition, 'Unknown')) FROM enriched UNION ALL
             SELECT 'monthly_sales_metrics', count(DISTINCT strftime(order_date, '%Y-%m')) FROM enriched""",
+        "second_batch_conflicts": f"""{lines},
+            held AS (SELECT * FROM customers WHERE customer_id % 2 = 0),
+            batch AS (
+              SELECT customer_id, CASE WHEN customer_id % 10 = 0 THEN 'n' || username ELSE username END AS username
+              FROM customers WHERE customer_id % 7 <> 0),
+            fresh AS (SELECT * FROM batch WHERE username NOT IN (SELECT username FROM held)),
+            clash AS (SELECT count(*) AS n FROM fresh WHERE customer_id IN (SELECT customer_id FROM held))
+            SELECT 'customer_id_unique' AS rule, n AS violations FROM clash UNION ALL
+            SELECT 'username_unique', CAST(0 AS BIGINT) UNION ALL
+            SELECT 'email_unique', n FROM clash UNION ALL
+            SELECT 'customer_id_reference', count(*) FROM sales
+            WHERE customer_id NOT IN (SELECT customer_id FROM held UNION SELECT customer_id FROM fresh)""",
+        "second_batch_metrics": f"""WITH {_SALES_SQL},{_CUSTOMERS_SQL},{_WEATHER_SQL},{_HELD_SQL},{_BATCH_SQL},
+            merged AS ({merged}),
+            full_lines AS (
+              SELECT m.*, coalesce(w.weather_condition, 'Unknown') AS condition FROM merged m
+              LEFT JOIN customers c ON m.customer_id = c.customer_id
+              LEFT JOIN weather w ON c.latitude = w.latitude AND c.longitude = w.longitude
+                                 AND m.order_date = w.order_date)
+            SELECT 'monthly_sales_metrics' AS table_name, strftime(order_date, '%Y-%m') AS key,
+                   CAST(sum(quantity) AS BIGINT) AS volume, CAST(sum(price) AS DECIMAL(28,2)) AS revenue,
+                   count(DISTINCT order_id) AS orders FROM merged GROUP BY 2 UNION ALL
+            SELECT 'seasonal_sales_metrics', condition, CAST(sum(quantity) AS BIGINT),
+                   CAST(sum(price) AS DECIMAL(28,2)), count(DISTINCT order_id) FROM full_lines GROUP BY 2 UNION ALL
+            SELECT 'product_metrics', CAST(product_id AS VARCHAR), CAST(sum(quantity) AS BIGINT),
+                   CAST(sum(price) AS DECIMAL(28,2)), CAST(NULL AS BIGINT) FROM merged GROUP BY 2 UNION ALL
+            SELECT 'customer_metrics', CAST(customer_id AS VARCHAR),
+                   datediff('day', max(order_date), (SELECT max(order_date) FROM merged)),
+                   CAST(sum(price) AS DECIMAL(28,2)), count(DISTINCT order_id)
+            FROM merged GROUP BY customer_id""",
+        "merge_with_null_keys": f"""WITH {_SALES_SQL},{_HELD_SQL},{_BATCH_SQL}
+            SELECT *, false AS set_aside FROM held UNION ALL
+            SELECT b.*, false FROM batch b WHERE order_id % 50 <> 0 AND NOT EXISTS (
+              SELECT 1 FROM held h WHERE h.order_id = b.order_id AND h.product_id = b.product_id) UNION ALL
+            SELECT order_id, customer_id, NULL, quantity, price, order_date, true
+            FROM redelivered WHERE order_id % 50 = 0""",
+        "approximate_quartile_ranks": """SELECT CAST(p AS DOUBLE) AS probability, true AS within_bound
+            FROM (VALUES (0.25), (0.5), (0.75)) t(p)""",
+        "wrong_frame_problems": f"""WITH {_SALES_SQL}
+            SELECT problem, (SELECT count(*) FROM sales) AS n_rows FROM (VALUES
+              ('missing column price'), ('column quantity is string, expected int'),
+              ('missing column temperature'), ('missing column weather_condition')) t(problem)""",
+        "append_twice": f"""WITH {_ENRICHED_SQL}, lines AS (
+              SELECT order_id, customer_id, product_id, quantity, price, order_date, temperature, weather_condition
+              FROM enriched)
+            SELECT * FROM lines UNION ALL SELECT * FROM lines""",
+        "lookup_outcomes": f"""{lines},{_WEATHER_SQL}
+            SELECT CASE WHEN CAST(epoch(order_date) AS BIGINT) // 86400 % 13 = 0 THEN 'failed'
+                        WHEN (nation + doy) % 11 = 0 THEN 'empty' ELSE 'ok' END AS status,
+                   count(*) AS keys
+            FROM numbered GROUP BY 1""",
         "total_sales_per_customer": f"""WITH {_SALES_SQL}
             SELECT customer_id, CAST(sum(price) AS DECIMAL(28,2)) AS total_sales_amount
             FROM sales GROUP BY customer_id""",

@@ -82,13 +82,86 @@ def test_second_batch(spark, folder, sales_of_rows, customers_of_rows, weather_o
     first = sales_of_rows((1, 1, 1, 1, 10, "2023-01-01"))
     second = sales_of_rows((1, 1, 1, 9, 99, "2023-01-01"), (2, 2, 1, 2, 20, "2023-01-02"))
     run_job(spark, first, customers, weather, folder)
-    tables = run_job(spark, second, customers, weather, folder, metrics_mode=mode)
+    tables = run_job(spark, second, customers, weather, folder, metrics_mode=mode, metrics_of="batch")
     assert rows(tables["sales"].rows(), "order_id", "quantity") == [(1, 1), (2, 2)]
     assert rows(tables["customers"].rows(), "username") == [("u1",), ("u2",)]
     volume = {"upsert": 11, "insert_if_absent": 1}[mode]
     assert rows(tables["product_metrics"].rows(), "product_id", "sales_volume") == [(1, volume)]
 
 
+def test_metrics_describe_the_merged_table(spark, folder, sales_of_rows, customers_of_rows, weather_of_rows):
+    customers = customers_of_rows((1, "n1", "u1", "u1@b.co", 1.0, 5.0))
+    run_job(spark, sales_of_rows((1, 1, 1, 1, 10, "2022-06-01")), customers, weather_of_rows(), folder)
+    second = sales_of_rows((1, 1, 1, 9, 99, "2022-06-01"), (2, 1, 1, 2, 20, "2022-07-02"), (2, 1, 1, 2, 20, "2022-07-02"))
+    tables = run_job(spark, second, customers, weather_of_rows(), folder)
+    assert rows(tables["monthly_sales_metrics"].rows(), "year_month", "total_sales_volume") == [("2022-06", 1), ("2022-07", 2)]
+    for name, column in (
+        ("monthly_sales_metrics", "total_sales_revenue"), ("seasonal_sales_metrics", "total_sales_revenue"),
+        ("product_metrics", "total_revenue"), ("customer_metrics", "total_revenue"), ("sales", "price"),
+    ):
+        assert tables[name].rows().selectExpr(f"sum({column})").first()[0] == 30, name
+
+
+def test_clash_with_held_rows_changes_nothing(spark, folder, sales_of_rows, customers_of_rows, weather_of_rows):
+    run_job(
+        spark, sales_of_rows((1, 1, 1, 1, 10, "2023-01-01")),
+        customers_of_rows((1, "n1", "u1", "u1@b.co", 1.0, 5.0)), weather_of_rows(), folder,
+    )
+    second = customers_of_rows((1, "n1", "u1b", "u1@b.co", 1.0, 5.0), (9, "n9", "u1", "u9@b.co", 1.0, 5.0))
+    sales = sales_of_rows((2, 1, 1, 1, 10, "2023-01-02"), (3, 9, 1, 1, 10, "2023-01-02"))
+    with pytest.raises(ValidationError) as stopped:
+        run_job(spark, sales, second, weather_of_rows(), folder)
+    assert str(stopped.value) == "customer_id_reference: 1, customer_id_unique: 1, email_unique: 1"
+    tables = open_tables(spark, folder)
+    assert rows(tables["customers"].rows(), "username") == [("u1",)]
+    assert rows(tables["sales"].rows(), "order_id") == [(1,)]
+
+
+def test_large_ids_and_prices_are_loaded(spark, folder, sales_of_rows, customers_of_rows, weather_of_rows):
+    sales = sales_of_rows((3_000_000_000, 1, 1, 1, "250000000.00", "2023-01-01"))
+    customers = customers_of_rows((1, "n1", "u1", "u1@b.co", 1.0, 5.0))
+    tables = run_job(spark, sales, customers, weather_of_rows(), folder)
+    assert rows(tables["sales"].rows(), "order_id", "price") == [(3_000_000_000, Decimal("250000000.00"))]
+    assert rows(tables["product_metrics"].rows(), "total_revenue") == [(Decimal("250000000.00"),)]
+
+
+def refuse(latitude, longitude, epoch):
+    problem = OSError("not again")
+    problem.permanent = True
+    raise problem
+
+
+def test_second_run_asks_for_nothing_and_failures_are_written(spark, files, folder, weather_of_rows):
+    run_job_on_files(spark, *files, weather_of_rows(), folder, fetch=some_days)
+    before = rows(open_tables(spark, folder)["seasonal_sales_metrics"].rows())
+    run_job_on_files(spark, *files, weather_of_rows(), folder, fetch=refuse)
+    assert rows(open_tables(spark, folder)["seasonal_sales_metrics"].rows()) == before
+    assert spark.read.parquet(f"{folder}/failed_lookups").count() == 0
+    other = f"{folder}-other"
+    run_job_on_files(spark, *files, weather_of_rows(), other, fetch=refuse, lookup_options={"on_error": "skip"})
+    failed = spark.read.parquet(f"{other}/failed_lookups")
+    assert failed.count() == 8 and set(rows(failed, "error")) == {("OSError: not again",)}
+
+
+def test_patterns_and_user_lines(spark, files, folder, weather_of_rows, tmp_path):
+    users = json.loads((tmp_path / "users.json").read_text())
+    (tmp_path / "users.jsonl").write_text("\n".join(map(json.dumps, users)))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    tables = run_job_on_files(
+        spark, str(tmp_path / "*.csv"), str(tmp_path / "users.jsonl"), weather_of_rows(), folder, user_lines=True
+    )
+    assert tables["customers"].rows().count() == 4 and tables["sales"].rows().count() == 8
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) == before
+
+
+def test_rejected_rows_are_added_once(spark, folder, sales_of_rows, customers_of_rows, weather_of_rows):
+    customers = customers_of_rows((1, "n1", "u1", "u1@b.co", 1.0, 5.0))
+    sales = sales_of_rows((1, 1, 1, 1, 10, "2023-01-01"), (2, 1, 1, 0, 10, "2023-01-01"))
+    for _ in range(2):
+        run_job(spark, sales, customers, weather_of_rows(), folder, bad_rows="quarantine")
+    assert spark.read.parquet(f"{folder}/rejected_sales").count() == 1
+
+
 def test_unknown_customer_stops_the_job_or_is_set_aside(spark, folder, sales_of_rows, customers_of_rows, weather_of_rows):
     customers = customers_of_rows((1, "n1", "u1", "u1@b.co", 1.0, 5.0), (2, "n2", "u2", "broken", 2.0, 5.0))
     sales = sales_of_rows(

@@ -12,7 +12,7 @@ from tillwise import contracts as C
 from tillwise.operators import merge as G
 from tillwise.operators.conform import conform
 from tillwise.sinks.tables import ParquetTable
-from tillwise.staging import shared_folder, staged
+from tillwise.staging import scratch, shared_folder, stage, staged
 
 SCHEMA = "k int, j int, v int, w string"
 KEY = ["k", "j"]
@@ -32,12 +32,25 @@ def test_existing_rows_win_and_copies_in_the_batch_collapse(frame):
     target = frame((1, 1, 10, "old"))
     batch = frame((1, 1, 99, "new"), (2, 1, 7, "b"), (2, 1, 5, "z"), (2, 1, 5, "a"), (3, 1, None, "n"), (3, 1, 0, "m"))
     merged = G.insert_if_absent(target, batch, KEY)
-    assert rows(merged) == [(1, 1, 10, "old"), (2, 1, 5, "a"), (3, 1, None, "n")]
+    assert rows(merged) == [(1, 1, 10, "old"), (2, 1, 5, "a"), (3, 1, 0, "m")]
     assert rows(G.insert_if_absent(merged, batch, KEY)) == rows(merged)
-    assert tuple(G.merge_counts(target, batch, KEY).first()) == (6, 3, 1, 2)
+    assert tuple(G.merge_counts(target, batch, KEY).first()) == (6, 3, 1, 2, 0)
     assert merged.count() == target.count() + 2
 
 
+def test_null_keys_are_set_aside_and_counted(frame):
+    target = frame((1, 1, 10, "old"))
+    batch = frame((1, None, 1, "a"), (None, None, 2, "b"), (1, None, 1, "a"), (2, 1, 3, "c"))
+    once = G.insert_if_absent(target, batch, KEY)
+    assert rows(once) == [(1, 1, 10, "old"), (2, 1, 3, "c")]
+    assert rows(G.insert_if_absent(once, batch, KEY)) == rows(once)
+    assert rows(G.upsert(once, batch, KEY)) == rows(once)
+    assert tuple(G.merge_counts(target, batch, KEY).first()) == (1, 0, 0, 1, 3)
+    assert G.without_key(batch, KEY).count() == 3
+    kept = target.unionByName(frame((None, 1, 5, "kept")))
+    assert rows(G.upsert(kept, batch, KEY)) == rows(kept.unionByName(frame((2, 1, 3, "c"))))
+
+
 def test_tie_break_column_decides(frame):
     batch = frame((1, 1, 1, "z"), (1, 1, 2, "a"))
     assert rows(G.first_per_key(batch, KEY, ["w"])) == [(1, 1, 2, "a")]
@@ -55,7 +68,7 @@ def test_empty_batch_and_empty_target(frame):
     some = frame((1, 1, 1, "a"))
     assert rows(G.insert_if_absent(some, some.limit(0), KEY)) == rows(some)
     assert rows(G.insert_if_absent(some.limit(0), some, KEY)) == rows(some)
-    assert tuple(G.merge_counts(some, some.limit(0), KEY).first()) == (0, 0, 0, 0)
+    assert tuple(G.merge_counts(some, some.limit(0), KEY).first()) == (0, 0, 0, 0, 0)
 
 
 def test_small_batch_does_not_shuffle_the_table(spark, conf, folder):
@@ -173,6 +186,34 @@ def test_refused_load_changes_nothing_and_drops_the_stage(spark, folder, batch):
     assert rows(table.rows(), "k", "v") == [(1, 1)]
 
 
+def test_load_looks_at_held_rows(spark, folder, batch):
+    contract = C.Contract("t", TABLE.columns, primary_key=("k",), unique=(("v",),))
+    table = ParquetTable(spark, folder, contract)
+    table.load(batch((1, "2023-01-05", 1)), ["k"])
+    with pytest.raises(ValueError, match="v_unique: 1"):
+        table.load(batch((2, "2023-01-05", 1)), ["k"])
+    assert rows(table.rows(), "k", "v") == [(1, 1)]
+    table.load(batch((1, "2023-01-05", 7), (2, "2023-01-05", 2)), ["k"])
+    assert rows(table.rows(), "k", "v") == [(1, 1), (2, 2)]
+
+
+def test_vacuum_keeps_what_readers_need(spark, folder, batch):
+    table = ParquetTable(spark, folder, TABLE)
+    table.append(batch((1, "2023-01-05", 1)))
+    table.overwrite(batch((2, "2023-01-05", 2)))
+    table.append(batch((3, "2023-01-05", 3)))
+    table.vacuum()
+    assert rows(table.rows(), "k") == [(2,), (3,)]
+    assert sorted(os.listdir(folder.removeprefix("file:"))) == ["load=00000002-full", "load=00000003-add"]
+
+
+def test_scratch_deletes_what_was_staged_inside(spark):
+    with scratch(spark):
+        files = [f.removeprefix("file://") for f in stage(spark.range(3), "three").inputFiles()]
+        assert all(os.path.exists(f) for f in files)
+    assert files and not any(os.path.exists(f) for f in files)
+
+
 def test_staged_files_last_as_long_as_their_block(spark):
     with staged(spark.range(3), "three") as frame:
         files = [f.removeprefix("file://") for f in frame.inputFiles()]

@@ -27,9 +27,9 @@ from tillwise.staging import shared_folder
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CSV = """order_id,customer_id,product_id,quantity,price,order_date
-1,5,40,3,35.6,2022-06-21
-2,8,13,7,36.52,not a date
-3,x,44,4,46.565,2023-04-22
+71,4,12,2,18.9,2024-03-05
+72,9,31,5,7.25,not a date
+73,x,8,6,12.345,2024-11-30
 """
 
 USERS = [
@@ -46,15 +46,26 @@ def test_sales_csv(spark, tmp_path, conf, ansi):
     df = read_sales_csv(spark, str(path))
     assert df.schema["price"].dataType == C.MONEY
     assert rows(df) == [
-        (1, 5, 40, 3, Decimal("35.60"), day("2022-06-21")),
-        (2, 8, 13, 7, Decimal("36.52"), None),
-        (3, None, 44, 4, Decimal("46.57"), day("2023-04-22")),
+        (71, 4, 12, 2, Decimal("18.90"), day("2024-03-05")),
+        (72, 9, 31, 5, Decimal("7.25"), None),
+        (73, None, 8, 6, Decimal("12.35"), day("2024-11-30")),
     ]
 
 
+def test_sales_csv_goes_by_the_header(spark, tmp_path):
+    path = tmp_path / "sales.csv"
+    path.write_text("customer_id,note,order_id,price,product_id,order_date,quantity\n4,n,71,18.9,12,2024-03-05,2\n")
+    df = read_sales_csv(spark, str(path))
+    assert df.columns == C.SALES_CSV.names
+    assert rows(df) == [(71, 4, 12, 2, Decimal("18.90"), day("2024-03-05"))]
+    path.write_text("customer_id,order_id,price\n4,71,18.9\n")
+    with pytest.raises(ValueError, match="no column product_id, quantity, order_date"):
+        read_sales_csv(spark, str(path))
+
+
 def test_sales_csv_with_inferred_types(spark, tmp_path):
     path = tmp_path / "sales.csv"
-    path.write_text(CSV.replace("not a date", "2022-07-01").replace("x", "6"))
+    path.write_text(CSV.replace("not a date", "2024-07-01").replace("x", "6"))
     df = read_sales_csv(spark, str(path), infer=True)
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "int", "int", "int", "double", "date"]
     assert df.count() == 3
@@ -210,7 +221,7 @@ def test_shuffle_size_follows_the_input(spark, conf, tmp_path):
     assert input_bytes(spark, str(tmp_path)) >= 1000
     assert size_shuffles(spark, 1) == 4
     assert size_shuffles(spark, 100 * PARTITION_BYTES) == 100
-    assert size_shuffles(spark, 100 * 2**40) == 32768
+    assert size_shuffles(spark, 100 * 2**40) == 819200
 
 
 def session_with(master, **conf):

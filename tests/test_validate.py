@@ -63,17 +63,17 @@ def test_contract_rules(sale):
     df = sale(
         {"name": None}, {"name": "x" * 256}, {"username": "y" * 255}, {"customer_id": 2**40}, {"latitude": 1000.0}
     )
-    got = report(df, V.contract_rules(C.CUSTOMERS))
+    got = report(df, V.contract_rules(C.CUSTOMERS, narrow=True))
     assert (got["name_not_null"], got["name_length"], got["username_length"]) == (1, 1, 0)
     assert (got["customer_id_fits"], got["latitude_fits"], got["longitude_fits"]) == (1, 1, 0)
-    got = report(sale({"temperature": 100.5}, {"temperature": None}, {"temperature": 1000.0}), V.contract_rules(C.SALES_TABLE))
+    got = report(sale({"temperature": 100.5}, {"temperature": None}, {"temperature": 1000.0}), V.contract_rules(C.SALES_TABLE, narrow=True))
     assert (got["temperature_plausible"], got["temperature_fits"], got["price_not_null"]) == (2, 1, 3)
 
 
 def test_price_beyond_the_declared_width(spark):
     df = spark.sql("SELECT CAST(v AS DECIMAL(18,2)) AS price FROM VALUES (99999999.99), (100000000.00), (NULL) AS t(v)")
     contract = C.Contract("t", (C.Column("price", C.MONEY, declared=T.DecimalType(10, 2)),))
-    assert report(df, V.contract_rules(contract))["price_fits"] == 1
+    assert report(df, V.contract_rules(contract, narrow=True))["price_fits"] == 1
 
 
 @pytest.mark.parametrize(
@@ -90,7 +90,7 @@ def test_width_rule_agrees_with_casting(spark, held, declared):
         (F.col("t").cast("decimal(30,10)") if held == "bigint" else F.col("t")).try_cast(held).alias("x")
     )
     contract = C.Contract("t", (C.Column("x", df.schema["x"].dataType, declared=width),))
-    bad = V.contract_rules(contract)["x_fits"]
+    bad = V.contract_rules(contract, narrow=True)["x_fits"]
     both = df.select(F.coalesce(bad, F.lit(False)).alias("rule"), (F.col("x").isNotNull() & F.col("x").try_cast(width).isNull()).alias("cast"), "x")
     assert [tuple(r) for r in both.where("rule <> cast").collect()] == []
     assert both.where("rule").count() > 0

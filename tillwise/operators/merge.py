@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.contracts import CUSTOMERS, SALES_TABLE
@@ -15,13 +16,24 @@ def first_per_key(batch: DataFrame, key: Sequence[str], order_by: Sequence[str]
     """One row per key: the smallest by ``order_by``, then by the other columns.
 
     The smallest row is an aggregate, so copies of a hot key are reduced on the
-    map side and never meet in one task as they would in a window. Nulls sort
-    first.
+    map side and never meet in one task as they would in a window. A value comes
+    before a null, so of two copies the more complete one is kept.
     """
     others = [c for c in batch.columns if c not in key]
     ordered = [*order_by, *[c for c in others if c not in order_by]]
-    smallest = batch.groupBy(*key).agg(F.min(F.struct(*ordered)).alias("row"))
-    return smallest.select(*key, "row.*").select(*batch.columns)
+    parts = [x for c in ordered for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    smallest = batch.groupBy(*key).agg(F.min(F.struct(*parts)).alias("row"))
+    return smallest.select(*key, *[f"row.{c}" for c in ordered]).select(*batch.columns)
+
+
+def with_key(batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key has no null; the others cannot be merged."""
+    return batch.dropna(subset=list(key))
+
+
+def without_key(batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows that a merge sets aside, since a part of their key is null."""
+    return batch.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key]))
 
 
 def absent_rows(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -41,8 +53,11 @@ def absent_rows(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> Data
 def rows_to_insert(
     target: DataFrame, batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """What ``insert if absent`` adds: existing rows win, one row per key in the batch."""
-    return absent_rows(target, first_per_key(batch, key, order_by), key)
+    """What ``insert if absent`` adds: existing rows win, one row per key in the batch.
+
+    Rows with a null in the key are left out, see :func:`without_key`.
+    """
+    return absent_rows(target, first_per_key(with_key(batch, key), key, order_by), key)
 
 
 def insert_if_absent(
@@ -56,19 +71,27 @@ def upsert(
     target: DataFrame, batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
     """The merged table as a frame, where rows of the batch replace existing ones."""
-    fresh = first_per_key(batch, key, order_by)
+    fresh = first_per_key(with_key(batch, key), key, order_by)
     return absent_rows(fresh, target, key).unionByName(fresh)
 
 
 def merge_counts(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: batch rows, copies inside the batch, keys already present, rows to insert."""
-    keys = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    """One row: batch rows, copies inside the batch, keys already present, rows to insert,
+    and rows set aside without a complete key (which are in none of the other counts)."""
+    complete = ~reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
+    keys = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).withColumn("complete", complete)
     held = target.select(*key).distinct().withColumn("held", F.lit(True))
+
+    def total(of: Column) -> Column:
+        return F.coalesce(F.sum(of), F.lit(0))
+
+    copies, complete = F.col("copies"), F.col("complete")
     return keys.join(held, list(key), "left").agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("batch_rows"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("copies_in_batch"),
+        total(F.when(complete, copies)).alias("batch_rows"),
+        total(F.when(complete, copies - 1)).alias("copies_in_batch"),
         F.count_if(F.col("held")).alias("already_present"),
-        F.count_if(F.col("held").isNull()).alias("inserted"),
+        F.count_if(complete & F.col("held").isNull()).alias("inserted"),
+        total(F.when(~complete, copies)).alias("without_key"),
     )
 
 

@@ -21,12 +21,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.staging import fits_broadcast
+from tillwise.staging import fits
 
 SLOTS_PER_OCTAVE = 256
 LINEAR_SLOTS = 65536
 #: Rows of a bracket that may be counted value by value.
 COUNTED_ONE_BY_ONE = 200_000
+#: Input that is counted value by value at once; the counts then meet in one task.
+COUNTED_AT_ONCE = 4 * 1024 * 1024
 # log2 of a double lies between -1075 and 1024
 _OCTAVES = 1100
 
@@ -55,7 +57,10 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
     values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     found = _first_brackets(values, probabilities)
     while any(not b.solved and b.rows > COUNTED_ONE_BY_ONE for b in found):
-        found = _narrow(values, found, _linear_slot)
+        narrower = _narrow(values, found, _linear_slot)
+        if narrower == found:
+            raise RuntimeError(f"no narrower range found in {found}")
+        found = narrower
     if any(not b.solved for b in found):
         found = _narrow(values, found, lambda value, low, high: value)
     return [b.low for b in found]
@@ -71,7 +76,9 @@ def approximate_quantiles(
 def _log_slot(value: Column) -> Column:
     """Slot number that never falls when the value rises, for either sign."""
     octave = F.least(F.log2(F.abs(value)), F.lit(1024.0))
-    size = F.floor(octave * SLOTS_PER_OCTAVE) + _OCTAVES * SLOTS_PER_OCTAVE
+    # infinity has a slot of its own: no step divides a range that ends in it
+    endless = (F.abs(value) == float("inf")).cast("int")
+    size = F.floor(octave * SLOTS_PER_OCTAVE) + _OCTAVES * SLOTS_PER_OCTAVE + endless
     return F.when(value > 0, size).when(value < 0, -size).otherwise(0)
 
 
@@ -99,7 +106,7 @@ def _holds(rank: Column) -> Column:
 
 def _first_brackets(values: DataFrame, probabilities: Sequence[float]) -> list[_Bracket]:
     v = F.col("v")
-    slot = v if fits_broadcast(values) else _log_slot(v)
+    slot = v if fits(values, COUNTED_AT_ONCE) else _log_slot(v)
     counts = _running_counts(values, F.lit(0), slot)
     found = []
     ranks = [

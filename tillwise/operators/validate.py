@@ -61,8 +61,11 @@ def sale_rules(cols: SalesColumns = SALES) -> dict[str, Column]:
     }
 
 
-def contract_rules(contract: Contract) -> dict[str, Column]:
-    """NOT NULL, CHECK, length and declared-range rules of a table."""
+def contract_rules(contract: Contract, *, narrow: bool = False) -> dict[str, Column]:
+    """NOT NULL, CHECK and length rules of a table.
+
+    ``narrow`` adds the ranges of the declared types, for tables that are kept in these.
+    """
     rules: dict[str, Column] = {}
     for c in contract.columns:
         value = F.col(c.name)
@@ -70,7 +73,7 @@ def contract_rules(contract: Contract) -> dict[str, Column]:
             rules[f"{c.name}_not_null"] = value.isNull()
         if c.max_length is not None:
             rules[f"{c.name}_length"] = F.length(value) > c.max_length
-        if c.declared is not None:
+        if narrow and c.declared is not None:
             rules[f"{c.name}_fits"] = _too_wide(value, c.type, c.declared)
     for name, check in contract.checks.items():
         rules[name] = ~F.expr(check)
@@ -129,16 +132,34 @@ def reference_violations(
     return _as_rows(orphans(df, column, parents, parent_column).agg(lines))
 
 
+def key_conflicts(held: DataFrame, fresh: DataFrame, contract: Contract) -> DataFrame:
+    """Keys of the contract that ``fresh`` rows would break beside the ``held`` ones.
+
+    (rule, violations) for every key: rows beyond the first. Only held rows that share a
+    key with a fresh one are looked at.
+    """
+    parts = []
+    for key in contract.keys:
+        new = fresh.select(*key).dropna()
+        same = held.select(*key).join(new, list(key), "left_semi")
+        parts.append(key_violations(same.unionByName(new), key))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def constraint_report(
-    df: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None = None
+    df: DataFrame,
+    contract: Contract,
+    parents: Mapping[str, DataFrame] | None = None,
+    *,
+    narrow: bool = True,
 ) -> DataFrame:
-    """Every rule of a table contract as (rule, violations).
+    """Every rule of a table contract as (rule, violations), with the declared ranges.
 
     ``parents`` maps a referenced table's name to its frame. All row rules take one
     pass; every key and reference adds one over its own columns, so ``df`` should be
     a table or a staged frame.
     """
-    parts = [rule_report(df, contract_rules(contract))]
+    parts = [rule_report(df, contract_rules(contract, narrow=narrow))]
     parts += [key_violations(df, key) for key in contract.keys]
     for column, (table, parent_column) in contract.references.items():
         parts.append(reference_violations(df, column, (parents or {})[table], parent_column))

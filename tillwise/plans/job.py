@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise import contracts as C
 from tillwise.operators import metrics as M
+from tillwise.operators.conform import conform
 from tillwise.operators.joins import customer_days, place_days
-from tillwise.operators.merge import customers_of, sales_of
+from tillwise.operators.merge import customers_of, rows_to_insert, sales_of
 from tillwise.operators.validate import (
     constraint_report,
     contract_rules,
     fail_on_schema,
     fail_on_violations,
+    key_conflicts,
     offending_rows,
     passing_rows,
+    reference_violations,
     rule_report,
     sale_rules,
 )
 from tillwise.plans.enrich import enrich
-from tillwise.session import input_bytes, size_shuffles
+from tillwise.session import input_bytes, prepared, scanned_bytes
 from tillwise.sinks.tables import ParquetTable
 from tillwise.sources.files import read_sales_csv, read_users_json
-from tillwise.sources.lookup import Fetch, look_up
-from tillwise.staging import staged
+from tillwise.sources.lookup import BatchFetch, Fetch, look_up_into
+from tillwise.staging import scratch, staged
 
 
 def open_tables(spark: SparkSession, folder: str) -> dict[str, ParquetTable]:
@@ -42,67 +47,122 @@ def run_job(
     known_weather: DataFrame,
     folder: str,
     *,
-    fetch: Fetch | None = None,
+    fetch: Fetch | BatchFetch | None = None,
     lookup_options: dict | None = None,
     bad_rows: str = "fail",
     no_weather: str = "Unknown",
     quantiles: str = "exact",
     metrics_mode: str = "overwrite",
+    metrics_of: str = "table",
 ) -> dict[str, ParquetTable]:
     """Load one batch of sales.
 
-    The enriched lines are computed once and written aside; the checks, both loads
-    and all metrics read that copy. All row rules are checked in one pass.
+    The raw sales are read once and written aside with their types, the enriched lines are
+    computed once from that; the checks, both loads and all metrics read the copy. All row
+    rules are checked in one pass. Before anything is published, the new customers and
+    sales are held against the rows already in the tables: a broken key or a sale without
+    customer stops the job with both tables unchanged.
+
     ``bad_rows="quarantine"`` moves offending lines to the folder ``rejected_sales``
-    instead of stopping. Lines without weather appear in the seasonal table under
-    ``no_weather``. ``metrics_mode`` is overwrite, upsert or insert_if_absent.
+    instead of stopping; lines that are there already are not added again. Lines without
+    weather appear in the seasonal table under ``no_weather``. The metrics describe the
+    merged sales table, or the batch alone with ``metrics_of="batch"``; ``metrics_mode`` is
+    overwrite, upsert or insert_if_absent. With ``fetch`` the answers are kept in the
+    folder ``weather`` and keys that failed are written to ``failed_lookups``.
     """
     if bad_rows not in ("fail", "quarantine"):
         raise ValueError(f"unknown mode {bad_rows!r}")
+    if metrics_of not in ("table", "batch"):
+        raise ValueError(f"unknown source of metrics {metrics_of!r}")
     rules = {**contract_rules(C.CUSTOMERS), **contract_rules(C.SALES_TABLE), **sale_rules()}
     tables = open_tables(spark, folder)
-    weather = known_weather
-    if fetch is not None:
-        keys = place_days(customer_days(sales, customers)).dropna()
-        weather = look_up(keys, known_weather, fetch, **(lookup_options or {}))
-
-    with staged(enrich(sales, customers, weather), "enriched") as lines:
-        fail_on_schema(lines, C.ENRICHED_SALE)
-        if bad_rows == "quarantine":
-            offending_rows(lines, rules).write.mode("append").parquet(f"{folder}/rejected_sales")
-            lines = passing_rows(lines, rules)
-        else:
-            fail_on_violations(rule_report(lines, rules))
-
-        tables["customers"].load(
-            customers_of(lines),
-            ["username"],
-            check=lambda batch: fail_on_violations(constraint_report(batch, C.CUSTOMERS)),
-        )
-        tables["sales"].insert_if_absent(sales_of(lines), ["order_id", "product_id"])
-
-        condition = F.coalesce("weather_condition", F.lit(no_weather))
-        for contract, frame in (
-            (C.CUSTOMER_METRICS, M.customer_metrics(lines, mode=quantiles)),
-            (C.PRODUCT_METRICS, M.product_metrics(lines)),
-            (
-                C.SEASONAL_METRICS,
-                M.seasonal_sales_metrics(lines.withColumn("weather_condition", condition)),
-            ),
-            (C.MONTHLY_METRICS, M.monthly_sales_metrics(lines)),
-        ):
-            _publish(tables[contract.name], frame, metrics_mode)
+    with (
+        prepared(spark, scanned_bytes(sales, customers)),
+        scratch(spark),
+        staged(sales, "sales-input") as sales,
+    ):
+        weather = known_weather
+        if fetch is not None:
+            keys = place_days(customer_days(sales, customers)).dropna()
+            answers = ParquetTable(spark, f"{folder}/weather", C.WEATHER)
+            weather, failed = look_up_into(answers, keys, known_weather, fetch, **(lookup_options or {}))
+            failed.write.mode("overwrite").parquet(f"{folder}/failed_lookups")
+
+        with staged(enrich(sales, customers, weather), "enriched") as lines:
+            fail_on_schema(lines, C.ENRICHED_SALE)
+            if bad_rows == "quarantine":
+                _set_aside(spark, offending_rows(lines, rules), f"{folder}/rejected_sales")
+                lines = passing_rows(lines, rules)
+            else:
+                fail_on_violations(rule_report(lines, rules))
+            _load(tables, lines)
+            measured = lines if metrics_of == "batch" else tables["sales"].rows()
+            _measure(tables, measured, no_weather, quantiles, metrics_mode)
     return tables
 
 
+def _load(tables: dict[str, ParquetTable], lines: DataFrame) -> None:
+    """Insert the new customers and sales, or neither of them."""
+    held, sold = tables["customers"], tables["sales"]
+    batch = conform(customers_of(lines), C.CUSTOMERS)
+    fresh = conform(sales_of(lines), C.SALES_TABLE)
+    with (
+        staged(batch, "customers-batch") as batch,
+        staged(rows_to_insert(held.rows(), batch, ["username"]), "customers-new") as new,
+        staged(rows_to_insert(sold.rows(), fresh, C.SALES_TABLE.primary_key), "sales-new") as new_sales,
+    ):
+        everyone = held.rows().select("customer_id").unionByName(new.select("customer_id"))
+        reports = [
+            constraint_report(batch, C.CUSTOMERS, narrow=False),
+            key_conflicts(held.rows(), new, C.CUSTOMERS),
+            reference_violations(new_sales, "customer_id", everyone, "customer_id"),
+        ]
+        found = reduce(DataFrame.unionByName, reports)
+        fail_on_violations(found.groupBy("rule").agg(F.max("violations").alias("violations")))
+        held.append(new)
+        sold.append(new_sales)
+
+
+def _measure(
+    tables: dict[str, ParquetTable], lines: DataFrame, no_weather: str, quantiles: str, mode: str
+) -> None:
+    condition = F.coalesce("weather_condition", F.lit(no_weather))
+    for contract, frame in (
+        (C.CUSTOMER_METRICS, M.customer_metrics(lines, mode=quantiles)),
+        (C.PRODUCT_METRICS, M.product_metrics(lines)),
+        (C.SEASONAL_METRICS, M.seasonal_sales_metrics(lines.withColumn("weather_condition", condition))),
+        (C.MONTHLY_METRICS, M.monthly_sales_metrics(lines)),
+    ):
+        _publish(tables[contract.name], frame, mode)
+
+
+def _set_aside(spark: SparkSession, rejected: DataFrame, path: str) -> None:
+    """Add the rows that the folder does not hold yet."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
+        rejected = rejected.exceptAll(spark.read.schema(rejected.schema).parquet(path))
+    with staged(rejected, "rejected") as rows:
+        rows.write.mode("append").parquet(path)
+
+
 def run_job_on_files(
-    spark: SparkSession, sales_csv: str, users_json: str, known_weather: DataFrame, folder: str, **options
+    spark: SparkSession,
+    sales_csv: str,
+    users_json: str,
+    known_weather: DataFrame,
+    folder: str,
+    *,
+    user_lines: bool = False,
+    **options,
 ) -> dict[str, ParquetTable]:
-    """The job on a sales CSV and user documents, with shuffles sized to the input."""
-    size_shuffles(spark, input_bytes(spark, sales_csv, users_json))
-    return run_job(
-        spark, read_sales_csv(spark, sales_csv), read_users_json(spark, users_json), known_weather, folder, **options
-    )
+    """The job on sales CSV files and user documents; both paths may be patterns.
+
+    A user file holds one array of documents, or with ``user_lines`` one document per line,
+    which is read in splits.
+    """
+    with prepared(spark, input_bytes(spark, sales_csv, users_json)):
+        sales, customers = read_sales_csv(spark, sales_csv), read_users_json(spark, users_json, multi_line=not user_lines)
+        return run_job(spark, sales, customers, known_weather, folder, **options)
 
 
 def row_counts(tables: dict[str, ParquetTable]) -> DataFrame:

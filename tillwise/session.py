@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes one shuffle partition should hold, small enough to sort without spilling.
 PARTITION_BYTES = 128 * 1024 * 1024
-#: More partitions than this cost the driver more in bookkeeping than they save in spill.
-MOST_PARTITIONS = 32768
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 #: What the operators rely on. Adaptive execution splits the partition of a hot key even
 #: where that costs an exchange: without the last entry it would not do so for a join whose
@@ -29,13 +31,32 @@ OWN = {
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that someone else built."""
+def prepare(spark: SparkSession, size: int = 0) -> SparkSession:
+    """Apply the runtime settings to a session that someone else built.
+
+    With the bytes that will be read, shuffles start with enough partitions for them.
+    """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    if size:
+        size_shuffles(spark, size)
     return spark
 
 
+@contextmanager
+def prepared(spark: SparkSession, size: int = 0) -> Iterator[SparkSession]:
+    """The same for the length of a ``with`` block; the caller's settings come back after it."""
+    before = {key: spark.conf.get(key, None) for key in (*RUNTIME, INITIAL)}
+    try:
+        yield prepare(spark, size)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def build_session(app: str = "tillwise", **conf: str) -> SparkSession:
     """A session with the settings above and the given ones."""
     builder = SparkSession.builder.appName(app)
@@ -52,18 +73,33 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     session's own setting.
     """
     wanted = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        min(math.ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS),
+        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(input_bytes / PARTITION_BYTES)
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    spark.conf.set(INITIAL, str(wanted))
     return wanted
 
 
+def scanned_bytes(*frames: DataFrame) -> int:
+    """Sizes of everything the frames read, as Catalyst knows them from the files."""
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(leaves.size()):
+            # without statistics a leaf counts as endless; then it says nothing
+            size = int(str(leaves.apply(i).stats().sizeInBytes()))
+            total += size if size < 1 << 62 else 0
+    return total
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total length of the files under the given paths, asked from the file system."""
+    """Total length of the files under the given paths or patterns, asked from the file system."""
     total = 0
     for path in paths:
         hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        total += fs.getContentSummary(hadoop_path).getLength()
+        found = fs.globStatus(hadoop_path)
+        if not found:
+            raise FileNotFoundError(path)
+        for status in found:
+            total += fs.getContentSummary(status.getPath()).getLength()
     return total

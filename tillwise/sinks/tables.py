@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tillwise.contracts import Contract
 from tillwise.operators.conform import conform
 from tillwise.operators.merge import rows_to_insert, upsert
+from tillwise.operators.validate import fail_on_violations, key_conflicts
 from tillwise.staging import staged
 
 MARKER = "_SUCCESS"
@@ -82,14 +83,31 @@ class ParquetTable:
     def load(self, batch: DataFrame, key: Sequence[str], check=None, order_by: Sequence[str] = ()) -> None:
         """Write the batch aside, check it, merge it, and drop the aside copy.
 
-        ``check`` gets the staged batch and raises to refuse it; the table is then
-        unchanged. A batch that is already staged and checked goes straight to
-        ``insert_if_absent``.
+        ``check`` gets the staged batch and raises to refuse it. The rows to insert must
+        not break a key of the contract beside the rows already held. A refused load
+        leaves the table unchanged.
         """
-        with staged(conform(batch, self.contract), f"{self.contract.name}-batch") as rows:
+        with (
+            staged(conform(batch, self.contract), f"{self.contract.name}-batch") as rows,
+            staged(rows_to_insert(self.rows(), rows, key, order_by), f"{self.contract.name}-new") as new,
+        ):
             if check is not None:
                 check(rows)
-            self.insert_if_absent(rows, key, order_by)
+            self.check_keys(new)
+            self.append(new)
+
+    def check_keys(self, new: DataFrame) -> None:
+        """Raise if ``new`` rows would break a key of the contract beside the held ones."""
+        if self.contract.keys:
+            fail_on_violations(key_conflicts(self.rows(), new, self.contract))
+
+    def vacuum(self) -> None:
+        """Delete the folders that no reader needs any more: superseded and unfinished ones."""
+        needed = {f.rsplit("/", 1)[1] for f in self._current()}
+        for name in self._folders():
+            if name not in needed:
+                path, fs = self._hadoop(f"{self.path}/{name}")
+                fs.delete(path, True)
 
     def _write(self, df: DataFrame, kind: str) -> None:
         rows = conform(df, self.contract)

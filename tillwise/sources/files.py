@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.contracts import SALES_CSV, USER_DOCUMENT, Contract
 from tillwise.functions.columns import as_date, as_float, as_key
@@ -14,14 +15,21 @@ from tillwise.functions.columns import as_date, as_float, as_key
 def read_sales_csv(spark: SparkSession, path: str, *, infer: bool = False) -> DataFrame:
     """Sales lines from CSV files with a header.
 
-    The schema is fixed, so the files are read once. ``infer`` lets Spark find the
-    types instead, at the price of a second pass. A field that cannot be read is null.
+    Columns are found by name; other columns are left out and a missing one is an
+    error. The types are fixed, so the files are read once (but for the first line).
+    ``infer`` lets Spark find the types instead, at the price of a second pass. All files of
+    the path need the same header, else the read fails. A field that cannot be read is null.
     """
+    header = spark.read.csv(path, header=True, enforceSchema=True).columns
+    if missing := [f.name for f in SALES_CSV if f.name not in header]:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
     if infer:
         lines = spark.read.csv(path, header=True, inferSchema=True)
     else:
-        lines = spark.read.csv(path, header=True, schema=SALES_CSV)
-    return lines.withColumn("order_date", as_date("order_date"))
+        types = {f.name: f for f in SALES_CSV}
+        schema = T.StructType([types.get(name, T.StructField(name, T.StringType())) for name in header])
+        lines = spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+    return lines.select(*SALES_CSV.names).withColumn("order_date", as_date("order_date"))
 
 
 def read_users_json(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:

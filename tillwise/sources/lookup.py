@@ -17,6 +17,7 @@ from tillwise.sources.documents import parse_weather
 from tillwise.staging import stage
 
 Fetch = Callable[[float, float, int], str | None]
+BatchFetch = Callable[[list[tuple[float, float, int]]], list[str | None]]
 
 # Simultaneous requests, tries per key and seconds per key.
 REQUESTS = 10
@@ -34,16 +35,19 @@ def missing_keys(keys: DataFrame, known: DataFrame, cols: SalesColumns = SALES)
 
 def fetch_documents(
     keys: DataFrame,
-    fetch: Fetch,
+    fetch: Fetch | BatchFetch,
     *,
     partitions: int = REQUESTS,
     attempts: int = ATTEMPTS,
     max_seconds: float = MAX_SECONDS,
     first_wait: float = 1.0,
     on_error: str = "fail",
+    batch_size: int | None = None,
 ) -> DataFrame:
     """Ask ``fetch(latitude, longitude, epoch_seconds)`` once per key.
 
+    With ``batch_size`` a call gets a list of such triples instead and answers with
+    as many documents; its keys are retried and fail together.
     Returns the key with status ``ok``, ``empty`` or ``failed``. An exception is
     retried with doubling waits, unless it has a true ``permanent`` attribute.
     What still fails stops the job or, with ``on_error="skip"``, is reported as
@@ -58,23 +62,27 @@ def fetch_documents(
         import random
         import time
 
-        def ask(latitude, longitude, epoch):
+        def ask(keys):
             started, wait = time.monotonic(), first_wait
             for attempt in range(1, attempts + 1):
                 try:
-                    document = fetch(float(latitude), float(longitude), int(epoch))
-                    return ("ok" if document else "empty"), document or None, None
+                    documents = fetch(keys) if batch_size else [fetch(*keys[0])]
+                    if len(documents) != len(keys):
+                        raise ValueError(f"{len(documents)} answers to {len(keys)} keys")
+                    return [("ok" if d else "empty", d or None, None) for d in documents]
                 except Exception as problem:
                     spent = time.monotonic() - started + wait > max_seconds
                     if getattr(problem, "permanent", False) or spent or attempt == attempts:
                         if on_error == "fail":
                             raise
-                        return "failed", None, f"{type(problem).__name__}: {problem}"
+                        return [("failed", None, f"{type(problem).__name__}: {problem}")] * len(keys)
                     time.sleep(random.uniform(0, wait))
                     wait *= 2
 
+        step = batch_size or 1
         for batch in batches:
-            asked = [ask(*key) for key in zip(batch.latitude, batch.longitude, batch.epoch)]
+            keys = [(float(a), float(b), int(t)) for a, b, t in zip(batch.latitude, batch.longitude, batch.epoch)]
+            asked = [one for i in range(0, len(keys), step) for one in ask(keys[i : i + step])]
             answer = batch[["latitude", "longitude", "order_date"]].copy()
             answer["status"] = [a[0] for a in asked]
             answer["document"] = [a[1] for a in asked]
@@ -95,7 +103,17 @@ def answered(outcomes: DataFrame) -> DataFrame:
     return parse_weather(ok, "document").select(*WEATHER.names)
 
 
-def look_up(keys: DataFrame, known: DataFrame, fetch: Fetch, **options) -> DataFrame:
+def unanswered(outcomes: DataFrame) -> DataFrame:
+    """The keys that could not be asked for, with the error."""
+    return outcomes.where(F.col("status") == "failed").select("latitude", "longitude", "order_date", "error")
+
+
+def outcome_counts(outcomes: DataFrame) -> DataFrame:
+    """(status, keys) of the outcomes."""
+    return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("keys"))
+
+
+def look_up(keys: DataFrame, known: DataFrame, fetch: Fetch | BatchFetch, **options) -> DataFrame:
     """Known answers plus fetched ones.
 
     The outcomes are written once before they are used, so that no later action
@@ -103,3 +121,25 @@ def look_up(keys: DataFrame, known: DataFrame, fetch: Fetch, **options) -> DataF
     """
     outcomes = stage(fetch_documents(missing_keys(keys, known), fetch, **options), "lookup")
     return known.select(*WEATHER.names).unionByName(answered(outcomes))
+
+
+def look_up_into(table, keys: DataFrame, known: DataFrame, fetch: Fetch | BatchFetch, **options) -> tuple[DataFrame, DataFrame]:
+    """The same with a table that keeps the answers, and the keys that failed.
+
+    ``table`` holds ``WEATHER`` rows and is asked beside ``known``. A key whose answer was
+    empty is kept without weather, so that the next run asks for failed and new keys only.
+    """
+    known = known.select(*WEATHER.names)
+    held = table.rows().join(known.select(*SALES.place_day), SALES.place_day, "left_anti")
+    known = known.unionByName(held)
+    outcomes = stage(fetch_documents(missing_keys(keys, known), fetch, **options), "lookup")
+    none = outcomes.where(F.col("status") == "empty").select(
+        "latitude",
+        "longitude",
+        "order_date",
+        F.lit(None).cast("float").alias("temperature"),
+        F.lit(None).cast("string").alias("weather_condition"),
+    )
+    table.insert_if_absent(answered(outcomes).unionByName(none), WEATHER.primary_key)
+    fresh = answered(outcomes).unionByName(none)
+    return stage(known.unionByName(fresh), "weather"), unanswered(outcomes)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import functools
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +11,22 @@ from pyspark.sql.types import StructType
 from tillwise.contracts import MONEY
 
 
-@functools.cache
+#: Schemas by session, path and time of change; a stopped session takes its entries along.
+_schemas: weakref.WeakKeyDictionary[SparkSession, dict] = weakref.WeakKeyDictionary()
+
+
 def _schema(spark: SparkSession, path: str) -> StructType:
-    return spark.read.parquet(path).schema
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    key = path, fs.getFileStatus(hadoop_path).getModificationTime()
+    known = _schemas.setdefault(spark, {})
+    if key not in known:
+        known[key] = spark.read.parquet(path).schema
+    return known[key]
 
 
 def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A parquet table of the folder; its schema is looked up once per session."""
+    """A parquet table of the folder; its schema is looked up once until it changes."""
     path = f"{folder}/{name}.parquet"
     return spark.read.schema(_schema(spark, path)).parquet(path)
 

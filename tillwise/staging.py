@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tillwise-"))
         named = context.getCheckpointDir()
@@ -32,7 +32,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     and let every later reader scan only the columns it needs. They stay until
     the shared folder is cleaned.
     """
-    return _write(df, _new_path(df, label))
+    path = _new_path(df, label)
+    if _open:
+        _open[-1].append(path)
+    return _write(df, path)
+
+
+#: Paths that stage() has written inside the open scratch() blocks, one list for each.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the ``with`` block what :func:`stage` wrote inside it."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            _delete(spark, path)
 
 
 @contextmanager
@@ -42,9 +60,12 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield _write(df, path)
     finally:
-        spark = df.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _new_path(df: DataFrame, label: str) -> str:
@@ -56,6 +77,12 @@ def _write(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fits(df: DataFrame, limit: int) -> bool:
+    """True when Catalyst's own size estimate is within the limit."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst's own size estimate is under its broadcast limit.
 
@@ -63,6 +90,4 @@ def fits_broadcast(df: DataFrame) -> bool:
     an unknown size counts as "does not fit".
     """
     state = df.sparkSession._jsparkSession.sessionState()
-    limit = state.conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    return fits(df, state.conf().autoBroadcastJoinThreshold())
