@@ -31,8 +31,11 @@ SIMILARITY = 0.8
 #: 24 bands of 5 find a pair of similarity 0.8 with a probability of 0.99993.
 BANDS, BAND_ROWS = 24, 5
 SIZE = BANDS * BAND_ROWS
-#: Centres of a bucket that are compared with its other texts in one round.
-CENTRES = 4
+#: Centres of a bucket that are compared with its other texts in the second round. The first
+#: has one, which most of a group is near to; later ones have twice as many each time.
+CENTRES = 8
+#: A shingle of so many texts at most is rare.
+RARE = 64
 _U = np.uint64
 
 
@@ -148,15 +151,16 @@ def _pack_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch):
             words = Words(*texts_of(piece.column("text")), SPACED)
             text, key, count = bags(words)
-            at = np.searchsorted(text, np.arange(piece.num_rows + 1)).tolist()
+            at = pa.array(np.searchsorted(text, np.arange(piece.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"),
                     pa.array(_text_keys(words), pa.binary()),
-                    pa.array([key[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
-                    pa.array([count[a:b].astype(np.int32).tobytes() for a, b in zip(at, at[1:])], pa.binary()),
+                    pa.ListArray.from_arrays(at, pa.array(key.view(np.int64))),
+                    pa.ListArray.from_arrays(at, pa.array(count.astype(np.int32))),
+                    pa.array(np.bincount(text, count, piece.num_rows).astype(np.int64)),
                 ],
-                names=["doc_id", "key", "shingles", "counts"],
+                names=["doc_id", "key", "shingles", "counts", "total"],
             )
 
 
@@ -175,25 +179,21 @@ def overlap(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> float
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, last, left = [], [], None, None
-            columns = [batch.column(n) for n in ("a", "b", "a_shingles", "a_counts", "b_shingles", "b_counts")]
+            sides = []
+            for name in ("a", "b"):
+                shingles, counts = batch.column(f"{name}_shingles"), batch.column(f"{name}_counts")
+                at = shingles.offsets.to_numpy()
+                keys, numbers = shingles.values.to_numpy().view(np.uint64), counts.values.to_numpy()
+                sides.append((at, keys, counts.offsets.to_numpy(), numbers))
+            similar = np.zeros(batch.num_rows, bool)
             for row in range(batch.num_rows):
-                x, y = columns[0][row].as_py(), columns[1][row].as_py()
-                if x != last:
-                    last = x
-                    left = _bag(columns[2][row].as_py(), columns[3][row].as_py())
-                if overlap(*left, *_bag(columns[4][row].as_py(), columns[5][row].as_py())) >= similarity:
-                    a.append(x)
-                    b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                bags_ = [x for i, k, j, n in sides for x in (k[i[row] : i[row + 1]], n[j[row] : j[row + 1]])]
+                similar[row] = overlap(*bags_) >= similarity
+            yield batch.select(["a", "b"]).filter(pa.array(similar))
 
     return run
 
 
-def _bag(shingles: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(shingles, np.uint64), np.frombuffer(counts, np.int32)
-
-
 def _links(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose bags are similar enough."""
 
@@ -226,8 +226,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     firsts = filled.groupBy("key").agg(F.min("doc_id").alias("first"))
     copies = stage(filled.join(firsts, "key").select("doc_id", "first", "key", "bands"), "copies")
 
-    texts = copies.where("doc_id = first").select("doc_id", F.posexplode("bands").alias("band", "hash"))
-    texts = texts.select("doc_id", F.xxhash64("band", "hash").alias("bucket")).distinct()
+    texts = copies.where("doc_id = first").dropDuplicates(["doc_id"])
+    texts = texts.select("doc_id", F.posexplode("bands").alias("band", "hash")).select(
+        "doc_id", F.xxhash64("band", "hash").alias("bucket")
+    )
     shared = texts.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stage(texts.join(shared, "bucket"), "members")
     # texts with many neighbours are the first centres: most of a group is near to its origin
@@ -236,41 +238,37 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     wanted = rank.select("doc_id")
     held = rows.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _pack_bags, "doc_id long, key binary, shingles binary, counts binary"
+        _pack_bags, "doc_id long, key binary, shingles array<long>, counts array<int>, total long"
     )
     # of rows with one doc_id, the text that stands for it
     held = held.join(copies.where("doc_id = first").select("doc_id", "key").distinct(), ["doc_id", "key"], "left_semi")
     held = stage(held.dropDuplicates(["doc_id"]), "bags")
+    rare = stage(_rare_shingles(held), "rare")
+    weights = rare.groupBy("doc_id").agg(F.sum("weight").alias("_rare"))
+    weights = held.select("doc_id", "total").join(weights, "doc_id", "left")
+    weights = weights.select("doc_id", "total", (F.col("total") - F.coalesce("_rare", F.lit(0))).alias("common"))
+    members = stage(members.join(weights, "doc_id"), "members")
 
     several = copies.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("_z")).where("a < _z")
-    found = [copies.join(several, "doc_id").select("a", F.col("first").alias("b")).where("a <> b").distinct()]
-    labels = None
+    links = stage(
+        copies.join(several, "doc_id").select("a", F.col("first").alias("b")).where("a <> b").distinct(), "one-id"
+    )
+    labels = _merged(rows.sparkSession.createDataFrame([], "node long, label long"), links)
+    members, centres = _labelled(members, labels), 1
     while True:
-        centred = _centres(members, 1 if labels is None else CENTRES)
-        pairs = members.join(centred, "bucket").where("doc_id <> a")
-        if labels is not None:
-            pairs = pairs.where("label <> a_label")
-        pairs = pairs.select(F.least("a", "doc_id").alias("x"), F.greatest("a", "doc_id").alias("y"), "a", "doc_id")
-        # a pair that meets in several buckets is verified once, the centre first
-        pairs = stage(pairs.groupBy("x", "y").agg(F.max("a").alias("a")), "pairs").select(
-            "a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b")
-        )
-        found.append(_links(pairs, held, similarity))
-        links = found[0]
-        for more in found[1:]:
-            links = links.union(more)
-        labels = stage(components(links), "labels")
+        centred = stage(_centres(members, centres), "centres")
+        labels = _merged(labels, _links(_centre_pairs(members, centred, centres > 1, similarity), held, similarity))
+        if centres == 1:
+            # what shares a rare shingle is outside the bound: compared once, among the open
+            left = stage(_open(_labelled(members.drop("label"), labels)), "members")
+            labels = _merged(labels, _links(_rare_pairs(left, rare, similarity), held, similarity))
         # centres have met everyone in their bucket; what is left there must agree
-        left = members.join(
-            centred.select("bucket", F.col("a").alias("doc_id")), ["bucket", "doc_id"], "left_anti"
-        ).select("bucket", "doc_id", "rank")
-        left = left.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "label", F.coalesce("label", "doc_id")
-        )
-        open_ = left.groupBy("bucket").agg(F.min("label").alias("_a"), F.max("label").alias("_z")).where("_a < _z")
-        members = stage(left.join(open_.select("bucket"), "bucket"), "members")
+        met = centred.select("bucket", F.col("a").alias("doc_id"))
+        left = members.join(met, ["bucket", "doc_id"], "left_anti").drop("label")
+        members = stage(_open(_labelled(left, labels)), "members")
         if not members.limit(1).count():
             break
+        centres = max(CENTRES, 2 * centres)
 
     classes = (
         copies.join(labels, copies["first"] == labels["node"], "left")
@@ -282,22 +280,106 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return signed.select("doc_id").join(agreed, "doc_id", "left")
 
 
+def _rare_shingles(held: DataFrame) -> DataFrame:
+    """``shingle, doc_id, weight, texts`` of the shingles that at most ``RARE`` texts have."""
+    parts = held.select("doc_id", F.explode(F.arrays_zip("shingles", "counts")).alias("x")).select(
+        "doc_id", F.col("x.shingles").alias("shingle"), F.col("x.counts").alias("weight")
+    )
+    texts = parts.groupBy("shingle").agg(F.count("*").alias("texts")).where(F.col("texts") <= RARE)
+    return parts.join(texts, "shingle")
+
+
+def _centre_pairs(members: DataFrame, centred: DataFrame, bounded: bool, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of centres and members of their buckets that have to be verified.
+
+    The first round compares all of them, later ones are ``bounded``. There, ``common`` is a bag's weight without its rare shingles. Two bags that share no rare
+    shingle overlap in no more than the smaller common weight, and their union holds one
+    bag and the rare part of the other. This bounds the similarity from above; pairs that do
+    share a rare shingle are found by it (:func:`_rare_pairs`). In a large group of copies
+    that have all changed in their own way hardly a pair is left.
+    """
+    most = F.least("common", "a_common")
+    least = F.greatest(
+        F.col("total") + F.col("a_total") - F.col("a_common"), F.col("a_total") + F.col("total") - F.col("common")
+    )
+    may = F.col("label") != F.col("a_label")
+    if bounded:
+        may &= most >= similarity * least
+    return _once(members.join(centred, "bucket").where(may).select("a", F.col("doc_id").alias("b")))
+
+
+def _rare_pairs(left: DataFrame, rare: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of open members in different classes that share a rare shingle.
+
+    A bag lacks at most ``1 - similarity`` of its weight in the overlap with a near one, so
+    its rarest shingles up to just beyond that weight hold one of the shared, if those are
+    rare at all. Each shingle has few texts, so these are few pairs.
+    """
+    nodes = left.select("doc_id", "label", "total").distinct()
+    known = rare.where("texts > 1").join(nodes, "doc_id")
+    rarest = known.groupBy("doc_id", "label", "total").agg(
+        F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("all")
+    )
+    size = F.floor(F.col("total") * (1 - similarity)).cast("int") + 1
+    probes = rarest.select(
+        F.col("doc_id").alias("a"), F.col("label").alias("a_label"), F.explode(F.slice("all", F.lit(1), size)).alias("x")
+    ).select("a", "a_label", F.col("x.shingle").alias("shingle"))
+    met = known.select("shingle", F.col("doc_id").alias("b"), "label").join(probes, "shingle")
+    return _once(met.where("label <> a_label").select("a", "b"))
+
+
+def _once(pairs: DataFrame) -> DataFrame:
+    """Every pair once, whichever way round, as ``a, b``; written."""
+    both = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a")
+    once = stage(both.groupBy("x", "y").agg(F.max("a").alias("a")), "pairs")
+    return once.select("a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b"))
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one class."""
+    several = members.groupBy("bucket").agg(F.min("label").alias("_a"), F.max("label").alias("_z")).where("_a < _z")
+    return members.join(several.select("bucket"), "bucket")
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with the label of their class, so far."""
+    found = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return found.withColumn("label", F.coalesce("label", "doc_id"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels ``node, label`` when ``links`` are added.
+
+    Only links between different classes count, and of these only the classes.
+    """
+    for side in ("a", "b"):
+        known = labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+        links = links.join(known, side, "left").withColumn(f"{side}_label", F.coalesce(f"{side}_label", side))
+    new = stage(links.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).where("a <> b").distinct(), "new")
+    if not new.limit(1).count():
+        return labels
+    classes = stage(components(new), "classes")
+    changed = classes.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    kept = labels.join(changed, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+    # classes that were single texts so far are no nodes of the labels yet
+    fresh = classes.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    return stage(kept.unionByName(fresh), "labels")
+
+
 def _centres(members: DataFrame, count: int) -> DataFrame:
-    """Up to ``count`` centres ``bucket, a`` (with ``a_label``) of each bucket.
+    """Up to ``count`` centres ``bucket, a, a_label`` of each bucket.
 
-    The first centre is the text with the most neighbours. Later ones come from the
-    smallest class of the bucket, which is done with soonest.
+    They come from the smallest classes of the bucket, which are done with soonest, and
+    have many neighbours.
     """
-    if count == 1:
-        best = members.groupBy("bucket").agg(F.max("rank").alias("rank"))
-        return members.join(best, ["bucket", "rank"]).groupBy("bucket").agg(F.min("doc_id").alias("a"))
     sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("_n"))
     order = Window.partitionBy("bucket").orderBy("_n", F.desc("rank"), "doc_id")
     return (
         members.join(sizes, ["bucket", "label"])
         .withColumn("_nth", F.row_number().over(order))
         .where(F.col("_nth") <= count)
-        .select("bucket", F.col("doc_id").alias("a"), F.col("label").alias("a_label"))
+        .select("bucket", *[F.col(x).alias(y) for x, y in
+            (("doc_id", "a"), ("label", "a_label"), ("common", "a_common"), ("total", "a_total"))])
     )
 
 

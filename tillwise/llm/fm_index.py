@@ -43,7 +43,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(step):
         key <<= bits
-        key[: n - k] |= symbols[k:].astype(np.int64) + 1
+        key[: max(n - k, 0)] |= symbols[k:].astype(np.int64) + 1
     order = np.argsort(key, kind="stable")
     head = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
     at = np.arange(n)

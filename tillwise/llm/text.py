@@ -145,7 +145,7 @@ def window_hash(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
         n, out = len(hashes), np.full(len(hashes), seed, np.uint64)
         for k in range(size):
             factor = _U(pow(0xC2B2AE3D27D4EB4F + 2 * seed, k + 1, 1 << 64))
-            out[: n - k] += hashes[k:] * factor
+            out[: max(n - k, 0)] += hashes[k:] * factor
         return mix(out)
 
 
