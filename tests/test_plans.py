@@ -1,6 +1,8 @@
 """What the plans must look like, whatever the data."""
 
+import os
 import re
+import uuid
 
 import pytest
 from conftest import SMALL
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from tillwise.operators import validate as V
 from tillwise.operators.aggregates import customer_totals
+from tillwise.plans.job import run_job
+from tillwise.session import INITIAL, prepared, scanned_bytes
+from tillwise.staging import shared_folder, staged
 
 
 def plan(df):
@@ -90,3 +95,24 @@ def test_hot_order_is_split_although_the_aggregate_uses_the_join_partitioning(sp
     assert (int(got[0]), got[1]) == (120000, distinct_orders)
     totals.collect()
     assert "skew=true" in plan(totals)
+
+
+def test_shuffles_start_sized_to_the_input_and_settings_come_back(spark, conf):
+    conf("spark.sql.adaptive.enabled", "true")
+    before = spark.conf.get(INITIAL, None)
+    with prepared(spark, 100 * 2**40):
+        text = plan(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count())
+    assert "819200" in text and spark.conf.get(INITIAL, None) == before
+    sized = scanned_bytes(spark.read.parquet(f"{SMALL}/lineitem.parquet"), spark.read.parquet(f"{SMALL}/orders.parquet"))
+    assert sized == sum(os.path.getsize(f"{SMALL}/{n}.parquet") for n in ("lineitem", "orders"))
+
+
+def test_job_reads_the_raw_sales_once(spark, sales_of_rows, customers_of_rows, weather_of_rows, tmp_path):
+    """Later steps read what the first one has written."""
+    sales_of_rows((1, 1, 1, 1, 10, "2023-01-01")).write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    customers = customers_of_rows((1, "n1", "u1", "u1@b.co", 1.0, 5.0))
+    with staged(raw, "copy") as copy:
+        assert "/raw" not in " ".join(copy.inputFiles())
+    tables = run_job(spark, raw, customers, weather_of_rows(), f"{shared_folder(spark)}/job-{uuid.uuid4().hex}")
+    assert tables["sales"].rows().count() == 1

@@ -70,3 +70,12 @@ def test_approximate_is_within_its_error(spark):
     df = spark.range(1, 1001).selectExpr("double(id) AS x").repartition(5)
     for cut, p in zip(Q.approximate_quantiles(df, "x", PROBABILITIES, 0.05), PROBABILITIES):
         assert abs(cut - 1000 * p) <= 50
+
+
+def test_infinity_beside_the_largest_double(spark, monkeypatch):
+    from tillwise.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "COUNTED_ONE_BY_ONE", 5)
+    monkeypatch.setattr(quantiles, "COUNTED_AT_ONCE", -1)
+    values = spark.range(40).selectExpr("IF(id < 20, 1.7976931348623157E308D, CAST('Infinity' AS DOUBLE)) AS v")
+    assert quantiles.exact_quantiles(values, "v", [0.25, 0.75]) == [1.7976931348623157e308, float("inf")]
