@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.splits import held_out
 from tillwise.llm.text import byte_set, pieces, texts_of
 
 WINDOW = 256
@@ -43,11 +44,6 @@ CLASSES = _classes()
 N_CLASSES = int(CLASSES.max()) + 1
 
 
-def held_out(doc_id: Column) -> Column:
-    """Rows that no model learns from; never null."""
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
-
-
 @dataclass
 class Network:
     """One-hot byte filters ``[width, class, filter]``, their biases and the softmax layer."""

@@ -12,9 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.splits import held_out
 from tillwise.llm.text import ALNUM, LOWER, Words, mix, pieces, texts_of
 
 BITS = 20
@@ -28,11 +29,6 @@ ALPHA, BETA, LASSO, RIDGE = 1.0, 1.0, 8.0, 1e-4
 LEAST_DOCUMENTS = 3
 
 
-def held_out(doc_id: Column) -> Column:
-    """Rows that no model learns from; never null."""
-    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
-
-
 def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all features and the text of each; bucket 0 of every text is the bias."""
     n, hashes, text = len(words), words.hash, words.text
