@@ -243,11 +243,6 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # of rows with one doc_id, the text that stands for it
     held = held.join(copies.where("doc_id = first").select("doc_id", "key").distinct(), ["doc_id", "key"], "left_semi")
     held = stage(held.dropDuplicates(["doc_id"]), "bags")
-    rare = stage(_rare_shingles(held), "rare")
-    weights = rare.groupBy("doc_id").agg(F.sum("weight").alias("_rare"))
-    weights = held.select("doc_id", "total").join(weights, "doc_id", "left")
-    weights = weights.select("doc_id", "total", (F.col("total") - F.coalesce("_rare", F.lit(0))).alias("common"))
-    members = stage(members.join(weights, "doc_id"), "members")
 
     several = copies.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("_z")).where("a < _z")
     links = stage(
@@ -257,15 +252,20 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     members, centres = _labelled(members, labels), 1
     while True:
         centred = stage(_centres(members, centres), "centres")
-        labels = _merged(labels, _links(_centre_pairs(members, centred, centres > 1, similarity), held, similarity))
+        pairs = _centre_pairs(members, centred, None if centres == 1 else similarity)
+        labels = _merged(labels, _links(pairs, held, similarity))
+        left = members.drop("label")
         if centres == 1:
-            # what shares a rare shingle is outside the bound: compared once, among the open
-            left = stage(_open(_labelled(members.drop("label"), labels)), "members")
-            labels = _merged(labels, _links(_rare_pairs(left, rare, similarity), held, similarity))
+            # from here on only texts in open buckets matter
+            left = stage(_open(_labelled(left, labels)), "members")
+            nodes = left.select("doc_id", "label").distinct()
+            rare = stage(_rare_shingles(held.join(nodes, "doc_id", "left_semi")), "rare")
+            labels = _merged(labels, _links(_rare_pairs(nodes, rare, held, similarity), held, similarity))
+            left = left.drop("label").join(_weights(held, rare), "doc_id")
         # centres have met everyone in their bucket; what is left there must agree
         met = centred.select("bucket", F.col("a").alias("doc_id"))
-        left = members.join(met, ["bucket", "doc_id"], "left_anti").drop("label")
-        members = stage(_open(_labelled(left, labels)), "members")
+        left = left.join(met, ["bucket", "doc_id"], "left_anti")
+        members = stage(_open(_hopeful(_labelled(left, labels), similarity)), "members")
         if not members.limit(1).count():
             break
         centres = max(CENTRES, 2 * centres)
@@ -289,33 +289,52 @@ def _rare_shingles(held: DataFrame) -> DataFrame:
     return parts.join(texts, "shingle")
 
 
-def _centre_pairs(members: DataFrame, centred: DataFrame, bounded: bool, similarity: float) -> DataFrame:
+def _weights(held: DataFrame, rare: DataFrame) -> DataFrame:
+    """``doc_id, total, common``: a bag's weight, and that without its rare shingles."""
+    weights = rare.groupBy("doc_id").agg(F.sum("weight").alias("_rare"))
+    return weights.join(held.select("doc_id", "total"), "doc_id").select(
+        "doc_id", "total", (F.col("total") - F.col("_rare")).alias("common")
+    ).unionByName(
+        held.join(weights, "doc_id", "left_anti").select("doc_id", "total", F.col("total").alias("common"))
+    )
+
+
+def _hopeful(members: DataFrame, similarity: float) -> DataFrame:
+    """Members that may be near to a text of their bucket by the bound of :func:`_centre_pairs`.
+
+    Whatever the other text is, it is no lighter than the lightest of the bucket.
+    """
+    lightest = members.groupBy("bucket").agg(F.min("total").alias("_least"))
+    may = F.col("common") >= similarity * (F.greatest(F.col("_least") + F.col("total") - F.col("common"), F.col("total")))
+    return members.join(lightest, "bucket").where(may).drop("_least")
+
+
+def _centre_pairs(members: DataFrame, centred: DataFrame, bound: float | None) -> DataFrame:
     """Pairs ``a, b`` of centres and members of their buckets that have to be verified.
 
-    The first round compares all of them, later ones are ``bounded``. There, ``common`` is a bag's weight without its rare shingles. Two bags that share no rare
-    shingle overlap in no more than the smaller common weight, and their union holds one
-    bag and the rare part of the other. This bounds the similarity from above; pairs that do
-    share a rare shingle are found by it (:func:`_rare_pairs`). In a large group of copies
-    that have all changed in their own way hardly a pair is left.
+    The first round compares all of them, later ones are bounded. There, ``common`` is a bag's
+    weight without its rare shingles. Two bags that share no rare shingle overlap in no
+    more than the smaller common weight, and their union holds one bag and the rare part
+    of the other. This bounds the similarity from above; pairs that do share a rare shingle
+    are found by it (:func:`_rare_pairs`). In a large group of copies that have all changed
+    in their own way hardly a pair is left.
     """
-    most = F.least("common", "a_common")
-    least = F.greatest(
-        F.col("total") + F.col("a_total") - F.col("a_common"), F.col("a_total") + F.col("total") - F.col("common")
-    )
     may = F.col("label") != F.col("a_label")
-    if bounded:
-        may &= most >= similarity * least
+    if bound is not None:
+        rare, a_rare = F.col("total") - F.col("common"), F.col("a_total") - F.col("a_common")
+        union = F.greatest(F.col("total") + a_rare, F.col("a_total") + rare)
+        may &= F.least("common", "a_common") >= bound * union
     return _once(members.join(centred, "bucket").where(may).select("a", F.col("doc_id").alias("b")))
 
 
-def _rare_pairs(left: DataFrame, rare: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` of open members in different classes that share a rare shingle.
+def _rare_pairs(nodes: DataFrame, rare: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of texts ``doc_id, label`` in different classes that share a rare shingle.
 
     A bag lacks at most ``1 - similarity`` of its weight in the overlap with a near one, so
     its rarest shingles up to just beyond that weight hold one of the shared, if those are
     rare at all. Each shingle has few texts, so these are few pairs.
     """
-    nodes = left.select("doc_id", "label", "total").distinct()
+    nodes = nodes.join(held.select("doc_id", "total"), "doc_id")
     known = rare.where("texts > 1").join(nodes, "doc_id")
     rarest = known.groupBy("doc_id", "label", "total").agg(
         F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("all")
@@ -378,8 +397,14 @@ def _centres(members: DataFrame, count: int) -> DataFrame:
         members.join(sizes, ["bucket", "label"])
         .withColumn("_nth", F.row_number().over(order))
         .where(F.col("_nth") <= count)
-        .select("bucket", *[F.col(x).alias(y) for x, y in
-            (("doc_id", "a"), ("label", "a_label"), ("common", "a_common"), ("total", "a_total"))])
+        .select(
+            "bucket",
+            *(
+                F.col(c).alias({"doc_id": "a"}.get(c, f"a_{c}"))
+                for c in ("doc_id", "label", "common", "total")
+                if c in members.columns
+            ),
+        )
     )
 
 
