@@ -2,7 +2,8 @@
 
 A public piece vocabulary with byte fallback reads every word of a text. Fluent text of a
 script it knows gives several characters per token, few fallback bytes and many different
-tokens; noise, wrong encodings and endless repeats do not. Each script has its bands.
+tokens, some of them whole words and few of them marks or digits; noise, wrong encodings,
+symbol junk and endless repeats do not. Each script has its bands.
 """
 
 from __future__ import annotations
@@ -37,8 +38,11 @@ OTHER = "other"
 class Band:
     """What a kept text has: characters per token, share of fallback bytes, entropy in bits.
 
-    The least entropy holds from ``entropy_tokens`` tokens on, since a short text can't
-    have much.
+    ``most_marks`` and ``most_digits`` bound the tokens without a letter, as shares of the
+    tokens that are more than a word mark; ``FEW_MARKS`` marks are free, so that a short text
+    may end its lines. ``least_whole`` is a share of the words: those that are one token.
+    The least entropy and share of whole words hold from ``entropy_tokens`` tokens on, since a
+    short text can't have much.
     """
 
     least_chars: float
@@ -46,16 +50,28 @@ class Band:
     most_bytes: float
     least_entropy: float
     entropy_tokens: int = 100
+    most_marks: float = 0.19
+    most_digits: float = 0.8
+    least_whole: float = 0.0
 
 
+FEW_MARKS = 3
+
+#: Each bound lies about halfway between prose and noise where the two differ. Marks: the
+#: labelled rows of sf0.01 (clean up to 0.153, symbol junk from 0.221); in the other scripts,
+#: which spell out more, a passage of prose and the same with a bar behind every word.
+#: Digits: labelled clean rows of sf0.1 (up to 0.52) and digit noise (1.0). Whole words: those
+#: clean rows from 0.083, prose in six more Latin languages from 0.11, random letters up to
+#: 0.02. Characters and bytes: a passage of prose and 300 random words of each script. Where
+#: prose of some language reads like noise (see README) a bound leaves both in.
 BANDS: dict[str, Band] = {
-    "latin": Band(1.2, 8.0, 0.2, 5.3, 120),
-    "greek": Band(0.8, 8.0, 0.2, 4.0),
-    "cyrillic": Band(1.0, 8.0, 0.2, 4.5),
-    "semitic": Band(0.6, 8.0, 0.2, 4.0),
-    "indic": Band(0.25, 8.0, 0.9, 3.5),
-    "east_asian": Band(0.25, 4.0, 0.9, 3.5),
-    OTHER: Band(0.2, 12.0, 1.0, 0.0),
+    "latin": Band(1.0, 8.0, 0.2, 5.3, 120, least_whole=0.04),
+    "greek": Band(0.7, 8.0, 0.2, 4.0, most_marks=0.09),
+    "cyrillic": Band(1.3, 8.0, 0.2, 4.5, most_marks=0.15),
+    "semitic": Band(0.6, 8.0, 0.2, 3.8, most_marks=0.11),
+    "indic": Band(0.25, 8.0, 0.9, 3.5, most_marks=0.1),
+    "east_asian": Band(0.45, 4.0, 0.6, 3.5, most_marks=0.16),
+    OTHER: Band(0.2, 12.0, 1.0, 3.5, most_marks=0.09),
 }
 
 _SCHEMA = (
@@ -114,7 +130,7 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, words: Words) -> dict[str
 
 
 def token_measures(words: Words, file: str) -> dict[str, np.ndarray]:
-    """Tokens, share of fallback bytes and entropy in bits of each text."""
+    """Tokens, share of fallback bytes, entropy in bits, tokens by kind and whole words of each text."""
     ids_of, first_byte, last_byte = vocabulary.pieces_of(file)
     ids, size = ids_of(words)
     sums = np.concatenate([[0], np.cumsum(size)])
@@ -126,8 +142,13 @@ def token_measures(words: Words, file: str) -> dict[str, np.ndarray]:
     count = np.diff(np.append(edges, len(keys)))
     spread = np.bincount(keys[edges] >> 32, count * np.log2(count), minlength=len(tokens))
     some = np.maximum(tokens, 1)
+    kind = vocabulary.kinds_of(file)[ids]
     return {
         "n_tokens": tokens,
+        "filled": tokens - _per_text(kind == vocabulary.NOTHING, bounds),
+        "marks": _per_text(kind == vocabulary.MARKS, bounds),
+        "digits": _per_text(kind == vocabulary.DIGITS, bounds),
+        "whole": _per_text(size == 1, words.first),
         "byte_share": _per_text((ids >= first_byte) & (ids <= last_byte), bounds) / some,
         "token_entropy": np.where(tokens > 0, np.maximum(np.log2(some) - spread / some, 0.0), 0.0),
     }
@@ -141,7 +162,7 @@ def scripts_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def judge(texts: pa.Array, file: str, bands: Mapping[str, Band]) -> dict[str, np.ndarray]:
-    """All columns but ``doc_id`` for some texts."""
+    """All columns but ``doc_id`` for some texts, and counts that the bands need."""
     data, offsets = texts_of(texts)
     words = Words(data, offsets, SPACED)
     out = base_counts(data, offsets, words)
@@ -158,6 +179,9 @@ def judge(texts: pa.Array, file: str, bands: Mapping[str, Band]) -> dict[str, np
             & (chars <= band.most_chars)
             & (out["byte_share"] <= band.most_bytes)
             & ((out["token_entropy"] >= band.least_entropy) | (tokens < band.entropy_tokens))
+            & ((out["whole"] >= band.least_whole * n) | (tokens < band.entropy_tokens))
+            & (out["marks"] <= band.most_marks * out["filled"] + FEW_MARKS)
+            & (out["digits"] <= band.most_digits * out["filled"])
         )
         kept &= inside | (script != name)
     out["kept"] = kept

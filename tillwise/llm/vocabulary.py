@@ -7,6 +7,7 @@ text are then gathered by array operations.
 from __future__ import annotations
 
 import functools
+import unicodedata
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -93,6 +94,26 @@ def pieces_of(file: str) -> tuple[WordIds, int, int]:
     return WordIds(lambda words: model.encode(words, num_threads=1)), first, last
 
 
+#: What a piece holds apart from its word mark.
+LETTERS, MARKS, DIGITS, NOTHING = range(4)
+
+
+@functools.cache
+def kinds_of(file: str) -> np.ndarray:
+    """The kind of each piece: letters if it has one (bytes count so), else digits, else marks."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=file)
+
+    def kind(i: int) -> int:
+        found = {unicodedata.category(c)[0] for c in model.id_to_piece(i).replace("\u2581", "")}
+        if model.is_byte(i) or found & {"L", "M"}:
+            return LETTERS
+        return DIGITS if "N" in found else MARKS if found else NOTHING
+
+    return np.array([kind(i) for i in range(model.get_piece_size())], np.int8)
+
+
 @functools.cache
 def token_ids_of(file: str) -> WordIds:
     """A tokenizer that drops white space, so a text's ids are those of its words one by one."""
