@@ -2,13 +2,11 @@
 
 import string
 
-import helpers_llm as H
 import numpy as np
 import pyarrow as pa
-import pytest
-from conftest import SMALL, rows
+from conftest import SMALL
 
-from tillwise.llm import fertility, vocabulary
+from tillwise.llm import fertility, url_filter, vocabulary
 
 PROSE = {
     "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
@@ -62,3 +60,36 @@ def test_fertility_keeps_the_clean_labelled_rows_and_drops_most_junk(spark):
     judged = found.where("NOT base_failed").join(labels, "doc_id").select("quality", "kept").collect()
     clean, junk = ([r.kept for r in judged if r.quality == q] for q in (1, 0))
     assert sum(clean) >= 0.999 * len(clean) and sum(junk) <= 0.1 * len(junk)
+
+
+UNWANTED = [
+    "mega-jackpots.example.net", "texas-pokers.test", "m.onlinecasinos24.info", "blog.adult-x.example.net",
+    "warez-archive.net", "super-bookmakers.example.de", "fast-payday.example.com",
+]
+CLEAN = [
+    "www.tionble.example.org", "blog.ingther.example.net", "stationery.co.uk", "www.keramik-werkstatt.de",
+    "shop.lanterns.info", "m.tugboats.net", "www.meadows.example.org", "violins.example.io", "biblioteca.example.com",
+]
+LONG_PATH = "/library/school/museum/history/garden/recipes/travel/science" * 4 + "/index.html"
+
+
+def test_url_filter_judges_hosts_it_was_not_fitted_on(spark):
+    """Whatever path they have, however long."""
+    labelled = url_filter.labelled_urls(spark).cache()
+    known = {r.url.split("/")[2] for r in labelled.collect()}
+    assert not known & {*UNWANTED, *CLEAN}
+    paths = ("", "/en/7", "/de/archive/1234.html?page=2", LONG_PATH)
+    pages = [(f"{h} {k}", f"https://{h}{path}") for h in UNWANTED + CLEAN for k, path in enumerate(paths)]
+    got = url_filter.judge_urls(spark.createDataFrame(pages, "page_id string, url string"), labelled, rules=())
+    got = {r.page_id: r for r in got.collect()}
+    wrong = [i for i, r in got.items() if (r.verdict == "block") != (r.host in UNWANTED)]
+    assert len(got) == 4 * 16 and len(wrong) <= 0.1 * len(got), wrong
+    # no path clears a host
+    assert all(got[f"{h} {k}"].score >= got[f"{h} 0"].score - 0.02 for h in UNWANTED for k in (1, 2, 3))
+
+
+def test_labelled_urls_have_no_host_of_the_pages(spark):
+    pages = spark.read.parquet(f"{SMALL.replace('0.001', '0.1')}/pages.parquet").select("url").collect()
+    names = {part for r in pages for part in r.url.split("/")[2].split(".")} - {"example", "com", "net", "org", "www", "m", "blog"}
+    ordinary = url_filter.labelled_urls(spark).where("label = 0").collect()
+    assert not names & {part for r in ordinary for part in r.url.split("/")[2].split(".")}

@@ -1,9 +1,9 @@
 """URL filtering by rules and by a logistic regression, in DataFrame expressions only.
 
 Character n-grams of host and path are hashed into a fixed number of buckets; the bucket
-weights are fitted by full-batch gradient descent on a small labelled table of URLs. The
-fitted weights are one constant array of ``BUCKETS`` numbers, so scoring a URL needs neither
-a join nor a shuffle.
+weights are fitted by full-batch gradient descent on a small labelled table of URLs. Host and
+path have buckets of their own. The fitted weights are one constant array of two times
+``BUCKETS`` numbers, so scoring a URL needs neither a join nor a shuffle.
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from tillwise.staging import staged
 
-BUCKETS = 4096
-GRAMS = (3, 4)
+BUCKETS = 16384
+GRAMS = (3, 4, 5)
+#: How much the path counts against the host.
+PATH_SHARE = 0.5
 #: Rules are part of the plan; more of them belong into a table that is joined.
 MOST_RULES = 1000
 #: Labelled URLs a model is fitted on at most.
@@ -47,34 +49,74 @@ RULES = (
     Rule("net", "/fr/", "block"),
 )
 
-#: Words that stand for unwanted and for ordinary hosts in the small labelled table.
-UNWANTED = "ads adserver track tracker click popup banner casino poker betting loans pills adult spam".split()
-ORDINARY = "blog news docs wiki forum library school museum garden recipes travel science music city".split()
-#: Endings and beginnings of ordinary names.
-SYLLABLES = "ther ing tion and ble sh on at".split()
+#: Words of unwanted and of ordinary hosts in the small labelled table, listed by hand. Ordinary
+#: ones are words of several languages and none is a host of the pages; some hold pieces of
+#: unwanted words.
+UNWANTED = """
+ad ads adserver adclick advert banner popup popunder tracker tracking track pixel beacon click clicks clickbait affiliate
+casino poker roulette blackjack slots jackpot bet bets betting bookmaker wager lottery gamble gambling bingo
+loan loans payday lender credit-fix debt-relief cash-advance quick-cash easy-money forex-robot crypto-double
+pill pills cheap-meds pill-store pharmacy-deal viagra cialis steroids weight-loss diet-trick adult xxx porn sex nude escort hookup webcam-girls
+spam scam phishing malware spyware keylogger ransomware crack warez keygen torrents serials no-deposit spins
+win-prize winner-claim giveaway-now sweepstakes replica fake-watch counterfeit miracle-cure
+""".split()
+ORDINARY = """
+blog news docs wiki forum library school museum garden recipes travel science music city weather theatre history nature
+university hospital railway bakery kitchen football chess cinema poetry novel painting physics biology chemistry algebra
+geometry astronomy planets rivers mountains forest harbour island village castle bridge station airport market grocery
+furniture carpenter plumber electric energy solar windmill battery engine bicycle motorcycle insurance savings teacher
+students courses lessons language grammar dictionary translation letters archive journal magazine newspaper podcast radio
+television camera photos gallery design fashion clothing shoes jewelry toys children family parents wedding health doctor
+dentist nurse clinic medicine fitness yoga running swimming hiking camping fishing sailing horses animals birds flowers
+vegetables fruit coffee chocolate cheese bread wine beer restaurant hotel hostel tourism tickets events calendar maps
+government parliament council police court justice law notary bank finance economy trade industry factory software hardware
+computer network database server cloud mobile phone support help contact about careers jobs community charity church
+schule zeitung wetter bahnhof garten kirche rathaus verein stadt kinder bilder musik wissenschaft handwerk sprache haus
+escuela noticias cocina viajes historia salud deporte libros ciudad trabajo empresa mercado playa montana familia
+ecole journal cuisine voyage sante livre ville travail marche plage montagne famille musee jardin maison ferme
+download uploads reading roadside shadow headset leads badge adopt address admin adventure advice betony better alphabet
+bethany winter windows twin classic essex sussex spectrum pillar pillow caterpillar loanword trackside racetrack
+clicker adulthood scampi banners-museum cashmere credits lottie bingen tortoise wagering-law betterment beads threads
+orchard ocean opera oak olive onion otter owl pine panda paper parade pebble pepper piano pilgrim planet pottery prairie
+puzzle rabbit rainbow ranger ribbon river robin rocket rose saddle salmon scholar seagull shepherd sketch slate sleigh
+snow sparrow spoon squirrel statue stove string sugar sunset swan tailor tapestry temple tennis thistle thunder tiger
+tulip turtle umbrella valley vanilla velvet violin volcano voyage walnut waterfall whale willow window wizard wool
+kayak knitting lantern ladder lighthouse marble meadow mill mirror moss needle nest oboe bagpipe barn basket beacon-hill
+""".split()
+#: What stands beside a word: unwanted names are mixed with each other and with the bait.
+BAIT = "super best top online now hot vip bonus deal 24 zone mega real live".split()
+PLAIN = "my the online center house group world team project land society union club info".split()
+LANGUAGES, ENDINGS = ("en", "de", "fr", "es", "it"), ("com", "net", "org", "info", "io", "de", "co.uk", "test")
+LEADS = ("", "www.", "m.", "blog.", "shop.")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """A small labelled table ``url, label`` (1: unwanted) spelled out from the word lists.
 
-    Each word stands as host, as part of a host and in the path of a plain host; names of
-    two syllables are ordinary hosts. Languages, numbers and top domains occur under both
-    labels, so they carry little weight.
+    Each word stands as host, as plural, with a hyphen and joined in front of and behind
+    another word, an unwanted one also beside ordinary ones, and in the path of a plain host.
+    Languages, numbers, endings, beginnings and page names occur under both labels, so they
+    carry little weight.
     """
     rows = []
-    for label, words in ((1, UNWANTED), (0, ORDINARY)):
+    for label, words, beside in ((1, UNWANTED, BAIT), (0, ORDINARY, PLAIN)):
         for i, word in enumerate(words):
-            lang = ("en", "de", "fr", "es")[i % 4]
-            rows += [
-                (f"http://{word}.example.com/{lang}/{1000 + i}", label),
-                (f"https://m.{word}-x.example.net/{lang}/{2000 + i}.html", label),
-                (f"https://www.my-{word}.example.org/{lang}/{3000 + i}?page=2", label),
-                (f"https://www.site{i}.example.com/{word}/{4000 + i}/", label),
-            ]
-    for i, word in enumerate(a + b for a in SYLLABLES for b in SYLLABLES):
-        lead = ("", "www.", "m.", "blog.")[i % 4]
-        end = ("com", "net", "org")[i % 3]
-        rows.append((f"https://{lead}{word}.example.{end}/{('en', 'de', 'fr', 'es')[i // 4 % 4]}/{500 + i}", 0))
+            first, second = beside[i % len(beside)], beside[(5 * i + 3) % len(beside)]
+            plural = word if word.endswith("s") else word + "s"
+            names = [word, plural, f"{word}-{first}", f"{second}-{word}", f"{plural}-{second}"]
+            names += [f"{first}{word}", f"{word}{second}"]
+            if label:  # unwanted whatever stands beside it
+                near, far = PLAIN[i % len(PLAIN)], PLAIN[(7 * i + 2) % len(PLAIN)]
+                good, fine = ORDINARY[(11 * i) % len(ORDINARY)], ORDINARY[(17 * i + 5) % len(ORDINARY)]
+                names += [f"{near}-{word}", f"{plural}-{far}", f"{far}{plural}", f"{word}{near}", f"{good}-{plural}", f"{word}-{fine}"]
+            for k, name in enumerate(names):
+                at = 3 * i + k
+                middle = ("", "example.", "site.")[at % 3]
+                tail = ("", ".html", "/", "/index", "?page=2")[(at // 2) % 5]
+                host = f"{LEADS[(i + 2 * k) % 5]}{name}.{middle}{ENDINGS[(at + i) % 8]}"
+                rows.append((f"https://{host}/{LANGUAGES[(i + k) % 5]}/{17 * at + 5}{tail}", label))
+            plain = PLAIN[i % len(PLAIN)]
+            rows.append((f"https://www.{plain}{i}.example.{ENDINGS[i % 4]}/{LANGUAGES[i % 5]}/{word}/{4000 + i}/", label))
     values = ", ".join(f"('{url}', {label})" for url, label in rows)
     return spark.sql(f"SELECT url, label FROM VALUES {values} AS t(url, label)")
 
@@ -111,55 +153,87 @@ def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def with_grams(df: DataFrame, host: str, path: str, into: str) -> DataFrame:
-    """Add the hashed n-grams of both parts, repeats included, and one bucket for the bias.
+    """Add a struct with the hashed n-grams ``host`` and ``path``, repeats included.
 
-    The parts are taken apart into characters once, so the work is linear in their length;
-    the last grams of a part are shorter.
+    Digits of the path are all taken for 0. The parts are taken apart into characters once,
+    so the work is linear in their length; the last grams of a part are shorter.
     """
+    plain = F.translate(path, string.digits, "0" * 10)
     df = df.withColumn("_host", F.split(F.concat(F.lit("^"), host, F.lit("$")), "")).withColumn(
-        "_path", F.split(F.concat(F.lit("^"), path, F.lit("$")), "")
+        "_path", F.split(F.concat(F.lit("^"), plain, F.lit("$")), "")
     )
 
     def grams(chars: Column, n: int, field: int) -> Column:
         return F.transform(
             chars,
-            lambda c, i: F.pmod(
-                F.xxhash64(F.lit(8 * n + field), c, *(F.get(chars, i + k) for k in range(1, n))),
-                F.lit(BUCKETS),
+            lambda c, i: (
+                F.pmod(
+                    F.xxhash64(F.lit(8 * n + field), c, *(F.get(chars, i + k) for k in range(1, n))), F.lit(BUCKETS)
+                )
+                + field * BUCKETS
             ).cast("int"),
         )
 
-    parts = [grams(F.col(c), n, k) for k, c in enumerate(("_host", "_path")) for n in GRAMS]
-    bias = F.array(F.lit(BUCKETS))
-    return df.withColumn(into, F.concat(*parts, bias)).drop("_host", "_path")
+    parts = [
+        F.concat(*(grams(F.col(c), n, k) for n in GRAMS)).alias(c[1:]) for k, c in enumerate(("_host", "_path"))
+    ]
+    return df.withColumn(into, F.struct(*parts)).drop("_host", "_path")
+
+
+def _scale(grams: Column, name: str) -> Column:
+    """What a part's summed weights are divided by.
+
+    The root of the number of grams; from 64 grams of a path on an eighth of the number, so
+    that ordinary words do not add up along a long path.
+    """
+    n = F.size(grams[name])
+    return F.sqrt(n) if name == "host" else F.greatest(F.sqrt(n), n / 8) / PATH_SHARE
 
 
 def probability(grams: Column, weights: Sequence[float]) -> Column:
-    """Logistic of the summed weights over the root of the number of grams."""
+    """Logistic of the bias and the scaled sums of the weights of host and path.
+
+    Each part has a scale of its own, so a long path does not dilute the host.
+    """
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
-    total = F.aggregate(grams, F.lit(0.0), lambda sum_, g: sum_ + F.get(table, g))
-    return 1 / (1 + F.exp(-total / F.sqrt(F.size(grams))))
+
+    def part(name: str) -> Column:
+        return F.aggregate(grams[name], F.lit(0.0), lambda sum_, g: sum_ + F.get(table, g)) / _scale(grams, name)
+
+    return 1 / (1 + F.exp(-(F.get(table, F.lit(2 * BUCKETS)) + part("host") + part("path"))))
 
 
 def fit(labelled: DataFrame, rounds: int = 20, rate: float = 0.7, decay: float = 0.01) -> list[float]:
-    """Weights of the buckets and, last, of the bias from ``url, label``.
+    """Weights of the buckets of hosts, of those of paths and, last, of the bias from ``url, label``.
 
     Full-batch gradient descent with a rate of its own for each bucket. Each round is one
-    aggregation by bucket; what reaches the driver are at most ``BUCKETS + 1`` sums. Rows
-    without label are left out; no rows give weights of zero.
+    aggregation by bucket; what reaches the driver are at most ``2 * BUCKETS + 1`` sums.
+    Weights of paths stay at 0 or above: a path may speak against a URL, but never clears a
+    host. Rows without label are left out; no rows give weights of zero.
     """
     host, path = split_url(F.col("url"))
     rows = labelled.where("label IS NOT NULL").limit(MOST_LABELLED)
     rows = rows.select(F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path"))
-    weights, seen = [0.0] * (BUCKETS + 1), [1e-9] * (BUCKETS + 1)
+    bias = 2 * BUCKETS
+    weights, seen = [0.0] * (bias + 1), [1e-9] * (bias + 1)
     with staged(with_grams(rows, "host", "path", "grams").select("label", "grams"), "labelled-urls") as known:
         for _ in range(rounds):
-            off = (F.col("label") - probability(F.col("grams"), weights)) / F.sqrt(F.size("grams"))
-            sums = known.select(F.explode("grams").alias("g"), off.alias("v")).groupBy("g")
+            off = known.select("grams", (F.col("label") - probability(F.col("grams"), weights)).alias("off"))
+            grams = F.col("grams")
+            parts = F.array(
+                *(
+                    F.struct(grams[name].alias("g"), (F.col("off") / _scale(grams, name)).alias("v"))
+                    for name in ("host", "path")
+                ),
+                F.struct(F.array(F.lit(bias)).alias("g"), F.col("off").alias("v")),
+            )
+            sums = off.select(F.explode(parts).alias("p")).select(F.explode("p.g").alias("g"), "p.v").groupBy("g")
             for g, v in sums.agg(F.sum("v")).collect():
                 v -= decay * weights[g]
                 seen[g] += v * v
                 weights[g] += rate * v / seen[g] ** 0.5
+                if BUCKETS <= g < bias:
+                    weights[g] = max(weights[g], 0.0)
     # rounded, so that the order in which tasks add up can't show
     return [round(w, 6) for w in weights]
 
