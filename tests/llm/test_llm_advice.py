@@ -93,3 +93,14 @@ def test_labelled_urls_have_no_host_of_the_pages(spark):
     names = {part for r in pages for part in r.url.split("/")[2].split(".")} - {"example", "com", "net", "org", "www", "m", "blog"}
     ordinary = url_filter.labelled_urls(spark).where("label = 0").collect()
     assert not names & {part for r in ordinary for part in r.url.split("/")[2].split(".")}
+
+
+def test_url_filter_samples_every_label_whatever_the_order_of_the_rows(spark):
+    made = [(f"https://a{i}.test/", 0) for i in range(3000)] + [(f"https://b{i}.test/", 1) for i in range(60)]
+    frames = [spark.createDataFrame(x, "url string, label int") for x in (made, made[::-1])]
+    samples = [{tuple(r) for r in url_filter.training_sample(x, 200).collect()} for x in frames]
+    assert samples[0] == samples[1]
+    labels = [label for _, label in samples[0]]
+    assert labels.count(1) == 60 and 60 < labels.count(0) < 140
+    weights = [url_filter.fit(x, rounds=2, size=200) for x in frames]
+    assert weights[0] == weights[1] and any(weights[0])

@@ -23,7 +23,7 @@ GRAMS = (3, 4, 5)
 PATH_SHARE = 0.5
 #: Rules are part of the plan; more of them belong into a table that is joined.
 MOST_RULES = 1000
-#: Labelled URLs a model is fitted on at most.
+#: Labelled URLs a model is fitted on, about.
 MOST_LABELLED = 100_000
 
 
@@ -203,17 +203,34 @@ def probability(grams: Column, weights: Sequence[float]) -> Column:
     return 1 / (1 + F.exp(-(F.get(table, F.lit(2 * BUCKETS)) + part("host") + part("path"))))
 
 
-def fit(labelled: DataFrame, rounds: int = 20, rate: float = 0.7, decay: float = 0.01) -> list[float]:
+def training_sample(labelled: DataFrame, size: int = MOST_LABELLED) -> DataFrame:
+    """About ``size`` rows of ``url, label``, as many of each label, chosen by a hash of the URL.
+
+    A label that has fewer rows gives them all. Rows without label are left out.
+    """
+    known = labelled.where("label IS NOT NULL").select("url", "label")
+    counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
+    place = F.pmod(F.xxhash64("url"), F.lit(1 << 30))
+    share = F.lit(False)
+    for label, count in counts.items():
+        most = min(1.0, size / len(counts) / count)
+        share |= (F.col("label") == label) & (place < F.lit(int(most * (1 << 30))))
+    return known.where(share)
+
+
+def fit(
+    labelled: DataFrame, rounds: int = 20, rate: float = 0.7, decay: float = 0.01, size: int = MOST_LABELLED
+) -> list[float]:
     """Weights of the buckets of hosts, of those of paths and, last, of the bias from ``url, label``.
 
     Full-batch gradient descent with a rate of its own for each bucket. Each round is one
     aggregation by bucket; what reaches the driver are at most ``2 * BUCKETS + 1`` sums.
     Weights of paths stay at 0 or above: a path may speak against a URL, but never clears a
-    host. Rows without label are left out; no rows give weights of zero.
+    host. A table of more than ``size`` rows is sampled (:func:`training_sample`). Rows without
+    label are left out; no rows give weights of zero.
     """
     host, path = split_url(F.col("url"))
-    rows = labelled.where("label IS NOT NULL").limit(MOST_LABELLED)
-    rows = rows.select(F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path"))
+    rows = training_sample(labelled, size).select(F.col("label").cast("double").alias("label"), host.alias("host"), path.alias("path"))
     bias = 2 * BUCKETS
     weights, seen = [0.0] * (bias + 1), [1e-9] * (bias + 1)
     with staged(with_grams(rows, "host", "path", "grams").select("label", "grams"), "labelled-urls") as known:
