@@ -35,7 +35,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut out what occurs of the benchmark's items."""
-    return decontaminate(docs, benchmark_blocks(spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    return decontaminate(docs, benchmark_blocks(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), unnamed=True))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

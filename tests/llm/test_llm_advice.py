@@ -2,11 +2,12 @@
 
 import string
 
+import corpus_pipeline as P
 import numpy as np
 import pyarrow as pa
 from conftest import SMALL
 
-from tillwise.llm import fertility, url_filter, vocabulary
+from tillwise.llm import fertility, fm_index, url_filter, vocabulary
 
 PROSE = {
     "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
@@ -104,3 +105,22 @@ def test_url_filter_samples_every_label_whatever_the_order_of_the_rows(spark):
     assert labels.count(1) == 60 and 60 < labels.count(0) < 140
     weights = [url_filter.fit(x, rounds=2, size=200) for x in frames]
     assert weights[0] == weights[1] and any(weights[0])
+
+
+def test_benchmark_items_without_id_are_hit_and_cut_but_not_listed(spark, tmp_path):
+    passage = [f"q{i}" for i in range(14)]
+    bench = spark.createDataFrame([(None, " ".join(passage)), (7, "alpha beta"), (None, "Gamma")], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    made = [(1, "head " + " ".join(passage) + " tail"), (2, "alpha beta and gamma"), (3, "nothing here")]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = fm_index.query(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.n_hit, r.n_items, r.contaminated) for r in found} == {
+        (1, 14, 0, True), (2, 3, 1, True), (3, 0, 0, False),
+    }
+    for size in (10, fm_index.BLOCK_BYTES):
+        blocks = fm_index.benchmark_blocks(bench, block_bytes=size, unnamed=True)
+        got = {r.doc_id: (r.n_hit, r.items) for r in fm_index.contamination(docs, blocks).collect()}
+        assert got == {1: (14, []), 2: (3, ["7"]), 3: (0, [])}
+    left = {r.doc_id: r.text for r in P.benchmark_decontamination(spark, docs, str(tmp_path)).collect()}
+    assert left == {1: "head  tail", 2: " and ", 3: "nothing here"}

@@ -149,7 +149,7 @@ class Phrases:
     """Distinct phrases of a block of items, as symbols of the block's own vocabulary.
 
     ``items`` are the items' names in text order; phrase ``i`` is part of the items
-    ``owners[bounds[i]:bounds[i + 1]]``.
+    ``owners[bounds[i]:bounds[i + 1]]``. Items without name are one item, the last: None.
     """
 
     vocabulary: np.ndarray
@@ -157,13 +157,16 @@ class Phrases:
     lengths: np.ndarray
     owners: np.ndarray
     bounds: np.ndarray
-    items: list[str]
+    items: list[str | None]
 
 
-def phrases_of(items: list[tuple[str, str]], window: int = WINDOW) -> Phrases | None:
+def phrases_of(items: list[tuple[str | None, str]], window: int = WINDOW) -> Phrases | None:
     """The windows of items ``(id, text)``; a shorter item is one phrase; None without words."""
-    items = sorted(items)
-    names = sorted({name for name, _ in items})
+    def last(name: str | None) -> tuple[bool, str]:
+        return name is None, name or ""
+
+    items = sorted(items, key=lambda item: (last(item[0]), item[1]))
+    names = sorted({name for name, _ in items}, key=last)
     data, offsets = texts_of(pa.array([text for _, text in items], pa.large_string()))
     words = Words(LOWER[data], offsets, ALNUM)
     if not len(words):
@@ -189,17 +192,21 @@ def phrases_of(items: list[tuple[str, str]], window: int = WINDOW) -> Phrases |
     )
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, window: int = WINDOW) -> list[Phrases]:
+def benchmark_blocks(
+    benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, window: int = WINDOW, unnamed: bool = False
+) -> list[Phrases]:
     """The phrases of ``item_id, text`` in blocks of about ``block_bytes`` of text.
 
-    Items are dealt to blocks by a hash of the id; one block at a time reaches the driver.
+    Items are dealt to blocks by a hash of id and, without id, text; one block at a time
+    reaches the driver. With ``unnamed`` the items without id are searched, too: their words
+    are hit but nobody's. Otherwise they are left out.
     """
-    rows = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(
+    rows = benchmark.where("text IS NOT NULL" if unnamed else "text IS NOT NULL AND item_id IS NOT NULL").select(
         F.col("item_id").cast("string").alias("item_id"), "text"
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, math.ceil(total / block_bytes))
-    block = F.pmod(F.xxhash64("item_id"), F.lit(count))
+    block = F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(count))
     found = (phrases_of([tuple(r) for r in rows.where(block == i).collect()], window) for i in range(count))
     return [x for x in found if x is not None]
 
@@ -261,7 +268,8 @@ def _hits(words: Words, blocks: list[Phrases]) -> tuple[np.ndarray, list[set[str
         own, text, item = find(words, block)
         hit |= own
         for t, i in zip(text.tolist(), item.tolist(), strict=True):
-            items[t].add(block.items[i])
+            if block.items[i] is not None:
+                items[t].add(block.items[i])
     return hit, items
 
 
@@ -376,5 +384,5 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
-    blocks = benchmark_blocks(spark.read.parquet(f"{folder}/benchmark.parquet"))
+    blocks = benchmark_blocks(spark.read.parquet(f"{folder}/benchmark.parquet"), unnamed=True)
     return digest(contamination(spark.read.parquet(f"{folder}/documents.parquet"), blocks))
