@@ -18,6 +18,7 @@ TYPES = {
     "double": "DOUBLE",
     "float": "FLOAT",
     "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 
