@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,26 +34,37 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     the shared folder is cleaned.
     """
     path = _new_path(df, label)
-    if _open:
-        _open[-1].append(path)
+    if (written := _open.get()) is not None:
+        written.append(path)
     return _write(df, path)
 
 
-#: Paths that stage() has written inside the open scratch() blocks, one list for each.
-_open: list[list[str]] = []
+#: What stage() has written inside the innermost open scratch() block of this thread or task.
+_open: ContextVar[list[str] | None] = ContextVar("tillwise-scratch", default=None)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete at the end of the ``with`` block what :func:`stage` wrote inside it."""
-    _open.append([])
+    """Delete at the end of the ``with`` block what :func:`stage` wrote inside it.
+
+    Jobs in other threads have blocks of their own.
+    """
+    outer = _open.set([])
     try:
         yield
     finally:
-        for path in _open.pop():
+        paths = _open.get()
+        _open.reset(outer)
+        for path in paths:
             _delete(spark, path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete what :func:`stage` wrote for ``frame``, which nothing may read any more."""
+    for path in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+        _delete(frame.sparkSession, path)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """The same for the length of a ``with`` block; the files are deleted at its end."""
