@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import bag_minhash, byte_cnn, fertility, fm_index, hash_tree, packing, quotations, recompression, toxicity, url_filter, warc
+from tillwise.llm import bag_minhash, byte_cnn, fertility, fm_index, hash_tree, importance, packing, quotations
+from tillwise.llm import recompression, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fm_index": fm_index.query,
         "op9_hash_tree": hash_tree.query,
         "op10_byte_cnn": byte_cnn.query,
+        "op11_importance": importance.query,
         "op12_warc": warc.query,
     }
 
@@ -29,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_quotations": quotations.oracle(),
         "op9_hash_tree": hash_tree.oracle(),
+        "op11_importance": importance.oracle(),
         "op12_warc": warc.oracle(),
     }
