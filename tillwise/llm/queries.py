@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import bag_minhash, byte_cnn, fertility, fm_index, hash_tree, importance, packing, quotations
+from tillwise.llm import bag_minhash, byte_cnn, fertility, fm_index, hash_tree, importance, k2_treap, packing, quotations
 from tillwise.llm import recompression, toxicity, url_filter, warc
 
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_byte_cnn": byte_cnn.query,
         "op11_importance": importance.query,
         "op12_warc": warc.query,
+        "op13_k2_treap": k2_treap.query,
     }
 
 
@@ -33,4 +34,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_hash_tree": hash_tree.oracle(),
         "op11_importance": importance.oracle(),
         "op12_warc": warc.oracle(),
+        "op13_k2_treap": k2_treap.oracle(),
     }

@@ -17,7 +17,9 @@ PIECE_BYTES = 2 << 20
 _U = np.uint64
 #: An odd base whose predecessor is twice an odd number, so swapped letters keep apart.
 _BASE = 0x9E3779B97F4A7C17 | 3
-_LETTERS = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64, 256, dtype=np.uint64)
+_LETTERS, _OTHER_LETTERS = (
+    np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, 256, dtype=np.uint64) for seed in (20240607, 20240711)
+)
 
 
 def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
@@ -126,10 +128,18 @@ class Words:
 
     @property
     def hash(self) -> np.ndarray:
+        return self._hash(_LETTERS)
+
+    @property
+    def second_hash(self) -> np.ndarray:
+        """64 more bits of another function of the words."""
+        return self._hash(_OTHER_LETTERS)
+
+    def _hash(self, letters: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             power, inverse = _power_tables(len(self.data) + 1)
             sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_LETTERS[self.data] * power[: len(self.data)], out=sums[1:])
+            np.cumsum(letters[self.data] * power[: len(self.data)], out=sums[1:])
             return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
 
     def windows(self, size: int) -> np.ndarray:
