@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.text import ALNUM, LOWER, Words, pieces, texts_of
+from tillwise.llm.text import ALNUM, LOWER, PIECE_BYTES, Words, pieces, texts_of
 from tillwise.staging import stage
 
 TOP = 20
@@ -229,9 +229,8 @@ def _words(column: pa.Array) -> Words:
     return Words(LOWER[data], offsets, ALNUM)
 
 
-def terms_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """128 bits of each distinct word, in two halves, in order, and the number of every word among them."""
-    key, check = words.hash, words.second_hash
+def terms_of(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of 128 bits, in two halves, in order, and the number of every word among them."""
     keys, first, number = np.unique(key, return_index=True, return_inverse=True)
     checks = check[first]
     if (checks[number] == check).all():
@@ -261,38 +260,51 @@ def impacts(tf: np.ndarray, size: np.ndarray, documents: int, words: int) -> np.
     return 1_000_000_000 * tf // (1000 * tf + 12 * m)
 
 
-def _shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
-    """Rows of neighbouring batches with about ``limit`` bytes of text."""
-    held, size = [], 0
+@dataclass
+class _Shard:
+    """The documents with a term of about so many bytes of text: ids, sizes, and the words' halves."""
+
+    ids: list[int | None]
+    sizes: np.ndarray
+    key: np.ndarray
+    check: np.ndarray
+
+
+def _shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[_Shard]:
+    """Neighbouring rows, over the ends of batches; words are hashed in pieces, which bounds the memory."""
+    ids, parts, size = [], [], 0
+
+    def shard() -> _Shard:
+        return _Shard(ids, *(np.concatenate(x) for x in zip(*parts, strict=True)))
+
     for batch in batches:
-        for piece in pieces(batch, limit=limit // 4):
-            held.append(piece)
-            size += int(texts_of(piece.column("text"))[1][-1])
+        for piece in pieces(batch, limit=min(limit, PIECE_BYTES)):
+            words = _words(piece.column("text"))
+            held = np.flatnonzero(words.counts)
+            ids += piece.column("doc_id").take(pa.array(held)).to_pylist()
+            parts.append((words.counts[held], words.hash, words.second_hash))
+            size += len(words.data)
             if size >= limit:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
+                if ids:
+                    yield shard()
+                ids, parts, size = [], [], 0
+    if ids:
+        yield shard()
 
 
 def _index(documents: int, words_total: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches, limit):
-            words = _words(shard.column("text"))
-            if not len(words):
-                continue
-            keys, checks, number = terms_of(words)
-            sizes = words.counts
-            held = np.flatnonzero(sizes)
-            column = (np.cumsum(sizes > 0) - 1)[words.text]
-            point, tf = np.unique(number * len(held) + column, return_counts=True)
-            row, column = point // len(held), point % len(held)
-            height = max(len(keys) - 1, len(held) - 1).bit_length()
-            levels = build_treap(row, column, impacts(tf, sizes[held][column], documents, words_total), height)
-            ids = shard.column("doc_id").combine_chunks().take(pa.array(held))
+            keys, checks, number = terms_of(shard.key, shard.check)
+            n = len(shard.ids)
+            point, tf = np.unique(number * n + np.repeat(np.arange(n), shard.sizes), return_counts=True)
+            del number
+            row, column = point // n, point % n
+            height = max(len(keys) - 1, n - 1).bit_length()
+            levels = build_treap(row, column, impacts(tf, shard.sizes[column], documents, words_total), height)
             texts = np.bincount(row, minlength=len(keys)).astype("<u4")
             one = {
-                "doc_ids": pa.array([ids.to_pylist()], pa.list_(pa.int64())),
+                "doc_ids": pa.array([shard.ids], pa.list_(pa.int64())),
                 "height": pa.array([height], pa.int32()),
                 "terms": pa.array([keys.astype("<u8").tobytes()], pa.binary()),
                 "checks": pa.array([checks.astype("<u8").tobytes()], pa.binary()),
@@ -374,7 +386,7 @@ def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[It
     for i in range(count):
         found = sorted({tuple(r) for r in rows.where(block == i).collect()}, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         words = _words(pa.array([text for _, text in found], pa.large_string()))
-        keys, checks, number = terms_of(words)
+        keys, checks, number = terms_of(words.hash, words.second_hash)
         own = [np.unique(number[a:b], return_counts=True) for a, b in zip(words.first, words.first[1:])]
         yield Items([name for name, _ in found], keys, checks, [t for t, _ in own], [n for _, n in own])
 
