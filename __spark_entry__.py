@@ -323,6 +323,26 @@ def staged_load(spark, folder):
     return table.rows()
 
 
+def upsert_table(spark, folder):
+    """A table by month whose later months are replaced by key, read back."""
+    table = ParquetTable(spark, _new_folder(spark, "sales"), C.SALES_TABLE, by_month="order_date")
+    rows = stage(_sales_rows(spark, folder), "sales-rows")
+    key = ["order_id", "product_id"]
+    table.load(rows.where(F.col("order_date") < "1998-07-01"), key)
+    dearer = (F.col("price") + F.lit(1)).cast(C.MONEY)
+    table.upsert(rows.where(F.col("order_date") >= "1997-01-01").withColumn("price", dearer), key)
+    return table.rows()
+
+
+def compacted_loads(spark, folder):
+    """The lines in five loads, by the last digit of the order, of a table that keeps two at most."""
+    table = ParquetTable(spark, _new_folder(spark, "sales"), C.SALES_TABLE, by_month="order_date", most_loads=2)
+    rows = stage(_sales_rows(spark, folder), "sales-rows")
+    for digit in range(5):
+        table.append(rows.where(F.col("order_id") % 5 == digit))
+    return table.rows()
+
+
 def _known_customers(spark, folder):
     """Customers with proper addresses."""
     return _customers(spark, folder).withColumn(
@@ -549,6 +569,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_sales": upsert_sales,
         "merge_customers": merge_customers,
         "staged_load": staged_load,
+        "upsert_table": upsert_table,
+        "compacted_loads": compacted_loads,
         "conform_types": conform_types,
         "full_job": full_job,
         "second_batch_conflicts": second_batch_conflicts,
@@ -836,6 +858,20 @@ def _own_sql() -> dict[str, str]:
             LEFT JOIN customers c ON m.customer_id = c.customer_id
             LEFT JOIN weather w ON c.latitude = w.latitude AND c.longitude = w.longitude
                                AND m.order_date = w.order_date""",
+        "upsert_table": f"""WITH {_ENRICHED_SQL},{_HELD_SQL},{_BATCH_SQL},
+            late AS (SELECT * FROM batch WHERE order_date >= DATE '1997-01-01'),
+            merged AS (
+              SELECT * FROM late UNION ALL
+              SELECT h.* FROM held h WHERE NOT EXISTS (
+                SELECT 1 FROM late b WHERE h.order_id = b.order_id AND h.product_id = b.product_id))
+            SELECT m.*, w.temperature, w.weather_condition
+            FROM merged m
+            LEFT JOIN customers c ON m.customer_id = c.customer_id
+            LEFT JOIN weather w ON c.latitude = w.latitude AND c.longitude = w.longitude
+                               AND m.order_date = w.order_date""",
+        "compacted_loads": f"""WITH {_ENRICHED_SQL}
+            SELECT order_id, customer_id, product_id, quantity, price, order_date, temperature, weather_condition
+            FROM enriched""",
         "conform_types": f"""WITH {_ENRICHED_SQL}
             SELECT CAST(order_id AS INTEGER) AS order_id, CAST(customer_id AS INTEGER) AS customer_id,
                    CAST(product_id AS INTEGER) AS product_id, quantity,

@@ -1,0 +1,240 @@
+"""Manifests, compaction, months, key bounds and publishing together."""
+
+import glob
+import os
+import uuid
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tillwise import contracts as C
+from tillwise.plans import job
+from tillwise.plans.job import open_tables, open_warehouse, run_job
+from tillwise.sinks.tables import MONTH, Manifest, ParquetTable, Part
+from tillwise.sinks.versions import Publication, Versions
+from tillwise.staging import shared_folder
+
+TABLE = C.Contract("t", (C.Column("k", C.LONG), C.Column("d", C.DATE), C.Column("v", C.INT)), primary_key=("k",))
+
+
+@pytest.fixture
+def folder(spark):
+    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+
+
+@pytest.fixture
+def batch(spark):
+    return lambda *r: spark.createDataFrame(list(r), "k long, d string, v int").selectExpr("k", "CAST(d AS DATE) AS d", "v")
+
+
+def files(df):
+    return {f.split("/tables-")[1].split("/", 1)[1].rsplit("/", 1)[0] for f in df.inputFiles()}
+
+
+def count_calls(monkeypatch, *names):
+    made = []
+    for name in names:
+        was = getattr(Versions, name)
+        monkeypatch.setattr(Versions, name, lambda self, *a, _n=name, _w=was: made.append(_n) or _w(self, *a))
+    return made
+
+
+def test_many_loads_are_found_by_one_listing_and_one_file(spark, folder, batch, monkeypatch):
+    table = ParquetTable(spark, folder, TABLE)
+    one = table.append(batch((1, "2023-01-05", 1)))[0]
+    many = [Part(f"load={i:08d}-add", None, 1, {"k": [i, i]}) for i in range(2, 501)]
+    table._commit(Manifest((one,), {one.load: 1}), many)
+    made = count_calls(monkeypatch, "numbers", "read")
+    manifest = table.manifest()
+    assert made == ["numbers", "read"]
+    assert len(manifest.parts) == manifest.rows == 500
+    near = table.rows_near(batch((1, "2023-01-05", 1)), ["k"])
+    assert made == ["numbers", "read"] * 2 and rows(near, "k") == [(1,)]
+
+
+@pytest.mark.parametrize("by_month", [None, "d"])
+def test_small_loads_are_merged(spark, folder, batch, by_month):
+    table = ParquetTable(spark, folder, TABLE, by_month=by_month, most_loads=3)
+    table.append(batch(*[(100 + i, "2023-03-01", i) for i in range(20)]))
+    large = table.manifest().parts[0].load
+    for i in range(9):
+        table.append(batch((i, f"2023-0{1 + i % 2}-05", i)))
+        assert len({p.load for p in table.manifest().parts}) <= 3
+    assert large in {p.load for p in table.manifest().parts}
+    assert rows(table.rows(), "k") == sorted([(i,) for i in range(9)] + [(100 + i,) for i in range(20)], key=repr)
+    table.vacuum()
+    assert {os.path.basename(f) for f in glob.glob(f"{folder.removeprefix('file:')}/*")} == {p.load for p in table.manifest().parts}
+    assert rows(table.rows(), "k")[0] == (0,) and len(table.versions.numbers()) == 1
+
+
+def test_crashed_compaction_leaves_the_old_version(spark, folder, batch, monkeypatch):
+    table = ParquetTable(spark, folder, TABLE, most_loads=50)
+    for i in range(4):
+        table.append(batch((i, "2023-01-05", i)))
+    before = table.manifest()
+
+    def crash(self, number, record):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Versions, "write", crash)
+        with pytest.raises(OSError, match="lost"):
+            table.compact()
+    assert table.manifest() == before and rows(table.rows(), "k") == [(0,), (1,), (2,), (3,)]
+    table.compact()
+    assert len(table.manifest().parts) == 1 and rows(table.rows(), "k") == [(0,), (1,), (2,), (3,)]
+
+
+def test_merging_tables_add_up_when_they_are_compacted(spark, folder):
+    table = ParquetTable(spark, folder, TABLE, merge=lambda r: r.groupBy("k").agg({"d": "max", "v": "sum"}).toDF("k", "d", "v"), most_loads=2)
+    for i in range(5):
+        table.append(spark.createDataFrame([(1, i), (2, 10)], "k long, v int").selectExpr("k", "DATE'2023-01-01' AS d", "v"))
+    summed = table.rows().groupBy("k").sum("v")
+    assert rows(summed) == [(1, 10), (2, 50)] and table.rows().count() < 10
+
+
+def test_upsert_reads_and_writes_the_touched_months_only(spark, folder, batch):
+    table = ParquetTable(spark, folder, TABLE, by_month="d")
+    table.append(batch(*[(m * 10 + i, f"2023-{m:02d}-0{i}", 1) for m in range(1, 7) for i in range(1, 4)]))
+    old = table.manifest()
+    # breaks whatever reads another month than March and April
+    for month in ("2023-01", "2023-02", "2023-05", "2023-06"):
+        for f in glob.glob(f"{folder.removeprefix('file:')}/load=*/{MONTH}={month}/*.parquet"):
+            with open(f, "wb") as broken:
+                broken.write(b"no parquet")
+            os.path.exists(crc := f"{os.path.dirname(f)}/.{os.path.basename(f)}.crc") and os.remove(crc)
+    table.upsert(batch((31, "2023-03-09", 7), (32, "2023-04-30", 8), (39, "2023-04-01", 9)), ["k"])
+    new = table.manifest()
+    written = {p.month for p in new.parts if p.load.endswith("-months")}
+    assert written == {"2023-03", "2023-04"}
+    assert [p for p in new.parts if p.month not in written] == [p for p in old.parts if p.month not in written]
+    touched = table.read([p for p in new.parts if p.month in written]).select(*TABLE.names)
+    assert rows(touched, "k", "v") == [(31, 7), (32, 8), (33, 1), (39, 9), (41, 1), (42, 1), (43, 1)]
+    assert new.rows == old.rows + 1
+
+
+def test_month_without_date_and_months_that_lose_all_rows(spark, folder, batch):
+    table = ParquetTable(spark, folder, TABLE, by_month="d")
+    table.append(batch((1, None, 1), (2, "2023-01-01", 2), (3, "2023-02-01", 3)))
+    table.upsert(batch((1, "2023-02-05", 9), (2, None, 8)), ["k"])
+    assert rows(table.rows(), "k", "v") == [(1, 9), (2, 8), (3, 3)]
+    assert sorted(str(p.month) for p in table.manifest().parts) == ["2023-02", "None"]
+    table.upsert(batch((4, "2023-07-01", 4)), ["k"])
+    assert rows(table.rows(), "k") == [(1,), (2,), (3,), (4,)]
+
+
+def test_only_loads_near_the_keys_are_read(spark, folder, batch):
+    table = ParquetTable(spark, folder, TABLE)
+    for i in range(10):
+        table.append(batch((10 * i, "2023-01-01", i), (10 * i + 9, "2023-01-02", i)))
+    near = table.rows_near(batch((42, "2024-01-01", 0), (48, "2024-01-01", 0)), ["k"])
+    assert files(near) == {"load=00000005-add"}
+    assert rows(table.rows_near(batch((200, "2024-01-01", 0), (300, None, 0)), ["k"])) == []
+    assert len(files(table.rows_near(batch((42, "2024-01-01", 0), (None, None, 0), (75, None, 1)), ["k"]))) == 4
+    table.load(batch((49, "2024-01-01", 1), (50, "2024-01-01", 1), (55, "2024-01-01", 1)), ["k"])
+    assert table.rows().where("k = 55").count() == 1 and table.rows().count() == 21
+
+
+def test_a_block_publishes_all_tables_or_none(spark, folder, batch):
+    group = Publication(spark, f"{folder}/published")
+    other = C.Contract("u", TABLE.columns, primary_key=("k",))
+    one, two = (ParquetTable(spark, f"{folder}/{c.name}", c, group=group) for c in (TABLE, other))
+    seen = ParquetTable(spark, f"{folder}/t", TABLE, group=Publication(spark, f"{folder}/published"))
+    with group.together():
+        one.append(batch((1, None, 1)))
+        assert rows(one.rows(), "k") == [(1,)] and rows(seen.rows()) == []
+        two.append(batch((2, None, 2)))
+    assert rows(seen.rows(), "k") == [(1,)]
+    with pytest.raises(ZeroDivisionError), group.together():
+        one.append(batch((3, None, 3)))
+        1 / 0
+    assert rows(one.rows(), "k") == [(1,)] and rows(two.rows(), "k") == [(2,)]
+    one.append(batch((4, None, 4)))
+    assert rows(seen.rows(), "k") == [(1,), (4,)]
+
+
+def test_two_writers_are_noticed(spark, folder):
+    versions = Versions(spark, folder)
+    versions.write(1, {"a": "ä"})
+    with pytest.raises(RuntimeError, match="someone else"):
+        versions.write(1, {})
+    assert versions.read(1) == {"a": "ä"} and versions.numbers() == [1]
+
+
+# ------------------------------------------------------------------------- the job
+
+
+@pytest.fixture
+def two_customers(customers_of_rows):
+    return customers_of_rows((1, "n1", "u1", "u1@b.co", 1.0, 5.0), (2, "n2", "u2", "u2@b.co", 2.0, 5.0))
+
+
+def metrics(tables):
+    return {n: rows(t.rows()) for n, t in tables.items() if n.endswith("metrics")}
+
+
+def test_crash_between_the_tables_shows_neither(spark, folder, sales_of_rows, two_customers, weather_of_rows, monkeypatch):
+    first = sales_of_rows((1, 1, 1, 1, 10, "2023-01-01"))
+    run_job(spark, first, two_customers, weather_of_rows(), folder)
+    before = {n: rows(t.rows()) for n, t in open_tables(spark, folder).items()}
+    second = sales_of_rows((2, 2, 1, 1, 10, "2023-01-02"))
+    for step in ("_add_up", "_metrics", "_publish"):
+
+        def crash(*_args):
+            raise OSError(step)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(job, step, crash)
+            with pytest.raises(OSError, match=step):
+                run_job(spark, second, two_customers, weather_of_rows(), folder)
+        assert {n: rows(t.rows()) for n, t in open_tables(spark, folder).items()} == before
+    tables = run_job(spark, second, two_customers, weather_of_rows(), folder)
+    assert rows(tables["customers"].rows(), "customer_id") == [(1,), (2,)]
+    assert rows(tables["sales"].rows(), "order_id") == [(1,), (2,)]
+
+
+def test_second_batch_reads_no_old_sales(spark, folder, sales_of_rows, two_customers, weather_of_rows):
+    first = sales_of_rows((1, 1, 1, 1, 10, "2022-11-01"), (2, 2, 1, 3, 30, "2022-12-02"), (3, 1, 2, 5, 50, "2022-12-03"))
+    tables = run_job(spark, first, two_customers, weather_of_rows(), folder)
+    for f in glob.glob(f"{folder.removeprefix('file:')}/sales/load=*/{MONTH}=*/*.parquet"):
+        with open(f, "wb") as broken:
+            broken.write(b"no parquet")
+        os.path.exists(crc := f"{os.path.dirname(f)}/.{os.path.basename(f)}.crc") and os.remove(crc)
+    second = sales_of_rows((10, 1, 1, 2, 20, "2023-01-01"), (11, 1, 2, 4, 40, "2023-01-02"), (11, 1, 3, 4, 5, "2023-01-02"))
+    tables = run_job(spark, second, two_customers, weather_of_rows(), folder)
+    assert rows(tables["monthly_sales_metrics"].rows()) == [
+        ("2022-11", 1, Decimal(10), 1, 1), ("2022-12", 8, Decimal(80), 4, 2), ("2023-01", 10, Decimal(65), Decimal("3.33"), 2),
+    ]
+    assert rows(tables["customer_metrics"].rows(), "customer_id", "frequency", "total_revenue", "recency") == [
+        (1, 4, Decimal(125), 0), (2, 1, Decimal(30), 31),
+    ]
+    assert rows(tables["seasonal_sales_metrics"].rows(), "total_sales_volume", "order_count") == [(19, 5)]
+
+
+def test_orders_that_come_again_are_counted_once(spark, folder, sales_of_rows, two_customers, weather_of_rows):
+    """The same order id for another customer, in another month and with another product."""
+    weather = weather_of_rows((1.0, 5.0, "2023-01-01", 4.0, "Rain"), (2.0, 5.0, "2023-02-01", 4.0, "Rain"))
+    batches = [
+        [(1, 1, 1, 1, 10, "2023-01-01"), (2, 1, 1, 1, 10, "2023-01-01")],
+        [(1, 1, 2, 1, 10, "2023-01-01"), (1, 2, 3, 1, 10, "2023-02-01"), (3, 2, 1, None, None, "2023-02-01")],
+        [(1, 2, 4, 1, 10, "2023-02-01"), (2, 1, 2, 1, 10, "2023-03-01"), (1, 1, 1, 9, 90, "2023-01-01")],
+    ]
+    for one in batches:
+        clean = [(o, c, p, q or 2, m or 5, d) for o, c, p, q, m, d in one]
+        step = run_job(spark, sales_of_rows(*clean), two_customers, weather, folder)
+    whole = run_job(spark, step["sales"].rows().drop("temperature", "weather_condition"), two_customers, weather, f"{folder}-whole")
+    assert metrics(step) == metrics(whole)
+    assert rows(step["customer_metrics"].rows(), "customer_id", "frequency") == [(1, 2), (2, 2)]
+    assert rows(step["monthly_sales_metrics"].rows(), "year_month", "order_count") == [("2023-01", 2), ("2023-02", 2), ("2023-03", 1)]
+
+
+def test_totals_are_counted_anew_when_the_sales_were_changed_otherwise(spark, folder, sales_of_rows, two_customers, weather_of_rows):
+    tables = run_job(spark, sales_of_rows((1, 1, 1, 1, 10, "2023-01-01")), two_customers, weather_of_rows(), folder)
+    dearer = tables["sales"].rows().withColumn("price", F.lit(99).cast(C.MONEY))
+    tables["sales"].upsert(dearer, C.SALES_TABLE.primary_key)
+    tables = run_job(spark, sales_of_rows((2, 1, 1, 1, 1, "2023-01-02")), two_customers, weather_of_rows(), folder)
+    assert rows(tables["product_metrics"].rows(), "total_revenue") == [(Decimal(100),)]
+    notes = open_warehouse(spark, folder).heads.manifest().notes
+    assert notes == {"sales": tables["sales"].version()}

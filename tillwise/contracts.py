@@ -231,6 +231,58 @@ CUSTOMER_METRICS = Contract(
     primary_key=("customer_id",),
 )
 
+# ------------------------------------------------------- totals behind the metrics
+
+
+def _grouped_totals(name: str, key: str) -> Contract:
+    return Contract(
+        name,
+        (
+            Column(key, TEXT),
+            Column("total_sales_volume", LONG),
+            Column("total_sales_revenue", TOTAL),
+            Column("counted", LONG),
+            Column("order_count", LONG),
+        ),
+    )
+
+
+MONTHLY_TOTALS = _grouped_totals("monthly_totals", "year_month")
+SEASONAL_TOTALS = _grouped_totals("seasonal_totals", "weather_condition")
+
+PRODUCT_TOTALS = Contract(
+    "product_totals",
+    (
+        Column("product_id", LONG),
+        Column("sales_volume", LONG),
+        Column("total_revenue", TOTAL),
+        Column("counted", LONG),
+    ),
+)
+
+CUSTOMER_TOTALS = Contract(
+    "customer_totals",
+    (
+        Column("customer_id", LONG),
+        Column("total_revenue", TOTAL),
+        Column("first_order_date", DATE),
+        Column("last_order_date", DATE),
+        Column("total_orders", LONG),
+    ),
+)
+
+#: Which customers, months and conditions an order was counted for; its bounds are those of the order ids.
+ORDER_HEADS = Contract(
+    "order_heads",
+    (
+        Column("order_id", LONG),
+        Column("customer_id", LONG),
+        Column("year_month", TEXT),
+        Column("weather_condition", TEXT),
+    ),
+    unique=(("order_id",),),
+)
+
 #: What the enriched sale must look like before it is loaded.
 ENRICHED_SALE = Contract(
     "enriched_sale",

@@ -82,7 +82,13 @@ def customer_metrics(
     """
     totals = stage(customer_totals(sales, cols, revenue, approximate_orders), "customer-totals")
     values = customer_values(totals, analysis_date or latest_order_date(totals), cols)
-    cuts = value_cuts(values, mode, relative_error)
+    return label_customers(values, value_cuts(values, mode, relative_error), cols, null_segment)
+
+
+def label_customers(
+    values: DataFrame, cuts: list[float], cols: SalesColumns = SALES, null_segment: str = SEGMENTS[3]
+) -> DataFrame:
+    """The customers' values with the segment that the quartiles ``cuts`` give them."""
     return values.select(
         cols.customer,
         "ltv",

@@ -132,16 +132,19 @@ def reference_violations(
     return _as_rows(orphans(df, column, parents, parent_column).agg(lines))
 
 
-def key_conflicts(held: DataFrame, fresh: DataFrame, contract: Contract) -> DataFrame:
+def key_conflicts(
+    held: DataFrame | Mapping[tuple[str, ...], DataFrame], fresh: DataFrame, contract: Contract
+) -> DataFrame:
     """Keys of the contract that ``fresh`` rows would break beside the ``held`` ones.
 
     (rule, violations) for every key: rows beyond the first. Only held rows that share a
-    key with a fresh one are looked at.
+    key with a fresh one are looked at. ``held`` may name other rows for each key to be checked.
     """
     parts = []
-    for key in contract.keys:
+    for key in contract.keys if isinstance(held, DataFrame) else held:
         new = fresh.select(*key).dropna()
-        same = held.select(*key).join(new, list(key), "left_semi")
+        rows = held if isinstance(held, DataFrame) else held[key]
+        same = rows.select(*key).join(new, list(key), "left_semi")
         parts.append(key_violations(same.unionByName(new), key))
     return reduce(DataFrame.unionByName, parts)
 
