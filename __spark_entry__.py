@@ -41,7 +41,7 @@ from tillwise.plans.job import row_counts, run_job
 from tillwise.session import input_bytes, prepare
 from tillwise.sinks.tables import ParquetTable
 from tillwise.sources.documents import json_field
-from tillwise.sources.files import flatten_users, parse_users, read_sales_csv, read_users_json
+from tillwise.sources.files import flatten_users, parse_users, read_sales_csv, read_sales_csv_checked, read_users_json
 from tillwise.sources.lookup import fetch_documents, look_up, outcome_counts
 from tillwise.sources.star import order_heads, sales_lines, star_table
 from tillwise.staging import shared_folder, stage
@@ -230,6 +230,27 @@ def sales_csv(spark, folder):
     return read_sales_csv(spark, path)
 
 
+def unreadable_lines(spark, folder):
+    """What is set aside of CSV files where some quantities are words and some dates no days."""
+    path = _new_folder(spark, "sales-csv")
+    order = F.col("order_id")
+    _sales(spark, folder).select(
+        "order_id",
+        "customer_id",
+        "product_id",
+        F.when(order % 50 == 0, "many").otherwise(F.col("quantity").cast("string")).alias("quantity"),
+        "price",
+        F.when(order % 70 == 0, "1997-13-45").otherwise(F.col("order_date").cast("string")).alias("order_date"),
+    ).write.csv(path, header=True)
+    good, rejected = read_sales_csv_checked(spark, path)
+    read = good.groupBy().agg(F.count(F.lit(1)).alias("lines")).select(
+        F.lit("").alias("line"), F.lit("read").alias("reasons"), "lines"
+    )
+    return rejected.groupBy("line", F.array_join("reasons", ",").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("lines")
+    ).unionByName(read)
+
+
 def validation_report(spark, folder):
     lines = with_customers(_sales(spark, folder), _customers(spark, folder))
     return V.rule_report(lines, V.sale_rules())
@@ -558,6 +579,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flatten_user_documents": flatten_user_documents,
         "user_file": user_file,
         "sales_csv": sales_csv,
+        "unreadable_lines": unreadable_lines,
         "validation_report": validation_report,
         "constraint_report": constraint_report,
         "customer_constraint_report": customer_constraint_report,
@@ -809,6 +831,16 @@ def _own_sql() -> dict[str, str]:
         "flatten_user_documents": users,
         "user_file": users,
         "sales_csv": f"WITH {_SALES_SQL} SELECT * FROM sales",
+        "unreadable_lines": f"""WITH {_SALES_SQL},
+            texts AS (
+              SELECT concat_ws(',', order_id, customer_id, product_id,
+                       CASE WHEN order_id % 50 = 0 THEN 'many' ELSE CAST(quantity AS VARCHAR) END, price,
+                       CASE WHEN order_id % 70 = 0 THEN '1997-13-45' ELSE CAST(order_date AS VARCHAR) END) AS line,
+                     concat_ws(',', CASE WHEN order_id % 50 = 0 THEN 'quantity' END,
+                               CASE WHEN order_id % 70 = 0 THEN 'order_date' END) AS reasons
+              FROM sales)
+            SELECT line, reasons, count(*) AS lines FROM texts WHERE reasons <> '' GROUP BY ALL UNION ALL
+            SELECT '', 'read', count(*) FROM texts WHERE reasons = ''""",
         "validation_report": f"""{lines},
             lines AS (SELECT * FROM sales LEFT JOIN customers USING (customer_id))
             {_reports([("total_records", "count(*)")] + [(r, _count_where(c)) for r, c in _SALE_RULES_SQL], "lines")}""",

@@ -13,12 +13,14 @@ from pyspark import cloudpickle
 from tillwise import contracts as C
 from tillwise.functions.columns import epoch_seconds
 from tillwise.session import PARTITION_BYTES, input_bytes, size_shuffles
+from tillwise.sinks.tables import ParquetTable
 from tillwise.sources import lookup as L
 from tillwise.sources.documents import json_field, parse_weather
 from tillwise.sources.files import (
     frame_of,
     parse_users,
     read_sales_csv,
+    read_sales_csv_checked,
     read_users_json,
 )
 from tillwise.staging import shared_folder
@@ -52,6 +54,29 @@ def test_sales_csv(spark, tmp_path, conf, ansi):
     ]
 
 
+def test_unreadable_lines_are_set_aside_with_their_reasons(spark, tmp_path):
+    path = tmp_path / "sales.csv"
+    path.write_text(
+        "note,order_id,customer_id,product_id,quantity,price,order_date\n"
+        "a,71,4,12,2,18.9,2024-03-05\n"
+        "b,72,9,31,5,7.25,not a date\n"
+        '"c, d",73,x,8,six,12.345,2024-11-30\n'
+        "e,74,,8,,,\n"
+        "f,75,1,8,3\n"
+        "g,76,1,8,3,1.5,2024-02-30,more\n"
+    )
+    good, rejected = read_sales_csv_checked(spark, str(path))
+    assert good.schema == read_sales_csv(spark, str(path)).schema
+    assert rows(good) == [(71, 4, 12, 2, Decimal("18.90"), day("2024-03-05")), (74, None, 8, None, None, None)]
+    assert rows(rejected) == [
+        ('"c, d",73,x,8,six,12.345,2024-11-30', ["customer_id", "quantity"]),
+        ("b,72,9,31,5,7.25,not a date", ["order_date"]),
+        ("f,75,1,8,3", ["fields"]),
+        ("g,76,1,8,3,1.5,2024-02-30,more", ["order_date"]),
+    ]
+    assert good.count() == 2 and rejected.count() == 4
+
+
 def test_sales_csv_goes_by_the_header(spark, tmp_path):
     path = tmp_path / "sales.csv"
     path.write_text("customer_id,note,order_id,price,product_id,order_date,quantity\n4,n,71,18.9,12,2024-03-05,2\n")
@@ -130,6 +155,18 @@ def answer(condition="Rain", temp=1.5):
     return json.dumps({"data": [{"temp": temp, "weather": [{"main": condition}]}]})
 
 
+def test_answers_are_added_and_a_second_run_writes_nothing(spark, tmp_path, keys, weather_of_rows):
+    table = ParquetTable(spark, f"{shared_folder(spark)}/weather-{uuid.uuid4().hex}", C.WEATHER, by_month="order_date")
+    fetch = counting_fetch(str(tmp_path), lambda latitude, _: answer() if latitude < 3 else None)
+    first, second = keys((1.0, 1.0, "2023-01-01"), (3.0, 1.0, "2023-01-02")), keys((1.0, 1.0, "2023-01-01"), (2.0, 1.0, "2023-03-01"))
+    for wanted, size, version in ((first, 2, 1), (second, 3, 2), (second, 3, 2), (first.unionByName(second), 3, 2)):
+        found, failed = L.look_up_into(table, wanted, weather_of_rows(), fetch, partitions=2)
+        assert (table.rows().count(), table.version(), failed.count()) == (size, version, 0)
+    assert rows(found, "latitude", "weather_condition") == [(1.0, "Rain"), (2.0, "Rain"), (3.0, None)]
+    assert {p.month for p in table.manifest().parts if p.load.startswith("load=00000002")} == {"2023-03"}
+    assert len(list(tmp_path.iterdir())) == 3
+
+
 def counting_fetch(folder, reply):
     """A service that leaves one file per call, so that calls in tasks can be counted."""
 

@@ -34,7 +34,7 @@ from tillwise.plans.enrich import enrich
 from tillwise.session import input_bytes, prepared, scanned_bytes
 from tillwise.sinks.tables import ParquetTable, Part
 from tillwise.sinks.versions import Publication
-from tillwise.sources.files import read_sales_csv, read_users_json
+from tillwise.sources.files import read_sales_csv, read_sales_csv_checked, read_users_json
 from tillwise.sources.lookup import BatchFetch, Fetch, look_up_into
 from tillwise.staging import scratch, stage, staged
 
@@ -113,7 +113,7 @@ def run_job(
         weather = known_weather
         if fetch is not None:
             keys = place_days(customer_days(sales, customers)).dropna()
-            answers = ParquetTable(spark, f"{folder}/weather", C.WEATHER)
+            answers = ParquetTable(spark, f"{folder}/weather", C.WEATHER, by_month="order_date")
             weather, failed = look_up_into(answers, keys, known_weather, fetch, **(lookup_options or {}))
             failed.write.mode("overwrite").parquet(f"{folder}/failed_lookups")
 
@@ -226,15 +226,24 @@ def run_job_on_files(
     folder: str,
     *,
     user_lines: bool = False,
+    unreadable: str = "null",
     **options,
 ) -> dict[str, ParquetTable]:
     """The job on sales CSV files and user documents; both paths may be patterns.
 
     A user file holds one array of documents, or with ``user_lines`` one document per line,
-    which is read in splits.
+    which is read in splits. A field of the sales that cannot be read is null, or its line is
+    left out and added to the folder ``unreadable_lines`` (once) with ``unreadable="set_aside"``.
     """
+    if unreadable not in ("null", "set_aside"):
+        raise ValueError(f"unknown mode {unreadable!r}")
     with prepared(spark, input_bytes(spark, sales_csv, users_json)):
-        sales, customers = read_sales_csv(spark, sales_csv), read_users_json(spark, users_json, multi_line=not user_lines)
+        customers = read_users_json(spark, users_json, multi_line=not user_lines)
+        if unreadable == "null":
+            sales = read_sales_csv(spark, sales_csv)
+        else:
+            sales, rejected = read_sales_csv_checked(spark, sales_csv)
+            _set_aside(spark, rejected, f"{folder}/unreadable_lines")
         return run_job(spark, sales, customers, known_weather, folder, **options)
 
 

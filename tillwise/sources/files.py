@@ -20,18 +20,57 @@ def read_sales_csv(spark: SparkSession, path: str, *, infer: bool = False) -> Da
     ``infer`` lets Spark find the types instead, at the price of a second pass. All files of
     the path need the same header, else the read fails. A field that cannot be read is null.
     """
-    header = spark.read.csv(path, header=True, enforceSchema=True).columns
-    if missing := [f.name for f in SALES_CSV if f.name not in header]:
-        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    schema = _csv_schema(spark, path)
     if infer:
         lines = spark.read.csv(path, header=True, inferSchema=True)
     else:
-        types = {f.name: f for f in SALES_CSV}
-        schema = T.StructType([types.get(name, T.StructField(name, T.StringType())) for name in header])
         lines = spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
     return lines.select(*SALES_CSV.names).withColumn("order_date", as_date("order_date"))
 
 
+def _csv_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The header's columns with their types; columns that are not of the sales are text."""
+    header = spark.read.csv(path, header=True, enforceSchema=True).columns
+    if missing := [f.name for f in SALES_CSV if f.name not in header]:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    types = {f.name: f for f in SALES_CSV}
+    return T.StructType([types.get(name, T.StructField(name, T.StringType())) for name in header])
+
+
+def read_sales_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The sales lines all of whose fields can be read, and ``line, reasons`` of the others.
+
+    ``line`` is the line of the file (put together again where its date alone is wrong), ``reasons``
+    are the columns whose text is no value of their type, or ``fields`` where a line has too
+    many or too few. An empty field is a null, not a mistake. Otherwise as :func:`read_sales_csv`.
+    """
+    schema = _csv_schema(spark, path)
+    names = schema.names
+    lines = spark.read.csv(
+        path,
+        header=True,
+        schema=T.StructType([*schema.fields, T.StructField("_line", T.StringType())]),
+        columnNameOfCorruptRecord="_line",
+        mode="PERMISSIVE",
+        enforceSchema=False,
+    )
+    # a condition on all fields, always true: a field that is not asked for would not be looked at
+    all_read = F.xxhash64(*names).bitwiseAND(F.lit(0)) == 0
+    dated = lines.where(all_read).withColumn("_date", as_date("order_date"))
+    wrong_date = F.col("order_date").isNotNull() & F.col("_date").isNull()
+    whole = F.coalesce("_line", F.to_csv(F.struct(*names)))
+    bad = dated.where(F.col("_line").isNotNull() | wrong_date).withColumn("line", whole)
+    texts = F.from_csv("line", ", ".join(f"`{n}` STRING" for n in names))
+    of_columns = [
+        F.when(F.col(f"_texts.{n}").isNotNull() & F.col("_date" if n == "order_date" else n).isNull(), n) for n in SALES_CSV.names
+    ]
+    reasons = F.array_compact(F.array(*of_columns))
+    reasons = F.when(F.size(reasons) == 0, F.array(F.lit("fields"))).otherwise(reasons)
+    rejected = bad.withColumn("_texts", texts).select("line", reasons.alias("reasons"))
+    good = dated.where(F.col("_line").isNull() & ~wrong_date).withColumn("order_date", F.col("_date"))
+    return good.select(*SALES_CSV.names), rejected
+
+
 def read_users_json(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """Customers from user documents.
 

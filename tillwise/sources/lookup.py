@@ -126,20 +126,26 @@ def look_up(keys: DataFrame, known: DataFrame, fetch: Fetch | BatchFetch, **opti
 def look_up_into(table, keys: DataFrame, known: DataFrame, fetch: Fetch | BatchFetch, **options) -> tuple[DataFrame, DataFrame]:
     """The same with a table that keeps the answers, and the keys that failed.
 
-    ``table`` holds ``WEATHER`` rows and is asked beside ``known``. A key whose answer was
-    empty is kept without weather, so that the next run asks for failed and new keys only.
+    ``table`` holds ``WEATHER`` rows and is asked beside ``known``; only its parts near the keys'
+    days and places are read, and new answers are added to it without touching the held ones. A
+    key whose answer was empty is kept without weather, so that the next run asks for failed and new
+    keys only: with none of them nothing is asked or written. The result reads ``known`` and the table.
     """
     known = known.select(*WEATHER.names)
-    held = table.rows().join(known.select(*SALES.place_day), SALES.place_day, "left_anti")
-    known = known.unionByName(held)
-    outcomes = stage(fetch_documents(missing_keys(keys, known), fetch, **options), "lookup")
-    none = outcomes.where(F.col("status") == "empty").select(
-        "latitude",
-        "longitude",
-        "order_date",
-        F.lit(None).cast("float").alias("temperature"),
-        F.lit(None).cast("string").alias("weather_condition"),
-    )
-    table.insert_if_absent(answered(outcomes).unionByName(none), WEATHER.primary_key)
-    fresh = answered(outcomes).unionByName(none)
-    return stage(known.unionByName(fresh), "weather"), unanswered(outcomes)
+    wanted = stage(keys.select(*SALES.place_day).dropna().distinct(), "lookup-keys")
+    asked = stage(missing_keys(wanted, known.unionByName(table.rows_near(wanted, SALES.place_day))), "missing-keys")
+    failed = wanted.sparkSession.createDataFrame([], "latitude float, longitude float, order_date date, error string")
+    if not asked.isEmpty():
+        outcomes = stage(fetch_documents(asked, fetch, **options), "lookup")
+        none = outcomes.where(F.col("status") == "empty").select(
+            "latitude",
+            "longitude",
+            "order_date",
+            F.lit(None).cast("float").alias("temperature"),
+            F.lit(None).cast("string").alias("weather_condition"),
+        )
+        # their keys are new, so they need not be held against the table again
+        table.append(answered(outcomes).unionByName(none))
+        failed = unanswered(outcomes)
+    held = table.rows_near(wanted, SALES.place_day).join(known.select(*SALES.place_day), SALES.place_day, "left_anti")
+    return known.unionByName(held), failed
