@@ -124,3 +124,45 @@ def test_benchmark_items_without_id_are_hit_and_cut_but_not_listed(spark, tmp_pa
         assert got == {1: (14, []), 2: (3, ["7"]), 3: (0, [])}
     left = {r.doc_id: r.text for r in P.benchmark_decontamination(spark, docs, str(tmp_path)).collect()}
     assert left == {1: "head  tail", 2: " and ", 3: "nothing here"}
+
+
+def test_store_of_words_forgets_the_oldest_and_keeps_ids_right():
+    import numpy as np
+    import pyarrow as pa
+
+    from tillwise.llm import vocabulary
+    from tillwise.llm.text import SPACED, Words, texts_of
+
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [[ord(c) for c in w] for w in words]
+
+    store = vocabulary.WordIds(encode, kept_bytes=40_000)
+    for step in range(60):
+        texts = [" ".join(f"w{(step * 40 + i) % 1500}" for i in range(200)), "", "always here"]
+        words = Words(*texts_of(pa.array(texts, pa.large_string())), SPACED)
+        ids, size = store(words)
+        wanted = [w for t in texts for w in t.split()]
+        assert size.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [ord(c) for w in wanted for c in w]
+        assert store.young.bytes + store.old.bytes < 120_000
+    assert asked.count("always") == 1 and max(map(asked.count, ("w3", "w700"))) > 1
+    assert store(Words(np.zeros(0, np.uint8), np.zeros(1, np.int64), SPACED))[0].tolist() == []
+
+
+def test_capitals_change_no_ids_but_those_of_special_names(spark):
+    from tokenizers import Tokenizer
+
+    from tillwise.llm import packing, vocabulary
+
+    texts = ["The CAT sat", "a <|ENDOFTEXT|> b <|endoftext|> C", "ÉTÉ ΣΑΣ Straße", "ALL CAPS ALL caps"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    import zlib
+
+    import numpy as np
+
+    plain = Tokenizer.from_file(vocabulary.path("word_bpe_49k.json"))
+    want = {(i, zlib.crc32(np.array(plain.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes())) for i, t in enumerate(texts)}
+    assert {(r.doc_id, r.ids_crc32) for r in packing.pack(docs).collect()} == want

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm import vocabulary
-from tillwise.llm.text import SPACED, Words, pieces, texts_of
+from tillwise.llm.text import LOWER, SPACED, Words, pieces, texts_of
 from tillwise.staging import stage
 
 LENGTH = 2048
@@ -160,7 +160,9 @@ def _pack_texts(
         ids_of = vocabulary.token_ids_of(file)
         for batch in batches:
             for piece in pieces(batch):
-                words = Words(*texts_of(piece.column("text")), SPACED)
+                data, offsets = texts_of(piece.column("text"))
+                # the vocabulary has no capitals, but names of special tokens are told by their case
+                words = Words(data if b"<|" in data.tobytes() else LOWER[data], offsets, SPACED)
                 ids, size = ids_of(words)
                 bounds = np.concatenate([[0], np.cumsum(size)])[words.first]
                 # one closing id after each text

@@ -14,8 +14,8 @@ import numpy as np
 
 from tillwise.llm.text import Words
 
-#: Distinct words a task keeps; when there are more the store starts anew.
-KEPT_WORDS = 300_000
+#: Bytes of known words that a process keeps for a vocabulary, about 40 a word; the words used longest ago go first.
+KEPT_BYTES = 96 << 20
 
 
 def path(name: str) -> str:
@@ -25,62 +25,83 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Generation:
+    """Words and their ids: sorted runs, each at least twice as long as the next, over one buffer of ids."""
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.ids = np.zeros(1 << 12, np.int32)
+        self.used = 0
+
+    @property
+    def bytes(self) -> int:
+        return self.ids.nbytes + sum(a.nbytes for run in self.runs for a in run)
+
+    def add(self, keys: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """New words; ``keys`` in order."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        run = keys, self.used + np.cumsum(size) - size, size.astype(np.int32)
+        self.used += len(ids)
+        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
+            both = [np.concatenate(x) for x in zip(self.runs.pop(), run, strict=True)]
+            order = np.argsort(both[0], kind="stable")
+            run = tuple(x[order] for x in both)
+        self.runs.append(run)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words' ids begin (-1: unknown) and how many they are."""
+        at, size = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+        for known, begin, count in self.runs:
+            row = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[row] == keys
+            at[hit], size[hit] = begin[row[hit]], count[row[hit]]
+        return at, size
+
+
+def _gathered(ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``ids`` of all ranges in a row."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return ids[np.repeat(at - (ends - size), size) + np.arange(total)]
+
+
 class WordIds:
-    """Token ids of words, remembered by the words' hashes."""
-
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]]):
-        self.encode = encode
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
-
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        if len(self.keys) > KEPT_WORDS:
-            self._clear()
-        lists = self.encode(words)
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(size.sum()))
-        at = len(self.ids) + np.cumsum(size) - size
-        keys = np.concatenate([self.keys, hashes])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.at = np.concatenate([self.at, at])[order]
-        self.size = np.concatenate([self.size, size])[order]
-        self.ids = np.concatenate([self.ids, flat])
+    """Token ids of words, remembered by the words' hashes.
+
+    When the young generation has half of the memory, it becomes the old one and the old one is
+    forgotten; a word of the old one that is met again moves to the young one.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], kept_bytes: int = KEPT_BYTES):
+        self.encode, self.kept_bytes = encode, kept_bytes
+        self.young, self.old = _Generation(), _Generation()
 
     def __call__(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and the number of ids of each word."""
         unique, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
         if not len(unique):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        unknown = ~self._known(unique)
-        if unknown.any():
-            if len(self.keys) > KEPT_WORDS:
-                self._clear()
-                unknown[:] = True
+        if self.young.bytes > self.kept_bytes // 2:
+            self.old, self.young = self.young, _Generation()
+        at, _ = self.young.find(unique)
+        missing = np.flatnonzero(at < 0)
+        if len(missing) and self.old.runs:
+            at, size = self.old.find(unique[missing])
+            again = at >= 0
+            if again.any():
+                self.young.add(unique[missing[again]], size[again], _gathered(self.old.ids, at[again], size[again]))
+            missing = missing[~again]
+        if len(missing):
             data = words.data.tobytes()
-            at = first[unknown]
-            texts = [
-                data[a:b].decode("utf-8", "replace")
-                for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)
-            ]
-            self._learn(unique[unknown], texts)
-        row = np.searchsorted(self.keys, unique)[inverse]
-        size = self.size[row]
-        ends = np.cumsum(size)
-        total = int(ends[-1])
-        index = np.repeat(self.at[row] - (ends - size), size) + np.arange(total)
-        return self.ids[index], size
-
-    def _known(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return self.keys[at] == hashes
+            places = zip(words.start[first[missing]].tolist(), words.end[first[missing]].tolist(), strict=True)
+            lists = self.encode([data[a:b].decode("utf-8", "replace") for a, b in places])
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(size.sum()))
+            self.young.add(unique[missing], size, flat)
+        at, size = self.young.find(unique)
+        return _gathered(self.young.ids, at[inverse], size[inverse]), size[inverse]
 
 
 @functools.cache
