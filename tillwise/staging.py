@@ -26,21 +26,25 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, *, outlive: bool = False) -> DataFrame:
     """Write ``df`` once as parquet and return a frame that reads it.
 
     Unlike a cache the files outlive lost executors, keep column statistics
     and let every later reader scan only the columns it needs. They stay until
-    the shared folder is cleaned.
+    the end of the innermost :func:`scratch` block, with ``outlive`` that of the block
+    around it; without a block until the shared folder is cleaned.
     """
     path = _new_path(df, label)
-    if (written := _open.get()) is not None:
-        written.append(path)
+    blocks = _open.get()
+    if outlive:
+        blocks = blocks[:-1]
+    if blocks:
+        blocks[-1].append(path)
     return _write(df, path)
 
 
-#: What stage() has written inside the innermost open scratch() block of this thread or task.
-_open: ContextVar[list[str] | None] = ContextVar("tillwise-scratch", default=None)
+#: What stage() has written inside each of the open scratch() blocks of this thread, the innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("tillwise-scratch", default=())
 
 
 @contextmanager
@@ -49,13 +53,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
     Jobs in other threads have blocks of their own.
     """
-    outer = _open.set([])
+    written: list[str] = []
+    outer = _open.set((*_open.get(), written))
     try:
         yield
     finally:
-        paths = _open.get()
         _open.reset(outer)
-        for path in paths:
+        for path in written:
             _delete(spark, path)
 
 
