@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tillwise.llm.components import components
-from tillwise.llm.text import SPACED, Words, mix, pieces, texts_of, window_hash
-from tillwise.staging import stage
+from tillwise.llm.text import SPACED, Words, mix, pieces, release, texts_of, window_hash
+from tillwise.staging import scratch, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -125,8 +126,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     piece.column("doc_id"),
                     pa.array(_text_keys(words), pa.binary()),
                     pa.array([b if f else None for b, f in zip(bands, full)], pa.list_(pa.int64())),
+                    pa.array(np.bincount(text, count, piece.num_rows).astype(np.int64)),
                 ],
-                names=["doc_id", "key", "bands"],
+                names=["doc_id", "key", "bands", "total"],
             )
 
 
@@ -158,9 +160,8 @@ def _pack_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(_text_keys(words), pa.binary()),
                     pa.ListArray.from_arrays(at, pa.array(key.view(np.int64))),
                     pa.ListArray.from_arrays(at, pa.array(count.astype(np.int32))),
-                    pa.array(np.bincount(text, count, piece.num_rows).astype(np.int64)),
                 ],
-                names=["doc_id", "key", "shingles", "counts", "total"],
+                names=["doc_id", "key", "shingles", "counts"],
             )
 
 
@@ -190,6 +191,7 @@ def _verify(similarity: float):
                 bags_ = [x for i, k, j, n in sides for x in (k[i[row] : i[row + 1]], n[j[row] : j[row + 1]])]
                 similar[row] = overlap(*bags_) >= similarity
             yield batch.select(["a", "b"]).filter(pa.array(similar))
+            release()
 
     return run
 
@@ -199,103 +201,122 @@ def _links(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
 
     def side(name: str) -> DataFrame:
         return held.select(
-            F.col("doc_id").alias(name), F.col("shingles").alias(f"{name}_shingles"), F.col("counts").alias(f"{name}_counts")
+            F.col("key").alias(name), F.col("shingles").alias(f"{name}_shingles"), F.col("counts").alias(f"{name}_counts")
         )
 
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    return stage(both.mapInArrow(_verify(similarity), "a long, b long"), "similar")
+    both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
+    return stage(both.mapInArrow(_verify(similarity), "a binary, b binary"), "similar")
 
 
 # --------------------------------------------------------------------- classes
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Return ``doc_id, class_id`` for every document.
+def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, key, label`` of every row: the key of its text and that of the text's class.
 
-    Classes are what links of at least ``similarity`` connect, named by their smallest
-    doc_id. Texts with equal words are one text with all its documents. Null and empty
-    texts, and texts of white space, have empty bags: such documents are alone in their
-    class. Rows with one doc_id are one document, near to whatever one of them is near to.
-    Rows without doc_id link to nothing and have no class. No rows give no rows; other columns
-    are not read.
+    Texts with equal words have equal keys; classes are what links of at least ``similarity``
+    between texts connect, whatever ids their rows have. Texts without words have no label, and rows
+    without doc_id neither.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stage(rows.mapInArrow(_sign, "doc_id long, key binary, bands array<long>"), "signed")
-    known = signed.where("doc_id IS NOT NULL")
-    filled = known.where("bands IS NOT NULL")
-    firsts = filled.groupBy("key").agg(F.min("doc_id").alias("first"))
-    copies = stage(filled.join(firsts, "key").select("doc_id", "first", "key", "bands"), "copies")
-
-    texts = copies.where("doc_id = first").dropDuplicates(["doc_id"])
-    texts = texts.select("doc_id", F.posexplode("bands").alias("band", "hash")).select(
-        "doc_id", F.xxhash64("band", "hash").alias("bucket")
-    )
-    shared = texts.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = stage(texts.join(shared, "bucket"), "members")
-    # texts with many neighbours are the first centres: most of a group is near to its origin
-    rank = members.groupBy("doc_id").agg(F.sum("size").alias("rank"))
-    members = stage(members.join(rank, "doc_id").select("bucket", "doc_id", "rank"), "members")
-
-    wanted = rank.select("doc_id")
-    held = rows.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _pack_bags, "doc_id long, key binary, shingles array<long>, counts array<int>, total long"
-    )
-    # of rows with one doc_id, the text that stands for it
-    held = held.join(copies.where("doc_id = first").select("doc_id", "key").distinct(), ["doc_id", "key"], "left_semi")
-    held = stage(held.dropDuplicates(["doc_id"]), "bags")
+    spark = docs.sparkSession
+    with scratch(spark):
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        signed = stage(rows.mapInArrow(_sign, "doc_id long, key binary, bands array<long>, total long"), "signed")
+        filled = signed.where("doc_id IS NOT NULL AND bands IS NOT NULL")
+        firsts = filled.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+        texts = filled.join(firsts, ["key", "doc_id"]).dropDuplicates(["key"])
+        buckets = texts.select("key", "doc_id", "total", F.posexplode("bands").alias("band", "hash")).select(
+            "key", "doc_id", "total", F.xxhash64("band", "hash").alias("bucket")
+        )
+        buckets = stage(buckets, "buckets")
+        shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        members = stage(buckets.join(shared, "bucket"), "members")
+        # texts with many neighbours are the first centres: most of a group is near to its origin
+        rank = members.groupBy("key").agg(F.sum("size").alias("rank"), F.min("doc_id").alias("doc_id"))
+        rank = stage(rank, "rank")
+        held = rows.join(rank.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
+            _pack_bags, "doc_id long, key binary, shingles array<long>, counts array<int>"
+        )
+        held = stage(held.join(rank.select("key"), "key", "left_semi").drop("doc_id").dropDuplicates(["key"]), "bags")
+        members = members.join(rank.select("key", "rank"), "key").select("bucket", "key", "total", "rank")
+        members = stage(members.withColumn("label", F.col("key")), "members")
+        labels = _resolved(members, held, similarity)
+        found = signed.join(labels, signed["key"] == labels["node"], "left").select(
+            "doc_id",
+            "key",
+            F.when(F.col("doc_id").isNotNull() & F.col("bands").isNotNull(), F.coalesce("label", "key")).alias("label"),
+        )
+        return stage(found, "text-classes", outlive=True)
 
-    several = copies.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("_z")).where("a < _z")
-    links = stage(
-        copies.join(several, "doc_id").select("a", F.col("first").alias("b")).where("a <> b").distinct(), "one-id"
-    )
-    labels = _merged(rows.sparkSession.createDataFrame([], "node long, label long"), links)
-    members, centres = _labelled(members, labels), 1
+
+def _resolved(members: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """``node, label`` of the texts in classes of several, from ``bucket, key, total, rank, label``."""
+    labels = members.sparkSession.createDataFrame([], "node binary, label binary")
+    centres = 1
     while True:
         centred = stage(_centres(members, centres), "centres")
-        pairs = _centre_pairs(members, centred, None if centres == 1 else similarity)
+        pairs = _centre_pairs(members, centred, similarity, bounded=centres > 1)
         labels = _merged(labels, _links(pairs, held, similarity))
-        left = members.drop("label")
+        # centres have met everyone in their bucket; what is left there must agree. Buckets of one class are done with
+        left = _open(_labelled(members.drop("label"), labels))
+        met = centred.select("bucket", F.col("a").alias("key"))
+        left = stage(left.join(met, ["bucket", "key"], "left_anti"), "left")
         if centres == 1:
             # from here on only texts in open buckets matter
-            left = stage(_open(_labelled(left, labels)), "members")
-            nodes = left.select("doc_id", "label").distinct()
-            rare = stage(_rare_shingles(held.join(nodes, "doc_id", "left_semi")), "rare")
-            labels = _merged(labels, _links(_rare_pairs(nodes, rare, held, similarity), held, similarity))
-            left = left.drop("label").join(_weights(held, rare), "doc_id")
-        # centres have met everyone in their bucket; what is left there must agree
-        met = centred.select("bucket", F.col("a").alias("doc_id"))
-        left = left.join(met, ["bucket", "doc_id"], "left_anti")
-        members = stage(_open(_hopeful(_labelled(left, labels), similarity)), "members")
+            nodes = left.groupBy("key", "label", "total").agg(F.collect_set("bucket").alias("buckets"))
+            nodes = stage(nodes, "nodes")
+            rare = stage(_rare_shingles(held.join(nodes.select("key"), "key", "left_semi")), "rare")
+            labels = _merged(labels, _links(_rare_pairs(nodes, rare, similarity), held, similarity))
+            left = stage(_labelled(left.drop("label"), labels).join(_commons(nodes, rare), "key"), "left")
+        members = stage(_open(_hopeful(_open(left), similarity)), "members")
         if not members.limit(1).count():
-            break
+            return labels
         centres = max(CENTRES, 2 * centres)
 
-    classes = (
-        copies.join(labels, copies["first"] == labels["node"], "left")
-        .select("doc_id", F.coalesce("label", "first").alias("class_id"))
-        .unionByName(known.where("bands IS NULL").select("doc_id", F.col("doc_id").alias("class_id")))
-    )
-    # rows with one id agree on its class
-    agreed = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    return signed.select("doc_id").join(agreed, "doc_id", "left")
+
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Return ``doc_id, class_id`` for every row.
+
+    Classes are what links of at least ``similarity`` connect, named by their smallest
+    doc_id. Texts with equal words are one text with all its documents. Null and empty
+    texts, and texts of white space, have empty bags: such documents are alone in their
+    class. Rows with one doc_id are one document, near to whatever one of them is near to.
+    Rows without doc_id link to nothing and have no class. No rows give no rows; other columns
+    are not read. A text of any length is one bag; ties between centres go by the text's key.
+    """
+    with scratch(docs.sparkSession):
+        found = text_classes(docs, similarity)
+        filled = found.where("label IS NOT NULL").select("doc_id", "label").distinct()
+        # a document whose rows are in several classes makes them one
+        several = filled.groupBy("doc_id").agg(F.min("label").alias("a"), F.max("label").alias("_z")).where("a < _z")
+        links = filled.join(several, "doc_id").select("a", F.col("label").alias("b")).where("a <> b").distinct()
+        links = stage(links, "one-id")
+        if links.limit(1).count():
+            joined = stage(components(links), "classes")
+            filled = filled.join(joined, filled["label"] == joined["node"], "left").select(
+                "doc_id", F.coalesce(joined["label"], filled["label"]).alias("label")
+            ).distinct()
+        least = filled.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+        # documents without a word are alone
+        classes = filled.join(least, "label").select("doc_id", "class_id")
+        all_rows = found.select("doc_id").join(classes, "doc_id", "left")
+        return stage(all_rows.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")), "near-classes", outlive=True)
 
 
 def _rare_shingles(held: DataFrame) -> DataFrame:
-    """``shingle, doc_id, weight, texts`` of the shingles that at most ``RARE`` texts have."""
-    parts = held.select("doc_id", F.explode(F.arrays_zip("shingles", "counts")).alias("x")).select(
-        "doc_id", F.col("x.shingles").alias("shingle"), F.col("x.counts").alias("weight")
+    """``shingle, key, weight, texts`` of the shingles that at most ``RARE`` texts have."""
+    parts = held.select("key", F.explode(F.arrays_zip("shingles", "counts")).alias("x")).select(
+        "key", F.col("x.shingles").alias("shingle"), F.col("x.counts").alias("weight")
     )
     texts = parts.groupBy("shingle").agg(F.count("*").alias("texts")).where(F.col("texts") <= RARE)
     return parts.join(texts, "shingle")
 
 
-def _weights(held: DataFrame, rare: DataFrame) -> DataFrame:
-    """``doc_id, total, common``: a bag's weight, and that without its rare shingles."""
-    weights = rare.groupBy("doc_id").agg(F.sum("weight").alias("_rare"))
-    return weights.join(held.select("doc_id", "total"), "doc_id").select(
-        "doc_id", "total", (F.col("total") - F.col("_rare")).alias("common")
-    ).unionByName(
-        held.join(weights, "doc_id", "left_anti").select("doc_id", "total", F.col("total").alias("common"))
+def _commons(nodes: DataFrame, rare: DataFrame) -> DataFrame:
+    """``key, common``: a bag's weight without its rare shingles."""
+    weights = rare.groupBy("key").agg(F.sum("weight").alias("_rare"))
+    return nodes.join(weights, "key", "left").select(
+        "key", (F.col("total") - F.coalesce("_rare", F.lit(0))).alias("common")
     )
 
 
@@ -309,42 +330,53 @@ def _hopeful(members: DataFrame, similarity: float) -> DataFrame:
     return members.join(lightest, "bucket").where(may).drop("_least")
 
 
-def _centre_pairs(members: DataFrame, centred: DataFrame, bound: float | None) -> DataFrame:
+def _centre_pairs(members: DataFrame, centred: DataFrame, similarity: float, bounded: bool) -> DataFrame:
     """Pairs ``a, b`` of centres and members of their buckets that have to be verified.
 
-    The first round compares all of them, later ones are bounded. There, ``common`` is a bag's
-    weight without its rare shingles. Two bags that share no rare shingle overlap in no
+    Bags of too different weights are not similar. Rounds after the first are ``bounded`` more closely: there,
+    ``common`` is a bag's weight without its rare shingles. Two bags that share no rare shingle overlap in no
     more than the smaller common weight, and their union holds one bag and the rare part
     of the other. This bounds the similarity from above; pairs that do share a rare shingle
     are found by it (:func:`_rare_pairs`). In a large group of copies that have all changed
     in their own way hardly a pair is left.
     """
     may = F.col("label") != F.col("a_label")
-    if bound is not None:
+    if bounded:
         rare, a_rare = F.col("total") - F.col("common"), F.col("a_total") - F.col("a_common")
         union = F.greatest(F.col("total") + a_rare, F.col("a_total") + rare)
-        may &= F.least("common", "a_common") >= bound * union
-    return _once(members.join(centred, "bucket").where(may).select("a", F.col("doc_id").alias("b")))
+        may &= F.least("common", "a_common") >= similarity * union
+    else:
+        may &= _weigh_alike("total", "a_total", similarity)
+    return _once(members.join(centred, "bucket").where(may).select("a", F.col("key").alias("b")))
+
 
+def _weigh_alike(a: str, b: str, similarity: float) -> Column:
+    return F.least(a, b) >= similarity * F.greatest(a, b)
 
-def _rare_pairs(nodes: DataFrame, rare: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` of texts ``doc_id, label`` in different classes that share a rare shingle.
+
+def _rare_pairs(nodes: DataFrame, rare: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of texts ``key, label, total, buckets`` of different classes in one bucket that share a rare shingle.
 
     A bag lacks at most ``1 - similarity`` of its weight in the overlap with a near one, so
     its rarest shingles up to just beyond that weight hold one of the shared, if those are
-    rare at all. Each shingle has few texts, so these are few pairs.
+    rare at all. Each shingle has few texts, so these are few pairs; most of them meet in no
+    bucket and their bags are never moved.
     """
-    nodes = nodes.join(held.select("doc_id", "total"), "doc_id")
-    known = rare.where("texts > 1").join(nodes, "doc_id")
-    rarest = known.groupBy("doc_id", "label", "total").agg(
+    known = rare.where("texts > 1").join(nodes.select("key", "label", "total"), "key")
+    rarest = known.groupBy("key", "label", "total").agg(
         F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("all")
     )
     size = F.floor(F.col("total") * (1 - similarity)).cast("int") + 1
     probes = rarest.select(
-        F.col("doc_id").alias("a"), F.col("label").alias("a_label"), F.explode(F.slice("all", F.lit(1), size)).alias("x")
-    ).select("a", "a_label", F.col("x.shingle").alias("shingle"))
-    met = known.select("shingle", F.col("doc_id").alias("b"), "label").join(probes, "shingle")
-    return _once(met.where("label <> a_label").select("a", "b"))
+        F.col("key").alias("a"),
+        F.col("label").alias("a_label"),
+        F.col("total").alias("a_total"),
+        F.explode(F.slice("all", F.lit(1), size)).alias("x"),
+    ).select("a", "a_label", "a_total", F.col("x.shingle").alias("shingle"))
+    met = known.select("shingle", F.col("key").alias("b"), "label", "total").join(probes, "shingle")
+    pairs = _once(met.where((F.col("label") != F.col("a_label")) & _weigh_alike("total", "a_total", similarity)).select("a", "b"))
+    a, b = (nodes.select(F.col("key").alias(n), F.col("buckets").alias(f"_{n}")) for n in ("a", "b"))
+    return pairs.join(a, "a").join(b, "b").where(F.arrays_overlap("_a", "_b")).select("a", "b")
 
 
 def _once(pairs: DataFrame) -> DataFrame:
@@ -362,8 +394,8 @@ def _open(members: DataFrame) -> DataFrame:
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with the label of their class, so far."""
-    found = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return found.withColumn("label", F.coalesce("label", "doc_id"))
+    found = members.join(labels.withColumnRenamed("node", "key"), "key", "left")
+    return found.withColumn("label", F.coalesce("label", "key"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -392,7 +424,7 @@ def _centres(members: DataFrame, count: int) -> DataFrame:
     have many neighbours.
     """
     sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("_n"))
-    order = Window.partitionBy("bucket").orderBy("_n", F.desc("rank"), "doc_id")
+    order = Window.partitionBy("bucket").orderBy("_n", F.desc("rank"), "key")
     return (
         members.join(sizes, ["bucket", "label"])
         .withColumn("_nth", F.row_number().over(order))
@@ -400,8 +432,8 @@ def _centres(members: DataFrame, count: int) -> DataFrame:
         .select(
             "bucket",
             *(
-                F.col(c).alias({"doc_id": "a"}.get(c, f"a_{c}"))
-                for c in ("doc_id", "label", "common", "total")
+                F.col(c).alias({"key": "a"}.get(c, f"a_{c}"))
+                for c in ("key", "label", "common", "total")
                 if c in members.columns
             ),
         )
@@ -409,18 +441,43 @@ def _centres(members: DataFrame, count: int) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, the one with the smallest doc_id, with all its columns.
+    """One row of each class of texts, the one with the smallest doc_id, with all its columns.
 
-    Of rows that share a doc_id one stays. Rows without doc_id all stay.
+    Unlike texts that share a doc_id are judged apart, each with its own near copies. Of rows with
+    one doc_id and equal words one stays, also of those without a word. Rows without doc_id all stay.
     """
-    classes = stage(near_classes(docs, similarity), "classes")
-    gone = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    again = stage(classes.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1"), "again")
-    kept = docs.join(gone, "doc_id", "left_anti")
+    found = text_classes(docs, similarity)
+    known = found.where("doc_id IS NOT NULL").groupBy("doc_id", "key").agg(F.max("label").alias("label"), F.count("*").alias("_n"))
+    first = known.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "key")).alias("_first"))
+    judged = known.join(first, "label", "left")
+    stays = F.col("label").isNull() | ((F.col("_first.doc_id") == F.col("doc_id")) & (F.col("_first.key") == F.col("key")))
+    judged = stage(judged.select("doc_id", "key", "_n", stays.alias("stays")), "judged")
+    # an id of one row is decided by itself; rows that share an id are told apart by their texts
+    again = judged.groupBy("doc_id").agg(F.sum("_n").alias("_n")).where("_n > 1").select("doc_id")
+    again = stage(again, "again")
+    gone = judged.where("NOT stays").select("doc_id").distinct()
     if not again.limit(1).count():
-        return kept.select(docs.columns)
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    single = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti").select(docs.columns)
+    name = "_key"
+    while name in docs.columns:
+        name += "_"
+    keyed = docs.join(again, "doc_id", "left_semi").select(docs.columns)
+    schema = StructType([*keyed.schema.fields, StructField(name, BinaryType())])
+    keyed = keyed.mapInArrow(_with_key(name), schema)
+    kept = judged.where("stays").select("doc_id", F.col("key").alias(name))
+    once = keyed.join(kept, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
+    return single.unionByName(once.select(docs.columns))
+
+
+def _with_key(name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                words = Words(*texts_of(piece.column("text")), SPACED)
+                yield piece.append_column(name, pa.array(_text_keys(words), pa.binary()))
+
+    return run
 
 
 # ----------------------------------------------------------------------- query

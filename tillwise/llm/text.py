@@ -6,6 +6,7 @@ operations, so the tasks run no Python statement per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,17 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a worker lives on for other stages beside others."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+#: glibc keeps what is freed between blocks in use; elsewhere there is no such function.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text at most, but one row at least."""
     rows = batch.num_rows
@@ -64,6 +76,7 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES
         last = max(first + 1, int(np.searchsorted(at, at[first] + limit, "right")) - 1)
         yield batch.slice(first, min(last, rows) - first)
         first = min(last, rows)
+    release()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
