@@ -47,21 +47,20 @@ def removed_words(rows, window=13):
 
 
 def hits(items, texts, window=10):
-    """[(words, hit words, item names)] of each text."""
+    """[(words, hit words, item names)] of each text; items without name have hits only."""
     phrases = defaultdict(set)
     for name, text in items:
         ws = item_words(text)
         size = min(window, len(ws))
-        if size and name is not None:
-            for k in range(len(ws) - size + 1):
-                phrases[tuple(ws[k : k + size])].add(str(name))
+        for k in range(len(ws) - size + 1) if size else ():
+            phrases[tuple(ws[k : k + size])] |= set() if name is None else {str(name)}
     sizes = sorted({len(p) for p in phrases})
     out = []
     for text in texts:
         ws, hit, names = item_words(text), set(), set()
         for size in sizes:
             for k in range(len(ws) - size + 1):
-                if found := phrases.get(tuple(ws[k : k + size])):
+                if (found := phrases.get(tuple(ws[k : k + size]))) is not None:
                     names |= found
                     hit.update(range(k, k + size))
         out.append((len(ws), hit, names))

@@ -119,7 +119,7 @@ def test_benchmark_items_without_id_are_hit_and_cut_but_not_listed(spark, tmp_pa
         (1, 14, 0, True), (2, 3, 1, True), (3, 0, 0, False),
     }
     for size in (10, fm_index.BLOCK_BYTES):
-        blocks = fm_index.benchmark_blocks(bench, block_bytes=size, unnamed=True)
+        blocks = fm_index.benchmark_blocks(bench, block_bytes=size)
         got = {r.doc_id: (r.n_hit, r.items) for r in fm_index.contamination(docs, blocks).collect()}
         assert got == {1: (14, []), 2: (3, ["7"]), 3: (0, [])}
     left = {r.doc_id: r.text for r in P.benchmark_decontamination(spark, docs, str(tmp_path)).collect()}

@@ -229,12 +229,19 @@ def test_fm_index(spark, docs, none):
     cut = fm_index.decontaminate(docs, blocks)
     assert cut.schema == docs.schema
     assert {(r.text, r.n_chars) for r in cut.where("doc_id = 6").collect()} == {("head ", 5)}
-    assert {r.text for r in cut.where("doc_id = 5").collect()} == {"alpha "}
-    assert cut.where("doc_id = 9").count() == 0 and cut.where("doc_id < 4").count() == 3
+    assert cut.where("doc_id IN (5, 9)").count() == 0 and cut.where("doc_id < 4").count() == 3
     assert fm_index.contamination(none, blocks).count() == 0
     assert fm_index.contamination(docs, fm_index.benchmark_blocks(bench.limit(0))).where("n_hit > 0").count() == 0
 
 
+def test_fm_index_is_set_up_in_time_that_grows_with_the_items():
+    import time
+
+    started = time.monotonic()
+    block = fm_index.phrases_of([(str(i), f"word{i} and word{i + 1}") for i in range(40_000)])
+    assert time.monotonic() - started < 10 and len(block.items) == len(block.phrases) == 40_000
+
+
 def test_suffix_array_and_search_against_plain_text():
     rng = np.random.default_rng(3)
     for size in (1, 2, 5, 300):

@@ -178,8 +178,9 @@ def phrases_of(items: list[tuple[str | None, str]], window: int = WINDOW) -> Phr
     length = size[starts]
     at = starts[:, None] + np.arange(window)
     inside = np.arange(window) < length[:, None]
-    found = np.where(inside, symbols[np.minimum(at, len(symbols) - 1)], -1)
-    owner = np.array([names.index(name) for name, _ in items])[words.text[starts]]
+    found = np.where(inside, symbols[np.minimum(at, len(symbols) - 1)], -1).astype(np.int32)
+    number = {name: i for i, name in enumerate(names)}
+    owner = np.array([number[name] for name, _ in items])[words.text[starts]]
     phrases, phrase = np.unique(found, axis=0, return_inverse=True)
     pairs = np.unique(phrase.reshape(-1) * len(names) + owner)
     return Phrases(
@@ -193,17 +194,16 @@ def phrases_of(items: list[tuple[str | None, str]], window: int = WINDOW) -> Phr
 
 
 def benchmark_blocks(
-    benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, window: int = WINDOW, unnamed: bool = False
+    benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, window: int = WINDOW
 ) -> list[Phrases]:
     """The phrases of ``item_id, text`` in blocks of about ``block_bytes`` of text.
 
-    Items are dealt to blocks by a hash of id and, without id, text; one block at a time
-    reaches the driver. With ``unnamed`` the items without id are searched, too: their words
-    are hit but nobody's. Otherwise they are left out.
+    Items are dealt to blocks by a hash of id and, without id, text; one block's text at a time
+    reaches the driver. The words of items without id are hit but nobody's. What is returned
+    grows with the benchmark, about 50 bytes a word, and goes to every task: a block bounds what is
+    searched at a time, the benchmark bounds what is held.
     """
-    rows = benchmark.where("text IS NOT NULL" if unnamed else "text IS NOT NULL AND item_id IS NOT NULL").select(
-        F.col("item_id").cast("string").alias("item_id"), "text"
-    )
+    rows = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, math.ceil(total / block_bytes))
     block = F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(count))
@@ -384,5 +384,5 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def query(spark, folder: str) -> DataFrame:
-    blocks = benchmark_blocks(spark.read.parquet(f"{folder}/benchmark.parquet"), unnamed=True)
+    blocks = benchmark_blocks(spark.read.parquet(f"{folder}/benchmark.parquet"))
     return digest(contamination(spark.read.parquet(f"{folder}/documents.parquet"), blocks))
