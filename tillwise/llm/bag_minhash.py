@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from tillwise.llm import vocabulary
 from tillwise.llm.components import components
 from tillwise.llm.text import SPACED, Words, mix, pieces, release, texts_of, window_hash
 from tillwise.staging import scratch, stage
@@ -37,6 +38,8 @@ SIZE = BANDS * BAND_ROWS
 CENTRES = 8
 #: A shingle of so many texts at most is rare.
 RARE = 64
+#: Bytes of text that are signed at a time: an atom of a shingle takes some 70 bytes.
+_SIGNED_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -115,8 +118,9 @@ def band_hashes(names: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    vocabulary.forget()
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, limit=_SIGNED_BYTES):
             words = Words(*texts_of(piece.column("text")), SPACED)
             text, key, count = bags(words)
             bands = band_hashes(signatures(text, key, count, piece.num_rows)).view(np.int64)

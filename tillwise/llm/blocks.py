@@ -7,6 +7,7 @@ cut into buckets by their leading bits; a bucket's keys of all units meet in one
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Iterator
 
@@ -92,8 +93,13 @@ def unpacked_sorted(body: bytes) -> np.ndarray:
 
 def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket begins in sorted keys, and their end."""
-    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+    return np.concatenate([[0], np.searchsorted(keys, _edges(buckets)), [len(keys)]])
+
+
+@functools.lru_cache(maxsize=1)
+def _edges(buckets: int) -> np.ndarray:
+    """The first key of each bucket but the first; made once in a worker, not for each unit."""
+    return np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
 
 
 def answers_by_unit(answers: DataFrame, label: str) -> DataFrame:

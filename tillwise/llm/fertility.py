@@ -199,6 +199,7 @@ def quality(docs: DataFrame, file: str | None = None, bands: Mapping[str, Band]
     file, bands = file or vocabulary.path("piece_bpe_32k.model"), dict(bands or BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.forget(but=file)
         for batch in batches:
             for piece in pieces(batch):
                 out = judge(piece.column("text"), file, bands)
@@ -218,6 +219,7 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
     bands = dict(options.get("bands") or BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.forget(but=file)
         for batch in batches:
             for piece in pieces(batch):
                 yield piece.filter(pa.array(judge(piece.column("text"), file, bands)["kept"]))

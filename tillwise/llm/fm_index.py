@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm import vocabulary
 from tillwise.llm.text import ALNUM, LOWER, Words, pieces, texts_of
 
 WINDOW = 10
@@ -288,6 +289,7 @@ def contamination(docs: DataFrame, blocks: list[Phrases]) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.forget()
         for batch in batches:
             for shard in pieces(batch, limit=SHARD_BYTES):
                 words, _ = _words(shard)
@@ -333,6 +335,7 @@ def decontaminate(docs: DataFrame, blocks: list[Phrases]) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.forget()
         for batch in batches:
             for shard in pieces(batch, limit=SHARD_BYTES):
                 words, data = _words(shard)

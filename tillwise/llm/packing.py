@@ -157,6 +157,7 @@ def _pack_texts(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(length, windows, little, _first_id(0), keep_ids)
+        vocabulary.forget(but=file)
         ids_of = vocabulary.token_ids_of(file)
         for batch in batches:
             for piece in pieces(batch):

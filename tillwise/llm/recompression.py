@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tillwise.llm import blocks
 from tillwise.llm.fm_index import with_texts
-from tillwise.llm.text import SPACED, Words, _power_tables, covered, mix, texts_of, window_hash
+from tillwise.llm.text import SPACED, Words, _power_tables, covered, mix, release, texts_of, window_hash
 
 WINDOW = 13
 ROUNDS = 5
@@ -185,6 +185,7 @@ def _units(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int
         for row in range(batch.num_rows):
             columns = {n: batch.column(n)[row].as_py() for n in batch.schema.names}
             yield columns["unit"], Unit(blocks.read_unit(columns.pop("body")), window), columns
+        release()
 
 
 def _reveal(buckets: int, window: int):

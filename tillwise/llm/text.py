@@ -56,6 +56,10 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def release() -> None:
     """Give freed memory back to the machine: a worker lives on for other stages beside others."""
+    global _powers, _inverse
+    if len(_powers) > PIECE_BYTES + 1:
+        # left by a very long text or a large shard
+        _powers, _inverse = _powers[: PIECE_BYTES + 1].copy(), _inverse[: PIECE_BYTES + 1].copy()
     pa.default_memory_pool().release_unused()
     if _trim is not None:
         _trim(0)
@@ -152,7 +156,10 @@ class Words:
         with np.errstate(over="ignore"):
             power, inverse = _power_tables(len(self.data) + 1)
             sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(letters[self.data] * power[: len(self.data)], out=sums[1:])
+            parts = letters[self.data]
+            parts *= power[: len(self.data)]
+            np.cumsum(parts, out=sums[1:])
+            del parts
             return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
 
     def windows(self, size: int) -> np.ndarray:

@@ -104,6 +104,19 @@ class WordIds:
         return _gathered(self.young.ids, at[inverse], size[inverse]), size[inverse]
 
 
+def forget(but: str | None = None) -> None:
+    """Drop the vocabularies of other stages that a worker has kept; ``but`` names the one to go on with."""
+    global _last
+    if _last != but:
+        for cached in (pieces_of, kinds_of, token_ids_of):
+            cached.cache_clear()
+        _last = but
+
+
+#: The vocabulary that the worker used last.
+_last: str | None = None
+
+
 @functools.cache
 def pieces_of(file: str) -> tuple[WordIds, int, int]:
     """A sentence piece vocabulary: ids of words with their word mark, and the range of byte pieces."""
