@@ -262,6 +262,27 @@ def message(conv, turn, text, role="user"):
     return (conv, turn, role, text, "x", 1)
 
 
+def test_quotations_of_repeated_passages(spark, monkeypatch):
+    """A passage that was said before belongs to the latest earlier message, in whatever stretch of turns."""
+    import random
+
+    monkeypatch.setattr(quotations, "STRETCH", 4)
+    rng = random.Random(3)
+    made, want = [], []
+    for conv in range(3):
+        said, roots_, depths = {}, {}, {}
+        for turn in range(40):
+            word, quote = rng.choice("abc"), rng.choice("abcd")
+            asks = rng.random() < 0.7
+            made.append((conv, turn, "u", f"> {quote}\n{word}" if asks else word))
+            parent = said.get(quote) if asks else None
+            roots_[turn], depths[turn] = (turn, 0) if parent is None else (roots_[parent], depths[parent] + 1)
+            want.append((conv, turn, parent, roots_[turn], depths[turn], int(asks), int(parent is not None)))
+            said[word] = turn
+    got = quotations.link(spark.createDataFrame(made, "conv_id long, turn long, role string, text string"))
+    assert sorted(tuple(r) for r in got.drop("role", "body").collect()) == sorted(want)
+
+
 def test_quotations(spark):
     made = [
         message(1, 0, "First passage\nover two lines.\n\nSecond one."),

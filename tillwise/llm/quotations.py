@@ -2,8 +2,8 @@
 
 Lines that begin with ``>`` are quotes, one level per mark. Runs of non-blank lines of one
 level are passages; a passage is known by the hash of its normalised words, so rewrapped
-quotes still match. A quoted passage belongs to the first message of the conversation that
-has it as own text. The message a reply quotes at level 1 is its parent.
+quotes still match. A quoted passage belongs to the latest earlier message of the conversation
+that has it as own text. The message a reply quotes at level 1 is its parent.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from tillwise.staging import stage
 #: The marks at the beginning of a quoted line.
 MARKS = r"^([ \t]*>)+"
 BLANK = r"[ \t\r\n\x0B\f]+"
+#: Turns of a conversation that are gone through in one sorted group.
+STRETCH = 4096
 
 
 def normalised(text: Column) -> Column:
@@ -88,7 +90,8 @@ def link(messages: DataFrame) -> DataFrame:
 
     Null texts are empty bodies. Rows with null ``conv_id`` or ``turn`` are kept as threads
     without links. Repeated rows with one key are all kept; each counts its own quotes and they
-    share parent and thread. No rows give no rows; other columns are not read.
+    share parent and thread. A passage that several earlier messages have is the latest one's. A message
+    of any length is taken apart whole. No rows give no rows; other columns are not read.
     """
     keyed = with_passages(
         messages.select("conv_id", "turn", "role", "text").withColumn(
@@ -98,13 +101,10 @@ def link(messages: DataFrame) -> DataFrame:
     # equal rows have equal passages: they are taken apart once
     once = keyed.dropDuplicates(["conv_id", "turn", "_row"])
     found = stage(passages(once, ["conv_id", "turn", "_row"]), "passages")
-    originals = (
-        found.where("level = 0 AND conv_id IS NOT NULL AND turn IS NOT NULL")
-        .groupBy("conv_id", "hash")
-        .agg(F.min("turn").alias("source"))
-    )
-    quotes = found.where("level > 0").join(originals, ["conv_id", "hash"], "left")
-    earlier = F.when(F.col("source") < F.col("turn"), F.col("source"))
+    quotes = found.where("level > 0")
+    sources = stage(latest_before(found.where("level = 0"), quotes), "sources")
+    quotes = quotes.join(sources, ["conv_id", "hash", "turn"], "left")
+    earlier = F.col("source")
     counts = quotes.groupBy("conv_id", "turn", "_row").agg(
         F.count("*").alias("n_quotes"),
         F.count(earlier).alias("n_linked"),
@@ -135,6 +135,33 @@ def link(messages: DataFrame) -> DataFrame:
     )
 
 
+def latest_before(originals: DataFrame, quotes: DataFrame) -> DataFrame:
+    """``conv_id, hash, turn, source``: for each quoted passage the latest earlier turn that has it as its own.
+
+    Each passage of a turn counts once. Turns are cut into stretches: inside one the latest original is
+    carried along in order, and the last ones of all earlier stretches are a row each. So a
+    passage that a very long conversation says again and again is no single sorted group.
+    """
+
+    def distinct(rows: DataFrame, original: bool) -> DataFrame:
+        known = rows.select("conv_id", "hash", "turn").dropna().distinct()
+        return known.withColumn("_original", F.lit(original))
+
+    both = distinct(originals, True).unionByName(distinct(quotes, False))
+    both = both.withColumn("_stretch", F.floor(F.col("turn") / STRETCH)).withColumn("_said", F.when(F.col("_original"), F.col("turn")))
+    # a quote stands before an original of its own turn
+    order = Window.partitionBy("conv_id", "hash", "_stretch").orderBy("turn", "_original")
+    inside = both.withColumn("_here", F.last("_said", ignorenulls=True).over(order)).where("NOT _original")
+    ends = both.groupBy("conv_id", "hash", "_stretch").agg(F.max("_said").alias("_last"))
+    before = Window.partitionBy("conv_id", "hash").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("conv_id", "hash", "_stretch", F.max("_last").over(before).alias("_before"))
+    return (
+        inside.join(carried, ["conv_id", "hash", "_stretch"])
+        .select("conv_id", "hash", "turn", F.coalesce("_here", "_before").alias("source"))
+        .where("source IS NOT NULL")
+    )
+
+
 def roots(parents: DataFrame) -> DataFrame:
     """``conv_id, turn, parent_turn, root_turn, depth`` by pointer doubling.
 
@@ -178,22 +205,26 @@ def roots(parents: DataFrame) -> DataFrame:
 
 
 def quoted(conversations: DataFrame) -> DataFrame:
-    """Conversations in mail style: every message quotes the one before and what that one quoted.
+    """Conversations in mail style: every message quotes an earlier one and what stood before that.
 
-    The previous message stands under one mark, the one before it under two, as mail
-    programs leave them. Messages are found by key, not by collecting a conversation.
+    It answers the previous message, every third turn the one before the previous. The answered message
+    stands under one mark, the one before it under two, as mail programs leave them. Messages
+    are found by key, not by collecting a conversation.
     """
     own = conversations.select("conv_id", "turn", "role", "text")
+    texts = own.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    back = F.when(F.col("turn") % 3 == 0, 2).otherwise(1)
 
-    def before(steps: int) -> DataFrame:
+    def marked(steps: int) -> DataFrame:
         marks = "> " * steps
         text = F.concat(F.lit(marks), F.replace(F.col("text"), F.lit("\n"), F.lit("\n" + marks)))
-        first = own.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
-        return first.select("conv_id", (F.col("turn") + steps).alias("turn"), text.alias(f"_{steps}"))
+        return texts.select("conv_id", F.col("turn").alias(f"_at{steps}"), text.alias(f"_{steps}"))
 
     return (
-        own.join(before(1), ["conv_id", "turn"], "left")
-        .join(before(2), ["conv_id", "turn"], "left")
+        own.withColumn("_at1", F.col("turn") - back)
+        .withColumn("_at2", F.col("turn") - back - 1)
+        .join(marked(1), ["conv_id", "_at1"], "left")
+        .join(marked(2), ["conv_id", "_at2"], "left")
         .select("conv_id", "turn", "role", F.concat_ws("\n", "_2", "_1", F.coalesce("text", F.lit(""))).alias("text"))
     )
 
@@ -218,8 +249,8 @@ def oracle() -> str:
           '> > ' || replace(b.text, chr(10), chr(10) || '> > '),
           '> ' || replace(a.text, chr(10), chr(10) || '> '), coalesce(c.text, '')) AS text
         FROM conversations c
-        LEFT JOIN conversations a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1
-        LEFT JOIN conversations b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2),
+        LEFT JOIN conversations a ON a.conv_id = c.conv_id AND a.turn = c.turn - CASE WHEN c.turn % 3 = 0 THEN 2 ELSE 1 END
+        LEFT JOIN conversations b ON b.conv_id = c.conv_id AND b.turn = c.turn - CASE WHEN c.turn % 3 = 0 THEN 3 ELSE 2 END),
       l AS (
         SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM m),
@@ -232,10 +263,11 @@ def oracle() -> str:
       passages AS (
         SELECT conv_id, turn, number, level, sha256(string_agg(words, ' ' ORDER BY pos)) AS hash
         FROM n WHERE starts IS NULL OR starts = 1 GROUP BY ALL),
-      originals AS (SELECT conv_id, hash, min(turn) AS source FROM passages WHERE level = 0 GROUP BY ALL),
+      originals AS (SELECT DISTINCT conv_id, hash, turn FROM passages WHERE level = 0),
       quotes AS (
-        SELECT q.conv_id, q.turn, q.level, CASE WHEN o.source < q.turn THEN o.source END AS source
-        FROM passages q LEFT JOIN originals o ON o.conv_id = q.conv_id AND o.hash = q.hash WHERE q.level > 0),
+        SELECT q.conv_id, q.turn, q.number, q.level, max(o.turn) AS source
+        FROM passages q LEFT JOIN originals o ON o.conv_id = q.conv_id AND o.hash = q.hash AND o.turn < q.turn
+        WHERE q.level > 0 GROUP BY ALL),
       counts AS (
         SELECT conv_id, turn, count(*) AS n_quotes, count(source) AS n_linked,
                max(CASE WHEN level = 1 THEN source END) AS parent_turn FROM quotes GROUP BY ALL),
