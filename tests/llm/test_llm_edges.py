@@ -44,6 +44,19 @@ def test_hash_tree(spark, docs, none):
     assert hash_tree.shard_documents(none).count() == 0
 
 
+def test_hash_tree_spreads_the_rows_of_a_hot_key(spark, monkeypatch):
+    """A third of all rows under one id, many of them equal: gapless slots, and no group of all of them."""
+    monkeypatch.setattr(hash_tree, "ROWS_PER_BUCKET", 50)
+    made = [(i, f"t{i}") for i in range(600)] + [(7, f"text {i % 150}") for i in range(200)] + [(7, "same")] * 300
+    placed = hash_tree.shard_documents(spark.createDataFrame(made, "doc_id long, text string"))
+    by = {}
+    for r in placed.collect():
+        by.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, by.values())) == 1100
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    assert placed.where("doc_id = 7").select("shard").distinct().count() == 1
+
+
 def test_hash_tree_moves_only_inside_changed_subtrees(spark):
     keys = spark.range(6000).withColumnRenamed("id", "doc_id")
     tree = hash_tree.shard_tree(16)

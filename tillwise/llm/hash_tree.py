@@ -114,28 +114,40 @@ def descend(df: DataFrame, key: Column, tree: Node, into: str = "shard") -> Data
     return df.withColumn(into, F.col(into).cast("int"))
 
 
-def with_slots(df: DataFrame, key: Column, order: list[Column], shard: str = "shard") -> DataFrame:
+def with_slots(df: DataFrame, key: Column, order: list[str], shard: str = "shard") -> DataFrame:
     """Number the rows of each shard from 0 without gaps.
 
-    Each shard is cut into buckets by a hash of the key, as many as keep a bucket near
-    ``ROWS_PER_BUCKET`` rows; the counts before a bucket are its first slot and its rows are
-    numbered by ``order``. One shuffle of the rows, however large a shard is.
+    Each shard is cut into buckets by a hash of the key and the columns ``order``, as many as keep a bucket
+    near ``ROWS_PER_BUCKET`` rows; the counts before a bucket are its first slot and its rows are
+    numbered by ``order``, so rows of one key are spread, too. Rows that are equal in all columns are counted
+    before they are shuffled and written out again afterwards, very many of them by several tasks.
     """
     sizes = df.groupBy(shard).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     buckets = max(1, math.ceil(sizes / ROWS_PER_BUCKET))
-    cut = df.withColumn("_bucket", F.pmod(_digits(key_text(key), 14, 12), F.lit(buckets)))
-    counts = cut.groupBy(shard, "_bucket").agg(F.count("*").alias("_n"))
+    name = F.concat_ws("/", key_text(key), *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in order))
+    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_equal"))
+    groups = groups.withColumn("_bucket", F.pmod(_digits(name, 14, 12), F.lit(buckets)))
+    counts = groups.groupBy(shard, "_bucket").agg(F.sum("_equal").alias("_n"))
     before = Window.partitionBy(shard).orderBy("_bucket")
     first = counts.select(
         shard, "_bucket", (F.sum("_n").over(before) - F.col("_n")).alias("_first")
     )
-    inside = Window.partitionBy(shard, "_bucket").orderBy(*order)
-    return (
-        cut.join(first, [shard, "_bucket"])
-        .withColumn("slot", F.col("_first") + F.row_number().over(inside) - 1)
-        .drop("_bucket", "_first")
+    inside = Window.partitionBy(shard, "_bucket").orderBy(*order, *(c for c in df.columns if c not in order))
+    numbered = groups.join(first, [shard, "_bucket"]).withColumn(
+        "_first", F.col("_first") + F.sum("_equal").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_equal")
     )
 
+    def written_out(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_equal") - 1)))
+
+    step = F.lit(ROWS_PER_BUCKET).cast("long")
+    many = numbered.where(F.col("_equal") > step).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_equal") - 1, step)))
+    many = many.withColumn("_first", F.col("_first") + F.col("_from")).withColumn("_equal", F.least(step, F.col("_equal") - F.col("_from")))
+    all_rows = written_out(numbered.where(F.col("_equal") <= step)).unionByName(
+        written_out(many.repartition(shard, "_first").drop("_from"))
+    )
+    return all_rows.withColumn("slot", F.col("_first") + F.col("_nth")).drop("_bucket", "_first", "_equal", "_nth")
+
 
 def shard_documents(
     docs: DataFrame, shards: int = 16, tree: Node | None = None, grown: Node | None = None
@@ -145,7 +157,7 @@ def shard_documents(
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard``: ``size`` is the
     UTF-8 length plus 1 (null text: 1, with the checksum of no bytes), ``grown_shard`` the
     place in the tree with one more shard. Empty input gives no rows, rows with one doc_id
-    share a shard in the order of checksum and size; other columns are not read.
+    share a shard, equal ones in any order; other columns are not read. Texts of any length are measured whole.
     """
     tree, grown = tree or shard_tree(shards), grown or shard_tree(shards + 1)
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -155,7 +167,7 @@ def shard_documents(
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
     placed = descend(descend(rows, F.col("doc_id"), tree), F.col("doc_id"), grown, "grown_shard")
-    order = [F.col("doc_id"), F.col("text_crc32"), F.col("size")]
+    order = ["doc_id", "text_crc32", "size"]
     return with_slots(placed, F.col("doc_id"), order).select(
         "doc_id",
         "size",
@@ -211,6 +223,6 @@ def oracle() -> str:
             FROM (SELECT count(*) AS n FROM placed GROUP BY shard))
       SELECT doc_id, size, text_crc32, 'key' AS law, p.shard,
         row_number() OVER (PARTITION BY p.shard ORDER BY
-          ('0x' || substr(md5(doc_id::VARCHAR), 14, 12))::BIGINT % (SELECT buckets FROM n), doc_id) - 1 AS slot,
+          ('0x' || substr(md5(concat_ws('/', doc_id, doc_id, text_crc32, size)), 14, 12))::BIGINT % (SELECT buckets FROM n), doc_id) - 1 AS slot,
         g.shard AS grown_shard
       FROM sized JOIN placed p USING (doc_id) JOIN grown g USING (doc_id)"""
