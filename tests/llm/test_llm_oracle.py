@@ -23,4 +23,4 @@ def test_matches_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in Q.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in Q.queries()] == [f"op{k}" for k in range(1, 14)]
