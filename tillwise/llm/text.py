@@ -57,8 +57,8 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def release() -> None:
     """Give freed memory back to the machine: a worker lives on for other stages beside others."""
     global _powers, _inverse
-    if len(_powers) > PIECE_BYTES + 1:
-        # left by a very long text or a large shard
+    if len(_powers) > 4 * PIECE_BYTES:
+        # left by a very long text; what shards and units need is kept
         _powers, _inverse = _powers[: PIECE_BYTES + 1].copy(), _inverse[: PIECE_BYTES + 1].copy()
     pa.default_memory_pool().release_unused()
     if _trim is not None:
