@@ -36,6 +36,8 @@ from tillwise.operators.merge import (
     upsert,
     without_key,
 )
+from tillwise.operators.spreads import price_quantiles, price_spreads
+from tillwise.operators.totals import measured_lines, merged
 from tillwise.plans.enrich import enrich, enrich_by_customer_day
 from tillwise.plans.job import row_counts, run_job
 from tillwise.session import input_bytes, prepare
@@ -44,7 +46,7 @@ from tillwise.sources.documents import json_field
 from tillwise.sources.files import flatten_users, parse_users, read_sales_csv, read_sales_csv_checked, read_users_json
 from tillwise.sources.lookup import fetch_documents, look_up, outcome_counts
 from tillwise.sources.star import order_heads, sales_lines, star_table
-from tillwise.staging import shared_folder, stage
+from tillwise.staging import fits_broadcast, shared_folder, stage
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -445,6 +447,32 @@ def approximate_quartile_ranks(spark, folder):
     return values.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
 
 
+def sketched_price_ranks(spark, folder):
+    """Per month and quartile: whether the price from merged sketches has a rank within the error.
+
+    The lines come in two batches, orders with even and odd ids; each appends its sketches to a
+    table, which then is compacted. ``counted`` is what the sketches have seen, all lines of the month.
+    """
+    lines = measured_lines(_enriched(spark, folder), "Unknown")
+    table = ParquetTable(spark, _new_folder(spark, "spreads"), C.PRICE_SPREADS, merge=merged(C.PRICE_SPREADS))
+    for rest in (0, 1):
+        table.append(price_spreads(lines.where(F.col("order_id") % 2 == rest)))
+    table.compact()
+    # a line per month, so that no line of the sales is copied
+    cuts = stage(price_quantiles(table.rows(), M.QUARTILES), "price-cuts")
+    cuts = cuts.groupBy("year_month", "counted").agg(F.map_from_entries(F.collect_list(F.struct("probability", "price"))).alias("cuts"))
+    count = F.count(F.lit(1))
+    parts = []
+    for p in M.QUARTILES:
+        cut = F.col("cuts")[F.lit(p)]
+        below, up_to = F.count_if(F.col("price") < cut), F.count_if(F.col("price") <= cut)
+        within = (below <= (p + M.RANK_ERROR) * count) & (up_to >= (p - M.RANK_ERROR) * count)
+        parts.append(F.struct(F.lit(p).alias("probability"), within.alias("within_bound")))
+    joined = lines.where("price IS NOT NULL").join(F.broadcast(cuts) if fits_broadcast(cuts) else cuts, "year_month")
+    found = joined.groupBy("year_month", "counted").agg(F.array(*parts).alias("parts"))
+    return found.select("year_month", "counted", F.inline("parts"))
+
+
 def wrong_frame_problems(spark, folder):
     """What is wrong with lines without price and with quantities as text, and for how many rows."""
     lines = _sales(spark, folder).drop("price").withColumn("quantity", F.col("quantity").cast("string"))
@@ -599,6 +627,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "second_batch_metrics": second_batch_metrics,
         "merge_with_null_keys": merge_with_null_keys,
         "approximate_quartile_ranks": approximate_quartile_ranks,
+        "sketched_price_ranks": sketched_price_ranks,
         "wrong_frame_problems": wrong_frame_problems,
         "append_twice": append_twice,
         "lookup_outcomes": lookup_outcomes,
@@ -955,6 +984,10 @@ def _own_sql() -> dict[str, str]:
             FROM redelivered WHERE order_id % 50 = 0""",
         "approximate_quartile_ranks": """SELECT CAST(p AS DOUBLE) AS probability, true AS within_bound
             FROM (VALUES (0.25), (0.5), (0.75)) t(p)""",
+        "sketched_price_ranks": f"""WITH {_SALES_SQL}
+            SELECT strftime(order_date, '%Y-%m') AS year_month, count(price) AS counted,
+                   CAST(p AS DOUBLE) AS probability, true AS within_bound
+            FROM sales, (VALUES (0.25), (0.5), (0.75)) t(p) GROUP BY 1, p""",
         "wrong_frame_problems": f"""WITH {_SALES_SQL}
             SELECT problem, (SELECT count(*) FROM sales) AS n_rows FROM (VALUES
               ('missing column price'), ('column quantity is string, expected int'),

@@ -271,6 +271,9 @@ CUSTOMER_TOTALS = Contract(
     ),
 )
 
+#: Sketches of the line prices per month, for quantiles.
+PRICE_SPREADS = Contract("price_spreads", (Column("year_month", TEXT), Column("price_sketch", T.BinaryType())))
+
 #: Which customers, months and conditions an order was counted for; its bounds are those of the order ids.
 ORDER_HEADS = Contract(
     "order_heads",

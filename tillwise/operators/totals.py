@@ -1,6 +1,6 @@
 """Totals that add up: the state from which the metrics are kept current without reading old lines.
 
-Sums, counts, first and last dates of new lines are simply added to what is held. Distinct
+Sums, counts, first and last dates and sketches of new lines are simply added to what is held. Distinct
 orders do not add up, so the distinct (order, customer, month, condition) rows are held as well: a
 group counts an order when it meets it for the first time.
 """
@@ -13,16 +13,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.contracts import CUSTOMER_TOTALS, MONTHLY_TOTALS, ORDER_HEADS, PRODUCT_TOTALS, SEASONAL_TOTALS, Contract
+from tillwise.contracts import (
+    CUSTOMER_TOTALS,
+    MONTHLY_TOTALS,
+    ORDER_HEADS,
+    PRICE_SPREADS,
+    PRODUCT_TOTALS,
+    SEASONAL_TOTALS,
+    Contract,
+)
 from tillwise.functions.columns import month_label, ratio
 from tillwise.operators.conform import conform
 from tillwise.operators.metrics import customer_values, label_customers, latest_order_date, value_cuts
+from tillwise.operators.spreads import merged_sketch, price_spreads
 from tillwise.staging import fits_broadcast
 
-ALL = (CUSTOMER_TOTALS, PRODUCT_TOTALS, SEASONAL_TOTALS, MONTHLY_TOTALS)
+ALL = (CUSTOMER_TOTALS, PRODUCT_TOTALS, SEASONAL_TOTALS, MONTHLY_TOTALS, PRICE_SPREADS)
 
 #: Columns that add up by another function than the sum.
-_MERGE = {"first_order_date": F.min, "last_order_date": F.max}
+_MERGE = {"first_order_date": F.min, "last_order_date": F.max, "price_sketch": merged_sketch}
 
 
 def measured_lines(sales: DataFrame, no_weather: str) -> DataFrame:
@@ -56,6 +65,8 @@ def additions(contract: Contract, lines: DataFrame, heads: DataFrame, known: Dat
     ``known`` are the held heads of the same orders: a pair of group and order that is among them
     was counted before.
     """
+    if contract is PRICE_SPREADS:
+        return conform(price_spreads(lines), contract)
     if contract is PRODUCT_TOTALS:
         return conform(
             lines.groupBy("product_id").agg(

@@ -6,6 +6,7 @@ batch or after it, never parts of it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -18,6 +19,7 @@ from tillwise.operators import totals as S
 from tillwise.operators.conform import conform
 from tillwise.operators.joins import customer_days, place_days
 from tillwise.operators.merge import customers_of, sales_of
+from tillwise.operators.spreads import price_quantiles as spread_quantiles
 from tillwise.operators.validate import (
     constraint_report,
     contract_rules,
@@ -168,7 +170,8 @@ def _add_up(warehouse: Warehouse, before: int | None, inserted: list[Part], no_w
     """
     sales, heads = warehouse.tables["sales"], warehouse.heads
     notes = {"sales": sales.version()}
-    current = before is None or heads.manifest().notes.get("sales") == before
+    made = [t.manifest().notes.get("sales") for t in (*warehouse.totals.values(), heads)]
+    current = before is None or all(version == before for version in made)
     lines = S.measured_lines(sales.rows_of(inserted) if current else sales.rows(), no_weather)
     with staged(S.order_heads(lines), "heads") as new_heads:
         known = S.heads_again(heads.rows_near(new_heads, ["order_id"]) if current else heads.read([]), new_heads)
@@ -199,6 +202,14 @@ def _metrics(warehouse: Warehouse, quantiles: str) -> dict[str, DataFrame]:
     }
 
 
+def price_quantiles(spark: SparkSession, folder: str, probabilities: Sequence[float], **period) -> DataFrame:
+    """Quantiles of the line prices of the merged sales, from the sketches of their months.
+
+    Reads a sketch per month and batch and no line; see :func:`tillwise.operators.spreads.price_quantiles`.
+    """
+    return spread_quantiles(open_warehouse(spark, folder).totals[C.PRICE_SPREADS.name].rows(), probabilities, **period)
+
+
 def _metrics_of_lines(lines: DataFrame, no_weather: str, quantiles: str) -> dict[str, DataFrame]:
     condition = F.coalesce("weather_condition", F.lit(no_weather))
     return {
