@@ -63,6 +63,63 @@ def test_fertility_keeps_the_clean_labelled_rows_and_drops_most_junk(spark):
     assert sum(clean) >= 0.999 * len(clean) and sum(junk) <= 0.1 * len(junk)
 
 
+def plain_measures(text):
+    """Tokens per word and letters per token, word by word, with both vocabularies."""
+    import base64
+
+    import public_tokenizers
+    import sentencepiece
+    import tiktoken
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=vocabulary.path("piece_bpe_32k.model"))
+    with open(vocabulary.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    tokens = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    words = text.split()
+    firsts = [bytes([b]) for b in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xE2), *range(0xE3, 0xF0)]]
+    letters = [sum(c.encode()[:1] in firsts for c in w) for w in words]
+    counts = [sum(len(pieces.encode(w)) for w in words), sum(len(tokens.encode_ordinary(" " + w)) for w in words)]
+    with_letter = sum(n > 0 for n in letters)
+    return sum(counts) / (2 * with_letter), sum(sum(letters) / n for n in counts) / 2
+
+
+def test_fertility_is_that_of_two_vocabularies():
+    texts = [f(t) for t in PROSE.values() for f in (str, symbol_junk)]
+    out = fertility.judge(pa.array(texts), vocabulary.path("piece_bpe_32k.model"), fertility.BANDS)
+    want = [plain_measures(t) for t in texts]
+    assert np.allclose(out["tokens_per_word"], [w[0] for w in want])
+    assert np.allclose(out["letters_per_token"], [w[1] for w in want])
+
+
+def test_fertility_alone_rejects_words_with_marks_and_keeps_prose():
+    """Long texts of five scripts, with all bands but that of fertility wide open."""
+    for lang in ("vi", "tr", "ru", "kk", "el", "he", "zh"):
+        text = " ".join([PROSE[lang]] * 4)
+        out = fertility.judge(pa.array([text, symbol_junk(text)]), vocabulary.path("piece_bpe_32k.model"), fertility.BANDS)
+        assert ["fertility" in r.split(",") for r in out["reasons"]] == [False, True], lang
+
+
+def test_kept_follows_the_bands_document_by_document(spark):
+    """The verdict against a plain reading of the bands, from the reported measures."""
+    found = fertility.quality(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
+    for r in found:
+        band, long = fertility.BANDS[r.script], r.n_tokens >= fertility.BANDS[r.script].entropy_tokens
+        want = set()
+        if r.base_failed:
+            want.add("base")
+        if not band.least_chars <= r.chars_per_token <= band.most_chars:
+            want.add("chars")
+        if r.byte_share > band.most_bytes:
+            want.add("bytes")
+        if long and r.token_entropy < band.least_entropy:
+            want.add("entropy")
+        if long and r.tokens_per_word > band.most_per_word and r.letters_per_token < band.least_letters:
+            want.add("fertility")
+        reasons = set(filter(None, r.reasons.split(",")))
+        assert reasons - {"whole", "marks", "digits"} == want and r.kept == (not reasons)
+    assert any("fertility" in r.reasons for r in found)
+
+
 UNWANTED = [
     "mega-jackpots.example.net", "texas-pokers.test", "m.onlinecasinos24.info", "blog.adult-x.example.net",
     "warez-archive.net", "super-bookmakers.example.de", "fast-payday.example.com",

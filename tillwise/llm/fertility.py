@@ -1,9 +1,10 @@
 """Quality rules by tokeniser fertility.
 
-A public piece vocabulary with byte fallback reads every word of a text. Fluent text of a
-script it knows gives several characters per token, few fallback bytes and many different
-tokens, some of them whole words and few of them marks or digits; noise, wrong encodings,
-symbol junk and endless repeats do not. Each script has its bands.
+Two public vocabularies read every word of a text: pieces with byte fallback, and byte-level
+tokens of many languages. Fluent text of a script they know gives several characters per
+token, few fallback bytes, many different tokens, some of them whole words, and does not need many
+tokens a word that carry few letters each. Noise, wrong encodings, symbol junk and endless
+repeats do. Each script has its bands; shares of mark and digit tokens complete them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from tillwise.llm import vocabulary
 from tillwise.llm.text import SPACED, Words, byte_set, covered, mix, pieces, texts_of, window_hash
 
 WINDOW = 5
+#: The public vocabularies that read the words.
+FIRST, SECOND = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 NO_BREAK = ~byte_set((0x0A, 0x0A))
 
@@ -32,6 +35,8 @@ SCRIPTS: dict[str, np.ndarray] = {
     "east_asian": byte_set((0xE3, 0xED)),
 }
 OTHER = "other"
+#: First bytes of letters; punctuation, signs and emoji begin with others (a coarse cut as well).
+LETTERS = byte_set((0x41, 0x5A), (0x61, 0x7A), (0xC3, 0xE1), (0xE3, 0xEF))
 
 
 @dataclass(frozen=True)
@@ -41,7 +46,10 @@ class Band:
     ``most_marks`` and ``most_digits`` bound the tokens without a letter, as shares of the
     tokens that are more than a word mark; ``FEW_MARKS`` marks are free, so that a short text
     may end its lines. ``least_whole`` is a share of the words: those that are one token.
-    The least entropy and share of whole words hold from ``entropy_tokens`` tokens on, since a
+    Fertility rejects a text whose words with a letter take more than ``most_per_word`` tokens that
+    carry fewer than ``least_letters`` letters each, both as means over the vocabularies: long words
+    take many tokens as well, but full ones, and many short tokens are common where words are short.
+    The least entropy and share of whole words and the fertility hold from ``entropy_tokens`` tokens on, since a
     short text can't have much.
     """
 
@@ -53,6 +61,8 @@ class Band:
     most_marks: float = 0.19
     most_digits: float = 0.8
     least_whole: float = 0.0
+    most_per_word: float = np.inf
+    least_letters: float = 0.0
 
 
 FEW_MARKS = 3
@@ -65,19 +75,19 @@ FEW_MARKS = 3
 #: 0.02. Characters and bytes: a passage of prose and 300 random words of each script. Where
 #: prose of some language reads like noise (see README) a bound leaves both in.
 BANDS: dict[str, Band] = {
-    "latin": Band(1.0, 8.0, 0.2, 5.3, 120, least_whole=0.04),
-    "greek": Band(0.7, 8.0, 0.2, 4.0, most_marks=0.09),
-    "cyrillic": Band(1.3, 8.0, 0.2, 4.5, most_marks=0.15),
-    "semitic": Band(0.6, 8.0, 0.2, 3.8, most_marks=0.11),
+    "latin": Band(1.0, 8.0, 0.2, 5.3, 120, least_whole=0.04, most_per_word=3.1, least_letters=1.45),
+    "greek": Band(0.7, 8.0, 0.2, 4.0, most_marks=0.09, most_per_word=6.0, least_letters=0.95),
+    "cyrillic": Band(1.3, 8.0, 0.2, 4.5, most_marks=0.15, most_per_word=3.5, least_letters=1.3),
+    "semitic": Band(0.6, 8.0, 0.2, 3.8, most_marks=0.11, most_per_word=5.5, least_letters=0.8),
     "indic": Band(0.25, 8.0, 0.9, 3.5, most_marks=0.1),
-    "east_asian": Band(0.45, 4.0, 0.6, 3.5, most_marks=0.16),
+    "east_asian": Band(0.45, 4.0, 0.6, 3.5, most_marks=0.16, most_per_word=4.0, least_letters=0.45),
     OTHER: Band(0.2, 12.0, 1.0, 3.5, most_marks=0.09),
 }
 
 _SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
     " base_failed boolean, kept boolean, script string, n_tokens long, chars_per_token double,"
-    " byte_share double, token_entropy double"
+    " byte_share double, token_entropy double, tokens_per_word double, letters_per_token double, reasons string"
 )
 _NAMES = [part.split()[0] for part in _SCHEMA.split(", ")]
 
@@ -129,9 +139,13 @@ def base_counts(data: np.ndarray, offsets: np.ndarray, words: Words) -> dict[str
     }
 
 
-def token_measures(words: Words, file: str) -> dict[str, np.ndarray]:
-    """Tokens, share of fallback bytes, entropy in bits, tokens by kind and whole words of each text."""
+def token_measures(words: Words, file: str, second: str) -> dict[str, np.ndarray]:
+    """Tokens, share of fallback bytes, entropy in bits, tokens by kind and whole words of each text.
+
+    ``tokens_per_word`` and ``letters_per_token`` are means over both vocabularies; 0 without words that have a letter.
+    """
     ids_of, first_byte, last_byte = vocabulary.pieces_of(file)
+    _, other_size = vocabulary.byte_ids_of(second)(words)
     ids, size = ids_of(words)
     sums = np.concatenate([[0], np.cumsum(size)])
     bounds = sums[words.first]
@@ -142,6 +156,10 @@ def token_measures(words: Words, file: str) -> dict[str, np.ndarray]:
     count = np.diff(np.append(edges, len(keys)))
     spread = np.bincount(keys[edges] >> 32, count * np.log2(count), minlength=len(tokens))
     some = np.maximum(tokens, 1)
+    others = _per_text(other_size, words.first)
+    letter = np.concatenate([[0], np.cumsum(LETTERS[words.data])])
+    lettered = np.maximum(_per_text(letter[words.end] > letter[words.start], words.first), 1)
+    letters = np.diff(letter[words.offsets])
     kind = vocabulary.kinds_of(file)[ids]
     return {
         "n_tokens": tokens,
@@ -151,6 +169,8 @@ def token_measures(words: Words, file: str) -> dict[str, np.ndarray]:
         "whole": _per_text(size == 1, words.first),
         "byte_share": _per_text((ids >= first_byte) & (ids <= last_byte), bounds) / some,
         "token_entropy": np.where(tokens > 0, np.maximum(np.log2(some) - spread / some, 0.0), 0.0),
+        "tokens_per_word": np.where(letters > 0, (tokens + others) / (2 * lettered), 0.0),
+        "letters_per_token": (letters / some + letters / np.maximum(others, 1)) / 2,
     }
 
 
@@ -161,48 +181,64 @@ def scripts_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return names[np.where(counts.max(axis=0) > 0, counts.argmax(axis=0), len(SCRIPTS))]
 
 
-def judge(texts: pa.Array, file: str, bands: Mapping[str, Band]) -> dict[str, np.ndarray]:
+def broken(out: Mapping[str, np.ndarray], band: Band) -> dict[str, np.ndarray]:
+    """Which texts break which measure of a band."""
+    tokens, long = out["n_tokens"], out["n_tokens"] >= band.entropy_tokens
+    chars = out["chars_per_token"]
+    return {
+        "chars": (chars < band.least_chars) | (chars > band.most_chars),
+        "bytes": out["byte_share"] > band.most_bytes,
+        "entropy": (out["token_entropy"] < band.least_entropy) & long,
+        "fertility": (out["tokens_per_word"] > band.most_per_word) & (out["letters_per_token"] < band.least_letters) & long,
+        "whole": (out["whole"] < band.least_whole * out["n_words"]) & long,
+        "marks": out["marks"] > band.most_marks * out["filled"] + FEW_MARKS,
+        "digits": (out["digits"] > band.most_digits * out["filled"]) & (tokens > 0),
+    }
+
+
+def judge(texts: pa.Array, file: str, bands: Mapping[str, Band], second: str | None = None) -> dict[str, np.ndarray]:
     """All columns but ``doc_id`` for some texts, and counts that the bands need."""
     data, offsets = texts_of(texts)
     words = Words(data, offsets, SPACED)
     out = base_counts(data, offsets, words)
     n, repeats = out["n_words"], out["n_repeat_words"]
     out["base_failed"] = (n < 10) | (100 * repeats > 20 * n)
-    out |= token_measures(words, file)
+    out |= token_measures(words, file, second or vocabulary.path(SECOND))
     script = out["script"] = scripts_of(data, offsets)
-    tokens = out["n_tokens"]
-    chars = out["chars_per_token"] = out["word_chars"] / np.maximum(tokens, 1)
-    kept = ~out["base_failed"]
+    out["chars_per_token"] = out["word_chars"] / np.maximum(out["n_tokens"], 1)
+    reasons = np.where(out["base_failed"], "base", "").astype(object)
     for name, band in bands.items():
-        inside = (
-            (chars >= band.least_chars)
-            & (chars <= band.most_chars)
-            & (out["byte_share"] <= band.most_bytes)
-            & ((out["token_entropy"] >= band.least_entropy) | (tokens < band.entropy_tokens))
-            & ((out["whole"] >= band.least_whole * n) | (tokens < band.entropy_tokens))
-            & (out["marks"] <= band.most_marks * out["filled"] + FEW_MARKS)
-            & (out["digits"] <= band.most_digits * out["filled"])
-        )
-        kept &= inside | (script != name)
-    out["kept"] = kept
+        for measure, breaks in broken(out, band).items():
+            breaks = breaks & (script == name)
+            reasons[breaks] = [f"{r},{measure}" if r else measure for r in reasons[breaks]]
+    out["reasons"] = reasons
+    out["kept"] = reasons == ""
     return out
 
 
-def quality(docs: DataFrame, file: str | None = None, bands: Mapping[str, Band] | None = None) -> DataFrame:
+def _vocabularies(file: str | None, second: str | None) -> tuple[str, str]:
+    return file or vocabulary.path(FIRST), second or vocabulary.path(SECOND)
+
+
+def quality(
+    docs: DataFrame, file: str | None = None, bands: Mapping[str, Band] | None = None, second: str | None = None
+) -> DataFrame:
     """Return counts, token measures and the verdict ``kept`` for every document.
 
     Tokens are the vocabulary's pieces of each word with its word mark; line breaks and
-    spaces are no tokens. Null and empty texts have no words, no tokens and fail the base
+    spaces are no tokens. ``n_tokens``, characters per token, byte share and entropy are of the first
+    vocabulary; ``reasons`` names what rejects a document (``base`` and the measures of its
+    script's band), comma-joined, and is empty for kept ones. Null and empty texts have no words, no tokens and fail the base
     rules (fewer than 10 words). Repeated rows are judged alike and kept; no rows give no
     rows; other columns are not read. One pass, no shuffle.
     """
-    file, bands = file or vocabulary.path("piece_bpe_32k.model"), dict(bands or BANDS)
+    files, bands = _vocabularies(file, second), dict(bands or BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary.forget(but=file)
+        vocabulary.forget(but=files)
         for batch in batches:
             for piece in pieces(batch):
-                out = judge(piece.column("text"), file, bands)
+                out = judge(piece.column("text"), files[0], bands, files[1])
                 columns = [piece.column("doc_id").cast(pa.int64())]
                 columns += [pa.array(out[name]) for name in _NAMES[1:]]
                 yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
@@ -215,14 +251,14 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
 
     The verdict is made on the rows themselves, so ids may be null or repeat.
     """
-    file = options.get("file") or vocabulary.path("piece_bpe_32k.model")
+    files = _vocabularies(options.get("file"), options.get("second"))
     bands = dict(options.get("bands") or BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary.forget(but=file)
+        vocabulary.forget(but=files)
         for batch in batches:
             for piece in pieces(batch):
-                yield piece.filter(pa.array(judge(piece.column("text"), file, bands)["kept"]))
+                yield piece.filter(pa.array(judge(piece.column("text"), files[0], bands, files[1])["kept"]))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -104,17 +104,17 @@ class WordIds:
         return _gathered(self.young.ids, at[inverse], size[inverse]), size[inverse]
 
 
-def forget(but: str | None = None) -> None:
-    """Drop the vocabularies of other stages that a worker has kept; ``but`` names the one to go on with."""
+def forget(but: str | tuple[str, ...] | None = None) -> None:
+    """Drop the vocabularies of other stages that a worker has kept; ``but`` names those to go on with."""
     global _last
     if _last != but:
-        for cached in (pieces_of, kinds_of, token_ids_of):
+        for cached in (pieces_of, kinds_of, token_ids_of, byte_ids_of):
             cached.cache_clear()
         _last = but
 
 
-#: The vocabulary that the worker used last.
-_last: str | None = None
+#: The vocabularies that the worker used last.
+_last: str | tuple[str, ...] | None = None
 
 
 @functools.cache
@@ -160,3 +160,17 @@ def token_ids_of(file: str) -> WordIds:
     return WordIds(
         lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
     )
+
+
+@functools.cache
+def byte_ids_of(file: str) -> WordIds:
+    """A byte-level vocabulary given as ranks: ids of words with the blank before them."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(file, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return WordIds(lambda words: [encoding.encode_ordinary(f" {word}") for word in words], KEPT_BYTES // 2)
