@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from conftest import SMALL
 
-from tillwise.llm import fertility, fm_index, url_filter, vocabulary
+from tillwise.llm import blocks, fertility, fm_index, recompression, url_filter, vocabulary
 
 PROSE = {
     "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
@@ -223,3 +223,33 @@ def test_capitals_change_no_ids_but_those_of_special_names(spark):
     plain = Tokenizer.from_file(vocabulary.path("word_bpe_49k.json"))
     want = {(i, zlib.crc32(np.array(plain.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes())) for i, t in enumerate(texts)}
     assert {(r.doc_id, r.ids_crc32) for r in packing.pack(docs).collect()} == want
+
+
+def test_windows_with_one_hash_are_told_apart_by_the_second(monkeypatch):
+    """All windows collide in the first 64 bits; only the repeated passage goes."""
+    real = recompression.window_hash
+
+    def colliding(hashes, size, seed=0):
+        out = real(hashes, size, seed)
+        return out & np.uint64(0) if seed == 1 else out
+
+    monkeypatch.setattr(recompression, "window_hash", colliding)
+    passage = [f"p{i}" for i in range(15)]
+    texts = [passage + [f"a{i}" for i in range(20)], [f"b{i}" for i in range(20)] + passage, [f"c{i}" for i in range(30)]]
+    units, rows = [], []
+    for number, words in enumerate(texts):
+        unit = recompression.Unit(pa.RecordBatch.from_pylist([{"doc_id": number, "text": " ".join(words)}]), 13)
+        unit.anchor_keys()
+        unit.window_keys(np.ones(len(unit.names), bool))
+        assert len(unit.keys) == len(words) - 12 and set(unit.keys.tolist()) == {0}
+        rows.append(
+            {
+                "unit": number, "bucket": 0, "keys": blocks.packed_sorted(unit.keys),
+                "second": blocks.packed(unit.second), "least": blocks.packed(unit.least.view(np.uint64)),
+            }
+        )
+        units.append(unit)
+    answers = {a["unit"]: a for a in recompression._earlier(pa.Table.from_pylist(rows)).to_pylist()}
+    for number, unit in enumerate(units):
+        gone = unit.removed(blocks.joined_bits([answers[number]], np.array([0, len(unit.keys)])))
+        assert np.flatnonzero(gone).tolist() == (list(range(20, 35)) if number == 1 else [])

@@ -158,13 +158,20 @@ class Unit:
         self.number = np.where(self.named, number[np.maximum(stretch, 0)] if len(at) else 0, 0)
 
     def window_keys(self, shared: np.ndarray) -> None:
-        """Distinct hashes of the windows to compare in order, their smallest ids, and where they start."""
+        """Distinct hashes of the windows to compare in order, their smallest ids, and where they start.
+
+        A window is known by 128 bits: ``keys`` and, of two other functions of its words, ``second``.
+        """
         wanted = self.whole.copy()
         if len(self.names):
             wanted &= ~self.named | (self.several | shared)[self.number]
         self.at = np.flatnonzero(wanted)
-        hashes = window_hash(self.hashes, self.window, 1)[self.at]
-        self.keys, self.key = np.unique(hashes, return_inverse=True)
+        keys = window_hash(self.hashes, self.window, 1)[self.at]
+        second = window_hash(self.words.second_hash, self.window, 2)[self.at]
+        order, head = _ordered(keys, second)
+        self.keys, self.second = keys[order[head]], second[order[head]]
+        self.key = np.empty(len(keys), np.int64)
+        self.key[order] = np.cumsum(head) - 1
         self.least = np.full(len(self.keys), _NO_ID)
         np.minimum.at(self.least, self.key, self.doc[self.at])
 
@@ -175,6 +182,15 @@ class Unit:
         return covered(starts, self.window)
 
 
+def _ordered(keys: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of 128-bit keys, and there true for the first of equal ones."""
+    order = np.lexsort((second, keys))
+    keys, second = keys[order], second[order]
+    head = np.ones(len(keys), bool)
+    head[1:] = (keys[1:] != keys[:-1]) | (second[1:] != second[:-1])
+    return order, head
+
+
 def _rows(names: list[str], columns: list[list], types: list[pa.DataType]) -> pa.RecordBatch:
     arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=names)
@@ -230,11 +246,12 @@ def _verify(buckets: int, window: int):
             bounds = blocks.bucket_bounds(unit.keys, buckets)
             some = np.flatnonzero(np.diff(bounds)).tolist()
             keys = [blocks.packed_sorted(unit.keys[bounds[b] : bounds[b + 1]]) for b in some]
+            second = [blocks.packed(unit.second[bounds[b] : bounds[b + 1]]) for b in some]
             least = [blocks.packed(unit.least[bounds[b] : bounds[b + 1]].view(np.uint64)) for b in some]
             yield _rows(
-                ["unit", "bucket", "keys", "least"],
-                [[number] * len(some), some, keys, least],
-                [pa.int64(), pa.int32(), pa.binary(), pa.binary()],
+                ["unit", "bucket", "keys", "second", "least"],
+                [[number] * len(some), some, keys, second, least],
+                [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()],
             )
 
     return run
@@ -244,9 +261,10 @@ def _earlier(table: pa.Table) -> pa.Table:
     """Flags of the keys that a smaller id of another unit has."""
     parts = [blocks.unpacked_sorted(x) for x in table["keys"].to_pylist()]
     keys = np.concatenate(parts)
+    second = np.concatenate([blocks.unpacked(x) for x in table["second"].to_pylist()])
     least = np.concatenate([blocks.unpacked(x) for x in table["least"].to_pylist()]).view(np.int64)
-    order = np.argsort(keys)
-    head = np.flatnonzero(np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]]))
+    order, first = _ordered(keys, second)
+    head = np.flatnonzero(first)
     smallest = np.minimum.reduceat(least[order], head)
     flags = np.empty(len(keys), bool)
     flags[order] = np.repeat(smallest, np.diff(np.append(head, len(keys)))) < least[order]
@@ -275,7 +293,7 @@ def _compared(docs: DataFrame, window: int, render, schema) -> DataFrame:
     shared = blocks.answers_by_unit(names.groupBy("bucket").applyInArrow(_shared, answer), "shared")
     revealed = bodies.join(shared, "unit", "left")
     windows = revealed.mapInArrow(
-        _verify(buckets, window), "unit long, bucket int, keys binary, least binary"
+        _verify(buckets, window), "unit long, bucket int, keys binary, second binary, least binary"
     )
     earlier = blocks.answers_by_unit(windows.groupBy("bucket").applyInArrow(_earlier, answer), "earlier")
     return revealed.join(earlier, "unit", "left").mapInArrow(_apply(buckets, window, render), schema)
