@@ -253,3 +253,39 @@ def test_windows_with_one_hash_are_told_apart_by_the_second(monkeypatch):
     for number, unit in enumerate(units):
         gone = unit.removed(blocks.joined_bits([answers[number]], np.array([0, len(unit.keys)])))
         assert np.flatnonzero(gone).tolist() == (list(range(20, 35)) if number == 1 else [])
+
+
+def test_hashing_a_unit_takes_memory_for_a_part_of_it_only():
+    import tracemalloc
+
+    import numpy as np
+
+    from tillwise.llm.recompression import anchors
+    from tillwise.llm.text import SPACED, Words
+
+    text = np.frombuffer(b"".join(b"word%07d " % (i * i % 9_999_991) for i in range(250_000)), np.uint8)
+    words = Words(text, np.arange(0, len(text) + 1, len(text) // 500), SPACED)
+    tracemalloc.start()
+    hashes = words.hash
+    of_hashes = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    anchors(words, hashes)
+    of_anchors = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert of_hashes < 6 * len(text) and of_anchors < 14 * len(text)
+
+
+def test_words_hash_alike_wherever_the_parts_are_cut(monkeypatch):
+    import numpy as np
+
+    from tillwise.llm import recompression, text
+    from tillwise.llm.text import SPACED, Words, texts_of
+
+    rows = ["a bb " + "c" * 300 + " a bb", None, "", " ", "x" * 50, *["one two  three four one two " * 9] * 7]
+    words = Words(*texts_of(pa.array(rows)), SPACED)
+    whole = words.hash, words.second_hash, *recompression.anchors(words, words.hash)
+    for size in (1, 7, 64):
+        monkeypatch.setattr(text, "HASHED_BYTES", size)
+        monkeypatch.setattr(recompression, "ANCHORED_WORDS", size)
+        cut = words.hash, words.second_hash, *recompression.anchors(words, words.hash)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, cut, strict=True))

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm import vocabulary
 from tillwise.llm.text import pieces
 from tillwise.staging import stage
 
@@ -35,6 +36,7 @@ def write_units(docs: DataFrame, weigh: Callable[[pa.RecordBatch], int]) -> Data
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary.forget()
         unit = TaskContext.get().partitionId() << 36
         for batch in batches:
             for piece in pieces(batch, limit=UNIT_BYTES):

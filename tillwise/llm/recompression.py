@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm import blocks
+from tillwise.llm import blocks, vocabulary
 from tillwise.llm.fm_index import with_texts
 from tillwise.llm.text import SPACED, Words, _power_tables, covered, mix, release, texts_of, window_hash
 
 WINDOW = 13
 ROUNDS = 5
+#: Words whose anchors are looked for at a time; a longer text is worked on alone.
+ANCHORED_WORDS = 1 << 17
 _U = np.uint64
 #: A document without id comes after all others.
 _NO_ID = np.iinfo(np.int64).max
@@ -94,6 +96,21 @@ def anchors(words: Words, hashes: np.ndarray, window: int = WINDOW, rounds: int
     Of the borders that the window determines, those of the highest round count and of
     these the leftmost.
     """
+    found, named = np.zeros(len(hashes), np.uint64), np.zeros(len(hashes), bool)
+    whole, text = words.windows(window), 0
+    while text < len(words.first) - 1:
+        low = words.first[text]
+        last = max(text + 1, int(np.searchsorted(words.first, low + ANCHORED_WORDS, "right")) - 1)
+        some = slice(low, words.first[last])
+        found[some], named[some] = _anchors(words.first[text : last + 1] - low, hashes[some], whole[some], window, rounds)
+        text = last
+    return found, named
+
+
+def _anchors(
+    first: np.ndarray, hashes: np.ndarray, whole: np.ndarray, window: int, rounds: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The same for a run of texts that begin at the words ``first``."""
     n = len(hashes)
     found, named = np.zeros(n, np.uint64), np.zeros(n, bool)
     if not n:
@@ -102,8 +119,7 @@ def anchors(words: Words, hashes: np.ndarray, window: int = WINDOW, rounds: int
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(hashes * power[:n], out=sums[1:])
-        symbols, at = Symbols.of_words(hashes, words.first), np.arange(n)
-        whole = words.windows(window)
+        symbols, at = Symbols.of_words(hashes, first), np.arange(n)
         for number in range(1, rounds + 1):
             symbols, place, low, high = symbols.round(number)
             near = (low >= 0) & (high - low <= window)
@@ -197,6 +213,7 @@ def _rows(names: list[str], columns: list[list], types: list[pa.DataType]) -> pa
 
 
 def _units(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int, Unit, dict]]:
+    vocabulary.forget()
     for batch in batches:
         for row in range(batch.num_rows):
             columns = {n: batch.column(n)[row].as_py() for n in batch.schema.names}

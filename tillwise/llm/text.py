@@ -14,6 +14,8 @@ import pyarrow as pa
 
 #: Bytes of text that are worked on at a time; a longer text is a piece of its own.
 PIECE_BYTES = 2 << 20
+#: Bytes of text that are hashed at a time; a longer word is hashed alone.
+HASHED_BYTES = 1 << 18
 
 _U = np.uint64
 #: An odd base whose predecessor is twice an odd number, so swapped letters keep apart.
@@ -57,9 +59,9 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def release() -> None:
     """Give freed memory back to the machine: a worker lives on for other stages beside others."""
     global _powers, _inverse
-    if len(_powers) > 4 * PIECE_BYTES:
-        # left by a very long text; what shards and units need is kept
-        _powers, _inverse = _powers[: PIECE_BYTES + 1].copy(), _inverse[: PIECE_BYTES + 1].copy()
+    if len(_powers) > 4 * HASHED_BYTES:
+        # left by a very long text
+        _powers, _inverse = _powers[: HASHED_BYTES + 1].copy(), _inverse[: HASHED_BYTES + 1].copy()
     pa.default_memory_pool().release_unused()
     if _trim is not None:
         _trim(0)
@@ -99,7 +101,7 @@ _inverse = np.ones(1, np.uint64)
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverse
     if len(_powers) < n:
-        size = max(n, PIECE_BYTES + 1)
+        size = max(n, HASHED_BYTES + 1)
         with np.errstate(over="ignore"):
             step = np.full(size, _BASE, np.uint64)
             step[0] = 1
@@ -153,14 +155,19 @@ class Words:
         return self._hash(_OTHER_LETTERS)
 
     def _hash(self, letters: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            power, inverse = _power_tables(len(self.data) + 1)
-            sums = np.zeros(len(self.data) + 1, np.uint64)
-            parts = letters[self.data]
-            parts *= power[: len(self.data)]
-            np.cumsum(parts, out=sums[1:])
-            del parts
-            return mix((sums[self.end] - sums[self.start]) * inverse[self.start])
+        out, first = np.empty(len(self), np.uint64), 0
+        while first < len(self):
+            low = int(self.start[first])
+            last = max(first + 1, int(np.searchsorted(self.end, low + HASHED_BYTES, "right")))
+            size = int(self.end[last - 1]) - low
+            start, end = self.start[first:last] - low, self.end[first:last] - low
+            with np.errstate(over="ignore"):
+                power, inverse = _power_tables(size + 1)
+                sums = np.zeros(size + 1, np.uint64)
+                np.cumsum(letters[self.data[low : low + size]] * power[:size], out=sums[1:])
+                out[first:last] = mix((sums[end] - sums[start]) * inverse[start])
+            first = last
+        return out
 
     def windows(self, size: int) -> np.ndarray:
         """True where a window of so many words of one text starts."""

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-from tillwise.llm.text import Words
+from tillwise.llm.text import Words, release
 
 #: Bytes of known words that a process keeps for a vocabulary, about 40 a word; the words used longest ago go first.
 KEPT_BYTES = 96 << 20
@@ -111,6 +111,7 @@ def forget(but: str | tuple[str, ...] | None = None) -> None:
         for cached in (pieces_of, kinds_of, token_ids_of, byte_ids_of):
             cached.cache_clear()
         _last = but
+        release()
 
 
 #: The vocabularies that the worker used last.
