@@ -40,7 +40,7 @@ from tillwise.operators.spreads import price_quantiles, price_spreads
 from tillwise.operators.totals import measured_lines, merged
 from tillwise.plans.enrich import enrich, enrich_by_customer_day
 from tillwise.plans.job import row_counts, run_job
-from tillwise.session import input_bytes, prepare
+from tillwise.session import AS_ROWS, input_bytes, prepare
 from tillwise.sinks.tables import ParquetTable
 from tillwise.sources.documents import json_field
 from tillwise.sources.files import flatten_users, parse_users, read_sales_csv, read_sales_csv_checked, read_users_json
@@ -54,7 +54,7 @@ SMOKE = "/root/testdata/sf0.001"
 
 
 def _sales(spark: SparkSession, folder: str) -> DataFrame:
-    prepare(spark, input_bytes(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet"))
+    prepare(spark, AS_ROWS * input_bytes(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet"))
     return sales_lines(star_table(spark, folder, "lineitem"), star_table(spark, folder, "orders"))
 
 

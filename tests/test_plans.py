@@ -12,7 +12,7 @@ import __spark_entry__ as E
 from tillwise.operators import validate as V
 from tillwise.operators.aggregates import customer_totals
 from tillwise.plans.job import run_job
-from tillwise.session import INITIAL, prepared, scanned_bytes
+from tillwise.session import INITIAL, MERGED, MERGED_BYTES, prepared, scanned_bytes
 from tillwise.staging import shared_folder, staged
 
 
@@ -116,3 +116,13 @@ def test_job_reads_the_raw_sales_once(spark, sales_of_rows, customers_of_rows, w
         assert "/raw" not in " ".join(copy.inputFiles())
     tables = run_job(spark, raw, customers, weather_of_rows(), f"{shared_folder(spark)}/job-{uuid.uuid4().hex}")
     assert tables["sales"].rows().count() == 1
+
+
+def test_a_task_holds_a_bounded_part_of_a_shuffle_whatever_the_input(spark, conf):
+    conf(MERGED, "64m")
+    with prepared(spark):
+        assert spark.conf.get(MERGED) == str(MERGED_BYTES)
+    assert spark.conf.get(MERGED) == "64m"
+    conf(MERGED, "1m")
+    with prepared(spark):
+        assert spark.conf.get(MERGED) == "1m"
