@@ -33,7 +33,7 @@ from tillwise.operators.validate import (
     sale_rules,
 )
 from tillwise.plans.enrich import enrich
-from tillwise.session import input_bytes, prepared, scanned_bytes
+from tillwise.session import AS_ROWS, input_bytes, prepared, scanned_bytes
 from tillwise.sinks.tables import ParquetTable, Part
 from tillwise.sinks.versions import Publication
 from tillwise.sources.files import read_sales_csv, read_sales_csv_checked, read_users_json
@@ -108,7 +108,7 @@ def run_job(
     warehouse = open_warehouse(spark, folder)
     tables = warehouse.tables
     with (
-        prepared(spark, scanned_bytes(sales, customers)),
+        prepared(spark, AS_ROWS * scanned_bytes(sales, customers)),
         scratch(spark),
         staged(sales, "sales-input") as sales,
     ):
