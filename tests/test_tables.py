@@ -238,3 +238,16 @@ def test_totals_are_counted_anew_when_the_sales_were_changed_otherwise(spark, fo
     assert rows(tables["product_metrics"].rows(), "total_revenue") == [(Decimal(100),)]
     notes = open_warehouse(spark, folder).heads.manifest().notes
     assert notes == {"sales": tables["sales"].version()}
+
+
+def test_rows_whose_key_is_held_leave_a_batch_before_it_is_reduced(spark, folder, batch):
+    table = ParquetTable(spark, folder, TABLE, by_month="d")
+    day, later = "2023-01-05", "2023-02-07"
+    table.load(batch((1, day, 5), (1, day, 3), (2, day, 1), (None, day, 9)), ["k"])
+    again = batch((1, day, 0), (2, later, 0), (3, later, None), (3, later, 8), (3, later, 7), (4, None, 2), (None, day, 1))
+    text = table.absent(again, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Aggregate") < text.index("Join LeftAnti")
+    table.load(again, ["k"])
+    assert sorted((r.k, str(r.d), r.v) for r in table.rows().collect()) == [
+        (1, day, 3), (2, day, 1), (3, later, 7), (4, "None", 2),
+    ]

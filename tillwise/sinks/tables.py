@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tillwise.contracts import Contract
 from tillwise.operators.conform import conform
-from tillwise.operators.merge import absent_rows, first_per_key, rows_to_insert, with_key
+from tillwise.operators.merge import absent_rows, first_per_key, with_key
 from tillwise.operators.validate import fail_on_violations, key_conflicts
 from tillwise.sinks.versions import Publication, Versions, hadoop
 from tillwise.staging import fits_broadcast, staged
@@ -190,9 +190,15 @@ class ParquetTable:
         self.add(new)
 
     def absent(self, batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-        """The batch rows that an insert would add; only parts near the batch's keys are read."""
-        held = self.rows_near(batch, key) if len(self.manifest().parts) > 1 else self.rows()
-        return rows_to_insert(held, batch, key, order_by)
+        """The batch rows that an insert would add; only parts near the batch's keys are read.
+
+        Rows whose key is held go first, so a batch delivered again is not reduced to a row per key.
+        """
+        batch, parts = with_key(batch, key), self.manifest().parts
+        if parts:
+            held = self.rows_near(batch, key) if len(parts) > 1 else self.rows()
+            batch = absent_rows(held, batch, key)
+        return first_per_key(batch, key, order_by)
 
     def check_keys(self, new: DataFrame, merged_on: Sequence[str] = ()) -> None:
         """Raise if ``new`` rows would break a key of the contract beside the held ones.
