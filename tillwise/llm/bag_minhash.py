@@ -38,6 +38,8 @@ SIZE = BANDS * BAND_ROWS
 CENTRES = 8
 #: A shingle of so many texts at most is rare.
 RARE = 64
+#: Bits of a bitmap of ids for each id, the most of all (as a power of two: 8 MB), and those of a piece.
+_BITS_PER_ID, _MOST_BITS, _PIECE_BITS = 64, 26, 1 << 15
 #: Bytes of text that are signed at a time: an atom of a shingle takes some 70 bytes.
 _SIGNED_BYTES = 1 << 20
 _U = np.uint64
@@ -227,8 +229,10 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         signed = stage(rows.mapInArrow(_sign, "doc_id long, key binary, bands array<long>, total long"), "signed")
         filled = signed.where("doc_id IS NOT NULL AND bands IS NOT NULL")
-        firsts = filled.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-        texts = filled.join(firsts, ["key", "doc_id"]).dropDuplicates(["key"])
+        # rows of one key have equal words, so equal bands and totals
+        texts = filled.groupBy("key").agg(
+            F.min("doc_id").alias("doc_id"), F.any_value("total").alias("total"), F.any_value("bands").alias("bands")
+        )
         buckets = texts.select("key", "doc_id", "total", F.posexplode("bands").alias("band", "hash")).select(
             "key", "doc_id", "total", F.xxhash64("band", "hash").alias("bucket")
         )
@@ -245,10 +249,10 @@ def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         members = members.join(rank.select("key", "rank"), "key").select("bucket", "key", "total", "rank")
         members = stage(members.withColumn("label", F.col("key")), "members")
         labels = _resolved(members, held, similarity)
-        found = signed.join(labels, signed["key"] == labels["node"], "left").select(
-            "doc_id",
-            "key",
-            F.when(F.col("doc_id").isNotNull() & F.col("bands").isNotNull(), F.coalesce("label", "key")).alias("label"),
+        # the bands stay out of the join
+        rows = signed.select("doc_id", "key", (F.col("doc_id").isNotNull() & F.col("bands").isNotNull()).alias("_judged"))
+        found = rows.join(labels, rows["key"] == labels["node"], "left").select(
+            "doc_id", "key", F.when(F.col("_judged"), F.coalesce("label", "key")).alias("label")
         )
         return stage(found, "text-classes", outlive=True)
 
@@ -461,8 +465,8 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     again = stage(again, "again")
     gone = judged.where("NOT stays").select("doc_id").distinct()
     if not again.limit(1).count():
-        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    single = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti").select(docs.columns)
+        return _without(docs, gone)
+    single = _without(docs, gone.unionByName(again).distinct())
     name = "_key"
     while name in docs.columns:
         name += "_"
@@ -474,6 +478,33 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     return single.unionByName(once.select(docs.columns))
 
 
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is not among ``ids``; only rows that may have one of them are shuffled.
+
+    The ids set bits in a bitmap of bounded size, in pieces of 4 KB that are broadcast. A row whose bit is
+    not set stays where it is; the others are joined with the ids themselves. With more ids than the bitmap
+    is made for more rows are joined, with the same result.
+    """
+    ids = stage(ids, "without")
+    bits = 1 << max(15, min(_MOST_BITS, (_BITS_PER_ID * ids.count()).bit_length()))
+
+    # longer than any column, so of another name
+    new = "_" * (1 + max(map(len, docs.columns)))
+    piece, bit, held, byte = (new + c for c in ("piece", "bit", "held", "byte"))
+
+    def placed(frame: DataFrame) -> DataFrame:
+        slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(bits))
+        return frame.withColumns({piece: (slot / _PIECE_BITS).cast("long"), bit: slot % _PIECE_BITS})
+
+    held_bits = placed(ids).groupBy(piece).agg(F.bitmap_construct_agg(bit).alias(held))
+    marked = placed(docs).join(F.broadcast(held_bits), piece, "left")
+    eight = F.substring(F.col(held), (F.col(bit) / 8).cast("int") + 1, F.lit(1))
+    marked = marked.withColumn(byte, F.conv(F.hex(eight), 16, 10).cast("int"))
+    is_set = F.coalesce(F.getbit(byte, (F.col(bit) % 8).cast("int")) == 1, F.lit(False))
+    stay, maybe = (marked.where(which).select(docs.columns) for which in (~is_set, is_set))
+    return stay.unionByName(maybe.join(ids, "doc_id", "left_anti").select(docs.columns))
+
+
 def _with_key(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
