@@ -100,6 +100,51 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "Window" not in text
 
 
+def test_only_rows_with_copies_are_shuffled_when_a_batch_lies_in_files(spark, conf, folder):
+    """All ways to a row per key agree; the keys that have copies decide how it is taken."""
+    spark.range(5000).selectExpr(
+        "IF(id % 100 = 7, id % 1000, id) AS k", "IF(id % 3 = 0, NULL, id % 5) AS v", "IF(id % 11 = 0, NULL, sha2(string(id), 256)) AS w"
+    ).write.parquet(f"{folder}/batch")
+    batch = spark.read.parquet(f"{folder}/batch").where("k < 4900").withColumn("x", F.col("v") + 1)
+    want = rows(G.first_per_key(batch, ["k"], ["x"]))
+    assert len(want) == 4851 + 10
+
+    def taken(frame):
+        kept = G.one_per_key(frame, ["k"], ["x"])
+        assert rows(kept) == want and kept.columns == batch.columns
+        return kept._jdf.queryExecution().executedPlan().toString()
+
+    assert "Join" not in taken(batch)  # a small one is reduced at once
+    conf("spark.sql.autoBroadcastJoinThreshold", "50000")
+    text = taken(batch)
+    alone, several = text.split("LeftAnti", 1)[1].split("LeftSemi", 1)[0], text.split("LeftSemi", 1)[0]
+    assert "Exchange hash" not in alone.split("SortAggregate")[0] and "Exchange hash" in several
+    assert "Join" not in taken(spark.createDataFrame(batch.rdd, batch.schema))  # not in files
+    assert "LeftAnti" not in taken(batch.join(spark.range(5000).selectExpr("id AS k"), "k", "left_semi"))
+    conf("spark.sql.autoBroadcastJoinThreshold", "100")  # too many copies
+    assert "Join" not in taken(batch)
+
+
+def test_batch_in_files_is_merged_into_a_table_and_nothing_stays_aside(spark, conf, folder):
+    conf("spark.sql.autoBroadcastJoinThreshold", "30000")
+    spark.range(5000).selectExpr(
+        "IF(id % 500 = 0, NULL, IF(id % 500 < 3, 1, id)) AS customer_id", "sha2(string(id), 256) AS name", "'u' || id AS username",
+        "'u' || id || '@b.co' AS email", "1F AS latitude", "2F AS longitude",
+    ).write.parquet(f"{folder}/batch")
+    batch = spark.read.parquet(f"{folder}/batch")
+    want = rows(G.first_per_key(G.with_key(batch, ["customer_id"]), ["customer_id"]), "customer_id", "username")
+    assert len(want) == 5000 - 10 - 19
+    table = ParquetTable(spark, f"{folder}/t", C.CUSTOMERS)
+    with scratch(spark):
+        assert "LeftAnti" in table.absent(batch, ["customer_id"])._jdf.queryExecution().executedPlan().toString()
+    aside = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    table.load(batch, ["customer_id"])
+    assert rows(table.rows(), "customer_id", "username") == want
+    table.upsert(batch, ["customer_id"])
+    assert rows(table.rows(), "customer_id", "username") == want
+    assert set(os.listdir(shared_folder(spark).removeprefix("file:"))) == aside
+
+
 def test_conform_modes(spark):
     df = spark.sql(
         "SELECT * FROM VALUES (1L, 1.005D, 'Low', 1, 2L, CAST(123456789.10 AS DECIMAL(28,2))),"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillwise import contracts as C
 from tillwise.plans import job
 from tillwise.plans.job import open_tables, open_warehouse, run_job
+from tillwise.sinks import tables
 from tillwise.sinks.tables import MONTH, Manifest, ParquetTable, Part
 from tillwise.sinks.versions import Publication, Versions
 from tillwise.staging import shared_folder
@@ -115,6 +116,20 @@ def test_upsert_reads_and_writes_the_touched_months_only(spark, folder, batch):
     assert new.rows == old.rows + 1
 
 
+def test_upsert_looks_for_lost_rows_outside_the_months_of_its_batch(spark, folder, batch, monkeypatch):
+    table = ParquetTable(spark, folder, TABLE, by_month="d")
+    table.append(batch(*[(m * 10 + i, f"2023-{m:02d}-0{i}", 1) for m in range(1, 7) for i in range(1, 4)]))
+    looked_in = []
+    was = tables._only_keys_of
+    monkeypatch.setattr(tables, "_only_keys_of", lambda held, *a: looked_in.append(rows(held.select(MONTH).distinct())) or was(held, *a))
+    table.upsert(batch((11, "2023-03-09", 7), (32, "2023-03-10", 8), (51, "2023-04-01", 9)), ["k"])
+    assert looked_in == [[(f"2023-{m}",) for m in ("01", "02", "05")]]
+    assert {p.month for p in table.manifest().parts if p.load.endswith("-months")} == {f"2023-0{m}" for m in (1, 3, 4, 5)}
+    assert rows(table.rows().where("v > 1"), "k", "v") == [(11, 7), (32, 8), (51, 9)] and table.manifest().rows == 18
+    table.upsert(batch(*[(m * 10, f"2023-{m:02d}-01", 5) for m in range(1, 7)]), ["k"])
+    assert len(looked_in) == 1 and table.manifest().rows == 24
+
+
 def test_month_without_date_and_months_that_lose_all_rows(spark, folder, batch):
     table = ParquetTable(spark, folder, TABLE, by_month="d")
     table.append(batch((1, None, 1), (2, "2023-01-01", 2), (3, "2023-02-01", 3)))

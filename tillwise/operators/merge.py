@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.contracts import CUSTOMERS, SALES_TABLE
-from tillwise.staging import fits_broadcast
+from tillwise.operators.aggregates import duplicate_keys
+from tillwise.staging import fits_broadcast, only_scans, stage
 
 
 def first_per_key(batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -26,6 +27,23 @@ def first_per_key(batch: DataFrame, key: Sequence[str], order_by: Sequence[str]
     return smallest.select(*key, *[f"row.{c}" for c in ordered]).select(*batch.columns)
 
 
+def one_per_key(batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """The rows of :func:`first_per_key` for a batch without nulls in its key.
+
+    Where the batch is large and lies in files, its keys are counted first, which moves them alone.
+    The keys that have copies are written aside, and while they fit the broadcast limit only their rows
+    are sorted and shuffled; all others stay where they are.
+    """
+    if fits_broadcast(batch) or not only_scans(batch):
+        return first_per_key(batch, key, order_by)
+    copied = stage(duplicate_keys(batch, key).select(*key), "copied-keys")
+    if not fits_broadcast(copied):
+        return first_per_key(batch, key, order_by)
+    copied = F.broadcast(copied)
+    single = batch.join(copied, list(key), "left_anti").select(*batch.columns)
+    return single.unionByName(first_per_key(batch.join(copied, list(key), "left_semi"), key, order_by))
+
+
 def with_key(batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows whose key has no null; the others cannot be merged."""
     return batch.dropna(subset=list(key))

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from tillwise.contracts import Contract
 from tillwise.operators.conform import conform
-from tillwise.operators.merge import absent_rows, first_per_key, with_key
+from tillwise.operators.merge import absent_rows, one_per_key, with_key
 from tillwise.operators.validate import fail_on_violations, key_conflicts
 from tillwise.sinks.versions import Publication, Versions, hadoop
-from tillwise.staging import fits_broadcast, staged
+from tillwise.staging import fits_broadcast, scratch, staged
 
 LOAD = "load"
 MONTH = "order_month"
@@ -112,15 +112,7 @@ class ParquetTable:
         The bounds come from the manifest and one pass over the batch's key columns.
         """
         manifest = self.manifest()
-        parts = manifest.parts
-        if len(parts) > 1:
-            columns = [c for c in key if any(c in p.bounds for p in parts)]
-            ends = batch.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]) if columns else None
-            if ends is not None:
-                row = ends.first()
-                wanted = {c: (_plain(row[f"lo_{c}"]), _plain(row[f"hi_{c}"])) for c in columns}
-                parts = [p for p in parts if all(_meet(p.bounds.get(c), w) for c, w in wanted.items())]
-        return self._scan(self._paths(parts, manifest.written)).select(*self.contract.names)
+        return self._scan(self._paths(_parts_near(manifest, batch, key), manifest.written)).select(*self.contract.names)
 
     def version(self) -> int | None:
         """The number of the current version; None before the first write."""
@@ -149,23 +141,25 @@ class ParquetTable:
         self, batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()
     ) -> list[Part]:
         """Add the batch rows whose key is new. Writes only those rows."""
-        return self.append(self.absent(conform(batch, self.contract), key, order_by))
+        with scratch(self.spark):
+            return self.append(self.absent(conform(batch, self.contract), key, order_by))
 
     def upsert(self, batch: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> None:
         """Replace rows by key and add new ones.
 
-        A table by month reads the keys of its parts that may hold one of the batch's, and
-        rewrites the months that lose or gain a row; any other table is rewritten.
+        A table by month reads the keys of its parts that may hold one of the batch's, but not
+        those of the batch's own months, and rewrites the months that lose or gain a row; any
+        other table is rewritten.
         """
-        fresh = first_per_key(with_key(conform(batch, self.contract), key), key, order_by)
-        with staged(fresh, f"{self.contract.name}-upsert") as fresh:
+        batch = with_key(conform(batch, self.contract), key)
+        with scratch(self.spark), staged(one_per_key(batch, key, order_by), f"{self.contract.name}-upsert") as fresh:
             manifest, touched = self.manifest(), None
             if self.by_month:
-                held = self.rows_near(fresh, key).select(*key, self._month().alias(MONTH))
-                lost = _only_keys_of(held, fresh, key).select(MONTH)
-                months = fresh.select(self._month().alias(MONTH)).unionByName(lost).distinct()
-                # one row a month
-                touched = {r[MONTH] for r in months.collect()}
+                touched = self._months(fresh.select(self._month().alias(MONTH)))
+                others = [p for p in _parts_near(manifest, fresh, key) if p.month not in touched]
+                if others:
+                    held = self.read(others).select(*key, self._month().alias(MONTH))
+                    touched |= self._months(_only_keys_of(held, fresh, key))
             old = [p for p in manifest.parts if touched is None or p.month in touched]
             kept = [p for p in manifest.parts if p not in old]
             rows = self.read(old).select(*self.contract.names)
@@ -181,11 +175,13 @@ class ParquetTable:
         """
         rows = conform(batch, self.contract)
         if check is None:
-            new = self.write_load(self.absent(rows, key, order_by))
+            with scratch(self.spark):
+                new = self.write_load(self.absent(rows, key, order_by))
         else:
             with staged(rows, f"{self.contract.name}-batch") as rows:
                 check(rows)
-                new = self.write_load(self.absent(rows, key, order_by))
+                with scratch(self.spark):
+                    new = self.write_load(self.absent(rows, key, order_by))
         self.check_keys(self.rows_of(new), merged_on=key)
         self.add(new)
 
@@ -198,7 +194,7 @@ class ParquetTable:
         if parts:
             held = self.rows_near(batch, key) if len(parts) > 1 else self.rows()
             batch = absent_rows(held, batch, key)
-        return first_per_key(batch, key, order_by)
+        return one_per_key(batch, key, order_by)
 
     def check_keys(self, new: DataFrame, merged_on: Sequence[str] = ()) -> None:
         """Raise if ``new`` rows would break a key of the contract beside the held ones.
@@ -308,6 +304,10 @@ class ParquetTable:
     def _month(self):
         return F.date_format(self.by_month, "yyyy-MM")
 
+    def _months(self, rows: DataFrame) -> set[str | None]:
+        # one row a month
+        return {r[MONTH] for r in rows.select(MONTH).distinct().collect()}
+
     def _scan(self, paths: list[str]) -> DataFrame:
         schema = self.contract.schema.add(LOAD, "string")
         if self.by_month:
@@ -333,6 +333,19 @@ class ParquetTable:
         return sorted(n for n in names if n.startswith(f"{LOAD}="))
 
 
+def _parts_near(manifest: Manifest, batch: DataFrame, key: Sequence[str]) -> Sequence[Part]:
+    """The parts whose bounds allow for a key of ``batch``."""
+    parts = manifest.parts
+    if len(parts) > 1:
+        columns = [c for c in key if any(c in p.bounds for p in parts)]
+        ends = batch.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))]) if columns else None
+        if ends is not None:
+            row = ends.first()
+            wanted = {c: (_plain(row[f"lo_{c}"]), _plain(row[f"hi_{c}"])) for c in columns}
+            parts = [p for p in parts if all(_meet(p.bounds.get(c), w) for c, w in wanted.items())]
+    return parts
+
+
 def _only_keys_of(held: DataFrame, fresh: DataFrame, key: Sequence[str]) -> DataFrame:
     """The held rows with a key of ``fresh``."""
     keys = fresh.select(*key)

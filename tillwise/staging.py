@@ -99,6 +99,24 @@ def fits(df: DataFrame, limit: int) -> bool:
     return int(str(size)) <= limit
 
 
+def only_scans(df: DataFrame) -> bool:
+    """True when the rows are read from files and only selected and computed row by row.
+
+    Such a frame can be read again without shuffling or joining anything, and gives the same rows.
+    """
+    plans = [df._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.nodeName()
+        if kind == "LogicalRelation":
+            kind = plan.relation().getClass().getSimpleName()
+        if kind not in ("Project", "Filter", "HadoopFsRelation") or not plan.deterministic():
+            return False
+        below = plan.children()
+        plans += [below.apply(i) for i in range(below.size())]
+    return True
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst's own size estimate is under its broadcast limit.
 
