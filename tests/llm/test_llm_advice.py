@@ -289,3 +289,69 @@ def test_words_hash_alike_wherever_the_parts_are_cut(monkeypatch):
         monkeypatch.setattr(recompression, "ANCHORED_WORDS", size)
         cut = words.hash, words.second_hash, *recompression.anchors(words, words.hash)
         assert all(np.array_equal(a, b) for a, b in zip(whole, cut, strict=True))
+
+
+def test_a_unit_takes_memory_for_a_part_of_its_texts_only():
+    import tracemalloc
+
+    def text(doc):
+        return "".join(f"word{k * k % 9_999_991:07d} " for k in range(doc * 500, doc * 500 + 500))
+
+    batch = pa.RecordBatch.from_pylist([{"doc_id": doc, "text": text(doc)} for doc in range(700)])
+    unit = recompression.Unit(batch.slice(0, 1), 13)
+    unit.anchor_keys()
+    tracemalloc.start()
+    unit = recompression.Unit(batch, 13)
+    unit.anchor_keys()
+    of_anchors = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    unit.window_keys(unit.names % np.uint64(10) == 0)
+    of_windows = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert unit.counts.tolist() == [500] * 700 and len(unit.keys)
+    assert of_anchors < 8 * batch.nbytes and of_windows < 6 * batch.nbytes, (of_anchors / batch.nbytes, of_windows / batch.nbytes)
+
+
+def test_a_unit_finds_the_same_wherever_its_parts_are_cut(monkeypatch):
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [
+        {"doc_id": 3, "text": "a b " + passage}, {"doc_id": None, "text": None}, {"doc_id": 1, "text": passage + " c d"},
+        {"doc_id": 2, "text": "x " * 40}, {"doc_id": 1, "text": "y " + passage}, {"doc_id": None, "text": "x " * 50},
+        {"doc_id": 5, "text": ""}, {"doc_id": 4, "text": "too short"},
+    ]
+    batch = pa.RecordBatch.from_pylist(rows)
+
+    def found():
+        unit = recompression.Unit(batch, 13)
+        unit.anchor_keys()
+        names = unit.names, unit.several
+        unit.window_keys(np.zeros(len(unit.names), bool))
+        gone = unit.removed(np.zeros(len(unit.keys), bool))
+        return *names, unit.keys, unit.second, unit.least, gone, *recompression._kept_texts(unit, gone), unit.counts
+
+    whole = found()
+    assert whole[-2].tolist() == [20, 0, 0, 0, 0, 50, 0, 0]
+    for size in (1, 100, 200):
+        monkeypatch.setattr(recompression, "PART_BYTES", size)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, found(), strict=True))
+
+
+def test_workers_get_few_units_at_a_time(spark, monkeypatch):
+    """Units are handed over one by one under a limit below their size; the session's own limit comes back."""
+    key, given = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    real = blocks.stage
+
+    def staged(frame, label):
+        given.append(spark.conf.get(key))
+        return real(frame, label)
+
+    monkeypatch.setattr(blocks, "stage", staged)
+    monkeypatch.setattr(blocks, "BATCH_BYTES", 1)
+    monkeypatch.setattr(blocks, "UNIT_BYTES", 1)
+    before = spark.conf.get(key)
+    passage = " ".join(f"p{i}" for i in range(20))
+    made = [(doc, f"{doc} {passage} end{doc}") for doc in range(30)]
+    docs = spark.createDataFrame(made, "doc_id long, text string").coalesce(2)
+    left = {r.doc_id: r.n_removed for r in recompression.repeats(docs).collect()}
+    assert left == {doc: 20 if doc else 0 for doc in range(30)}
+    assert given == ["1"] * 3 and spark.conf.get(key) == before

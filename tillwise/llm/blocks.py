@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 from tillwise.llm import vocabulary
 from tillwise.llm.text import pieces
+from tillwise.session import batched
 from tillwise.staging import stage
 
 #: Bytes of text in a unit; a longer text is a unit of its own.
 UNIT_BYTES = 4 << 20
+#: Bytes of rows that a task hands to its worker at a time; a larger unit is handed over alone.
+BATCH_BYTES = 4 << 20
 #: Keys that one task compares, about.
 BUCKET_KEYS = 2_000_000
 
@@ -47,7 +50,8 @@ def write_units(docs: DataFrame, weigh: Callable[[pa.RecordBatch], int]) -> Data
                 )
                 unit += 1
 
-    return stage(docs.mapInArrow(run, "unit long, weight long, body binary"), "units")
+    with batched(docs.sparkSession, BATCH_BYTES):
+        return stage(docs.mapInArrow(run, "unit long, weight long, body binary"), "units")
 
 
 def pack_unit(batch: pa.RecordBatch) -> bytes:
@@ -106,7 +110,8 @@ def _edges(buckets: int) -> np.ndarray:
 
 def answers_by_unit(answers: DataFrame, label: str) -> DataFrame:
     """``unit, <label>``: the written answers ``unit, bucket, bits`` of each unit."""
-    rows = stage(answers, label)
+    with batched(answers.sparkSession, BATCH_BYTES):
+        rows = stage(answers, label)
     return rows.groupBy("unit").agg(F.collect_list(F.struct("bucket", "bits")).alias(label))
 
 

@@ -14,7 +14,7 @@ Windows without an anchor (such as one word over and over) are always compared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import compress
 
 import numpy as np
@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 
 from tillwise.llm import blocks, vocabulary
 from tillwise.llm.fm_index import with_texts
-from tillwise.llm.text import SPACED, Words, _power_tables, covered, mix, release, texts_of, window_hash
+from tillwise.llm.text import SPACED, Words, _power_tables, covered, mix, pieces, release, texts_of, window_hash
 
 WINDOW = 13
 ROUNDS = 5
 #: Words whose anchors are looked for at a time; a longer text is worked on alone.
 ANCHORED_WORDS = 1 << 17
 _U = np.uint64
+#: Bytes of text whose words a unit works on at a time; a longer text is a part of its own.
+PART_BYTES = 1 << 19
 #: A document without id comes after all others.
 _NO_ID = np.iinfo(np.int64).max
 
@@ -145,57 +147,110 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").cast(pa.int64()).fill_null(_NO_ID).to_numpy(zero_copy_only=False)
 
 
+class Part:
+    """The words of some texts of a unit with their hashes."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.words = Words(*texts_of(batch.column("text")), SPACED)
+        self.hashes = self.words.hash
+        self.ids = _ids(batch)
+
+    def doc(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the documents that these words are in."""
+        return self.ids[np.searchsorted(self.words.first, at, "right") - 1]
+
+    def anchor_keys(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct anchor names in order, their smallest and their largest ids.
+
+        ``number`` gets the number of the name at each window start, or one of the two below.
+        """
+        name, named = anchors(self.words, self.hashes, window)
+        doc = self.ids[self.words.text]
+        # neighbouring windows share their anchor: one entry for each stretch
+        change = np.ones(len(name), bool)
+        change[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1]) | (named[1:] != named[:-1])
+        change &= named
+        at, stretch = np.flatnonzero(change), np.cumsum(change) - 1
+        names, number = np.unique(name[at], return_inverse=True)
+        low, high = np.full(len(names), _NO_ID), np.full(len(names), -1 - _NO_ID)
+        np.minimum.at(low, number, doc[at])
+        np.maximum.at(high, number, doc[at])
+        self.number = np.where(self.words.windows(window), _UNNAMED, _SHORT).astype(np.int32)
+        self.number[named] = number[stretch[named]]
+        return names, low, high
+
+
+#: In place of an anchor's number: no window starts here, or one without an anchor.
+_SHORT, _UNNAMED = -2, -1
+
+
 class Unit:
-    """The words of a unit with their windows and anchors."""
+    """The words of a unit with their windows and anchors.
+
+    Its texts are worked on a part at a time; what is kept of all of them is their words, the
+    distinct keys and where these are.
+    """
 
     def __init__(self, batch: pa.RecordBatch, window: int):
         self.batch, self.window = batch, window
-        self.words = Words(*texts_of(batch.column("text")), SPACED)
-        self.hashes = self.words.hash
-        self.doc = _ids(batch)[self.words.text]
-        self.whole = self.words.windows(window)
+        self.parts = [Part(piece) for piece in pieces(batch, limit=PART_BYTES)]
+
+    @property
+    def counts(self) -> np.ndarray:
+        """The number of words of each text."""
+        return np.concatenate([np.zeros(0, np.int64), *(part.words.counts for part in self.parts)])
 
     def anchor_keys(self) -> None:
         """Distinct anchor names in order, and the number of the name at each window start."""
-        name, self.named = anchors(self.words, self.hashes, self.window)
-        # neighbouring windows share their anchor: one entry for each stretch
-        change = np.ones(len(name), bool)
-        change[1:] = (name[1:] != name[:-1]) | (self.doc[1:] != self.doc[:-1])
-        change |= np.concatenate([[True], self.named[1:] != self.named[:-1]]) if len(name) else change
-        at = np.flatnonzero(change & self.named)
-        stretch = np.cumsum(change & self.named) - 1
-        self.names, number = np.unique(name[at], return_inverse=True)
-        doc = self.doc[at]
+        found = [part.anchor_keys(self.window) for part in self.parts]
+        names = np.concatenate([np.zeros(0, np.uint64), *(names for names, _, _ in found)])
+        self.names, number = np.unique(names, return_inverse=True)
         low = np.full(len(self.names), _NO_ID)
         high = np.full(len(self.names), -1 - _NO_ID)
-        np.minimum.at(low, number, doc)
-        np.maximum.at(high, number, doc)
+        begin = 0
+        for part, (names, least, most) in zip(self.parts, found, strict=True):
+            own = number[begin : begin + len(names)]
+            np.minimum.at(low, own, least)
+            np.maximum.at(high, own, most)
+            named = part.number >= 0
+            part.number[named] = own[part.number[named]]
+            begin += len(names)
         self.several = low < high
-        self.number = np.where(self.named, number[np.maximum(stretch, 0)] if len(at) else 0, 0)
 
     def window_keys(self, shared: np.ndarray) -> None:
         """Distinct hashes of the windows to compare in order, their smallest ids, and where they start.
 
         A window is known by 128 bits: ``keys`` and, of two other functions of its words, ``second``.
         """
-        wanted = self.whole.copy()
-        if len(self.names):
-            wanted &= ~self.named | (self.several | shared)[self.number]
-        self.at = np.flatnonzero(wanted)
-        keys = window_hash(self.hashes, self.window, 1)[self.at]
-        second = window_hash(self.words.second_hash, self.window, 2)[self.at]
+        compared = self.several | shared
+        keys, second, doc = ([np.zeros(0, kind)] for kind in (np.uint64, np.uint64, np.int64))
+        for part in self.parts:
+            wanted = part.number == _UNNAMED
+            named = part.number >= 0
+            wanted[named] = compared[part.number[named]]
+            part.at = np.flatnonzero(wanted)
+            if len(part.at):
+                keys.append(window_hash(part.hashes, self.window, 1)[part.at])
+                second.append(window_hash(part.words.second_hash, self.window, 2)[part.at])
+                doc.append(part.doc(part.at))
+        keys, second, self.doc = np.concatenate(keys), np.concatenate(second), np.concatenate(doc)
         order, head = _ordered(keys, second)
         self.keys, self.second = keys[order[head]], second[order[head]]
         self.key = np.empty(len(keys), np.int64)
         self.key[order] = np.cumsum(head) - 1
         self.least = np.full(len(self.keys), _NO_ID)
-        np.minimum.at(self.least, self.key, self.doc[self.at])
+        np.minimum.at(self.least, self.key, self.doc)
 
     def removed(self, before: np.ndarray) -> np.ndarray:
         """Words that a window covers whose text starts in an earlier document."""
-        starts = np.zeros(len(self.words), bool)
-        starts[self.at] = before[self.key] | (self.doc[self.at] > self.least[self.key])
-        return covered(starts, self.window)
+        gone = before[self.key] | (self.doc > self.least[self.key])
+        out, begin = [np.zeros(0, bool)], 0
+        for part in self.parts:
+            starts = np.zeros(len(part.words), bool)
+            starts[part.at] = gone[begin : begin + len(part.at)]
+            out.append(covered(starts, self.window))
+            begin += len(part.at)
+        return np.concatenate(out)
 
 
 def _ordered(keys: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,29 +267,34 @@ def _rows(names: list[str], columns: list[list], types: list[pa.DataType]) -> pa
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def _units(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int, Unit, dict]]:
-    vocabulary.forget()
-    for batch in batches:
-        for row in range(batch.num_rows):
-            columns = {n: batch.column(n)[row].as_py() for n in batch.schema.names}
-            yield columns["unit"], Unit(blocks.read_unit(columns.pop("body")), window), columns
-        release()
+def _per_unit(work: Callable[[int, Unit, dict], pa.RecordBatch], window: int):
+    """A pass that returns what ``work`` makes of each unit; none outlives the next one's start."""
 
-
-def _reveal(buckets: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, unit, _ in _units(batches, window):
-            unit.anchor_keys()
-            bounds = blocks.bucket_bounds(unit.names, buckets)
-            some = np.flatnonzero(np.diff(bounds)).tolist()
-            keys = [blocks.packed_sorted(unit.names[bounds[b] : bounds[b + 1]]) for b in some]
-            yield _rows(
-                ["unit", "bucket", "keys"], [[number] * len(some), some, keys], [pa.int64(), pa.int32(), pa.binary()]
-            )
+        vocabulary.forget()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                columns = {n: batch.column(n)[row].as_py() for n in batch.schema.names}
+                number, body = columns.pop("unit"), columns.pop("body")
+                yield work(number, Unit(blocks.read_unit(body), window), columns)
+                release()
 
     return run
 
 
+def _reveal(buckets: int, window: int):
+    def work(number: int, unit: Unit, _: dict) -> pa.RecordBatch:
+        unit.anchor_keys()
+        bounds = blocks.bucket_bounds(unit.names, buckets)
+        some = np.flatnonzero(np.diff(bounds)).tolist()
+        keys = [blocks.packed_sorted(unit.names[bounds[b] : bounds[b + 1]]) for b in some]
+        return _rows(
+            ["unit", "bucket", "keys"], [[number] * len(some), some, keys], [pa.int64(), pa.int32(), pa.binary()]
+        )
+
+    return _per_unit(work, window)
+
+
 def _answer(table: pa.Table, flags: np.ndarray, sizes: list[int]) -> pa.Table:
     bits, at = [], 0
     for size in sizes:
@@ -256,22 +316,21 @@ def _shared(table: pa.Table) -> pa.Table:
 
 
 def _verify(buckets: int, window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, unit, columns in _units(batches, window):
-            unit.anchor_keys()
-            unit.window_keys(blocks.joined_bits(columns["shared"], blocks.bucket_bounds(unit.names, buckets)))
-            bounds = blocks.bucket_bounds(unit.keys, buckets)
-            some = np.flatnonzero(np.diff(bounds)).tolist()
-            keys = [blocks.packed_sorted(unit.keys[bounds[b] : bounds[b + 1]]) for b in some]
-            second = [blocks.packed(unit.second[bounds[b] : bounds[b + 1]]) for b in some]
-            least = [blocks.packed(unit.least[bounds[b] : bounds[b + 1]].view(np.uint64)) for b in some]
-            yield _rows(
-                ["unit", "bucket", "keys", "second", "least"],
-                [[number] * len(some), some, keys, second, least],
-                [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()],
-            )
+    def work(number: int, unit: Unit, columns: dict) -> pa.RecordBatch:
+        unit.anchor_keys()
+        unit.window_keys(blocks.joined_bits(columns["shared"], blocks.bucket_bounds(unit.names, buckets)))
+        bounds = blocks.bucket_bounds(unit.keys, buckets)
+        some = np.flatnonzero(np.diff(bounds)).tolist()
+        keys = [blocks.packed_sorted(unit.keys[bounds[b] : bounds[b + 1]]) for b in some]
+        second = [blocks.packed(unit.second[bounds[b] : bounds[b + 1]]) for b in some]
+        least = [blocks.packed(unit.least[bounds[b] : bounds[b + 1]].view(np.uint64)) for b in some]
+        return _rows(
+            ["unit", "bucket", "keys", "second", "least"],
+            [[number] * len(some), some, keys, second, least],
+            [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()],
+        )
 
-    return run
+    return _per_unit(work, window)
 
 
 def _earlier(table: pa.Table) -> pa.Table:
@@ -289,14 +348,13 @@ def _earlier(table: pa.Table) -> pa.Table:
 
 
 def _apply(buckets: int, window: int, render):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, unit, columns in _units(batches, window):
-            unit.anchor_keys()
-            unit.window_keys(blocks.joined_bits(columns["shared"], blocks.bucket_bounds(unit.names, buckets)))
-            flags = blocks.joined_bits(columns["earlier"], blocks.bucket_bounds(unit.keys, buckets))
-            yield render(unit, unit.removed(flags))
+    def work(_: int, unit: Unit, columns: dict) -> pa.RecordBatch:
+        unit.anchor_keys()
+        unit.window_keys(blocks.joined_bits(columns["shared"], blocks.bucket_bounds(unit.names, buckets)))
+        flags = blocks.joined_bits(columns["earlier"], blocks.bucket_bounds(unit.keys, buckets))
+        return render(unit, unit.removed(flags))
 
-    return run
+    return _per_unit(work, window)
 
 
 def _compared(docs: DataFrame, window: int, render, schema) -> DataFrame:
@@ -318,15 +376,19 @@ def _compared(docs: DataFrame, window: int, render, schema) -> DataFrame:
 
 def _kept_texts(unit: Unit, removed: np.ndarray) -> tuple[list[str], np.ndarray]:
     """The kept words of each text joined by blanks, and the number of removed ones."""
-    words, texts = unit.words, []
-    gone = np.diff(np.concatenate([[0], np.cumsum(removed)])[words.first])
-    data, offsets, first = words.data.tobytes(), words.offsets.tolist(), words.first.tolist()
-    for i, lost in enumerate(gone.tolist()):
-        parts = data[offsets[i] : offsets[i + 1]].split()
-        if lost:
-            parts = compress(parts, (~removed[first[i] : first[i + 1]]).tolist())
-        texts.append(b" ".join(parts).decode())
-    return texts, gone
+    texts, lost, begin = [], [np.zeros(0, np.int64)], 0
+    for part in unit.parts:
+        words, out = part.words, removed[begin : begin + len(part.words)]
+        gone = np.diff(np.concatenate([[0], np.cumsum(out)])[words.first])
+        data, offsets, first = words.data.tobytes(), words.offsets.tolist(), words.first.tolist()
+        for i, some in enumerate(gone.tolist()):
+            kept = data[offsets[i] : offsets[i + 1]].split()
+            if some:
+                kept = compress(kept, (~out[first[i] : first[i + 1]]).tolist())
+            texts.append(b" ".join(kept).decode())
+        lost.append(gone)
+        begin += len(words)
+    return texts, np.concatenate(lost)
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -347,7 +409,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 unit.batch.column("doc_id").cast(pa.int64()),
-                pa.array(unit.words.counts),
+                pa.array(unit.counts),
                 pa.array(gone),
                 pa.array(texts, pa.string()),
             ],
@@ -372,7 +434,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         if gone.any():
             changed = [new if lost else old for new, old, lost in zip(texts, before, gone.tolist(), strict=True)]
             batch = with_texts(batch, changed)
-        return batch.filter(pa.array((unit.words.counts == 0) | (gone < unit.words.counts)))
+        return batch.filter(pa.array((unit.counts == 0) | (gone < unit.counts)))
 
     return _compared(docs, window, render, docs.schema)
 
